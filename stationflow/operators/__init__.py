@@ -1,8 +1,10 @@
+from stationflow.operators.current import flows_of_hour
 from stationflow.operators.lag import delta_lag, lag_placed
 from stationflow.operators.latest import (
     dedupe_snapshots,
     latest_by,
     next_state,
+    upsert_latest,
 )
 from stationflow.operators.metrics import batch_metrics, observe_batch
 from stationflow.operators.preview import ordered_preview
@@ -24,6 +26,7 @@ __all__ = [
     "dedupe_snapshots",
     "delta_lag",
     "delta_vs_state",
+    "flows_of_hour",
     "hourly_truncated",
     "hourly_tumbling",
     "lag_placed",
@@ -37,4 +40,5 @@ __all__ = [
     "sliding_total",
     "total_by_window",
     "totals_from_panes",
+    "upsert_latest",
 ]

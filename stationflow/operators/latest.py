@@ -22,6 +22,13 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return best.select(*[c if c in keys else f"_best.{c}" for c in df.columns])
 
 
+def upsert_latest(
+    current: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The table after the batch: the newer of its row and the batch's, key by key."""
+    return latest_by(current.unionByName(batch), keys, order)
+
+
 def dedupe_snapshots(snapshots: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """One (station, time, count) per station and instant: the one of highest ``ties``.
 

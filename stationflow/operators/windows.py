@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.operators.current import hour_of
 from stationflow.schema import STATION, TIME
 
 # The windows the results are defined over.
@@ -44,13 +45,11 @@ def hourly_truncated(flows: DataFrame) -> DataFrame:
 
 
 def current_hour(flows: DataFrame, as_of: Column) -> DataFrame:
-    """``hourly_tumbling`` of the hour holding ``as_of``.
+    """``hourly_tumbling`` of the hour holding ``as_of``, which is never the wall clock.
 
     The range filter comes first and on the plain column, so it can reach the scan.
     """
-    time_type = flows.schema[TIME].dataType
-    start = F.date_trunc("hour", as_of).cast(time_type)
-    end = start + F.expr("INTERVAL 1 HOUR")
+    start, end = hour_of(flows, as_of)
     return hourly_tumbling(flows.filter((F.col(TIME) >= start) & (F.col(TIME) < end)))
 
 

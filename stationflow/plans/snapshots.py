@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.schema import COUNT, STATION, TIME
+from stationflow.schema import COUNT, STATION, TIME, TIMESTAMP_FORMAT
 
 PROPS = T.StructType([T.StructField("k", T.IntegerType())])
 
@@ -29,12 +29,17 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_envelopes(events: DataFrame) -> DataFrame:
     """Events as the JSON text a station feed would send, with a log offset."""
+    bikes = F.from_json("props", PROPS).getField("k")
     document = F.to_json(
         F.struct(
-            F.col("user_id").cast("string").alias("stationId"),
-            F.from_json("props", PROPS).getField("k").alias("parkingBikeTotCnt"),
-            F.col("event_type").alias("stationName"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+            (bikes + 10).cast("string").alias("rackTotCnt"),
+            F.concat(F.lit("Stop "), "user_id").alias("stationName"),
+            bikes.alias(COUNT),
+            F.col("event_type").alias("shared"),
+            F.concat(F.lit("37."), "user_id").alias("stationLatitude"),
+            F.concat(F.lit("127."), "user_id").alias("stationLongitude"),
+            F.col("user_id").cast("string").alias(STATION),
+            F.date_format("ts", TIMESTAMP_FORMAT).alias("timestamp"),
         )
     )
     return events.select(F.col("event_id").alias("offset"), document.alias("value"))
