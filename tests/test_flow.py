@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from frames import at, rows, snapshots, state
+
+from stationflow.operators import (
+    dedupe_snapshots,
+    delta_lag,
+    delta_vs_state,
+    flows_of_hour,
+    hourly_tumbling,
+    late_snapshots,
+    latest_by,
+    next_state,
+    upsert_latest,
+)
+from pyspark.sql import functions as F
+
+FLOW = ("diff", "rental", "return")
+
+
+def test_lag_series_with_a_null_count(spark):
+    df = snapshots(spark, *[("A", f"10:0{i}", n) for i, n in enumerate([0, 4, 1, None, 2])])
+    got = delta_lag(df).orderBy("event_time").select("prev_count", *FLOW).collect()
+    assert [tuple(r) for r in got] == [
+        (None, None, 0, 0), (0, 4, 0, 4), (4, -3, 3, 0), (1, None, 0, 0), (None, None, 0, 0),
+    ]
+
+
+def test_lag_crosses_days_and_skips_empty_ones(spark):
+    df = snapshots(spark, ("A", "2024-07-01 23:59:59", 5), ("A", "2024-07-02 00:00:00", 3),
+                   ("A", "2024-07-09 12:00:00", 9), ("B", "2024-07-02 00:00:00", 7))
+    assert rows(delta_lag(df), "stationId", "event_time", "prev_count") == [
+        ("A", at("2024-07-01 23:59:59"), None),
+        ("A", at("2024-07-02 00:00:00"), 5),
+        ("A", at("2024-07-09 12:00:00"), 3),
+        ("B", at("2024-07-02 00:00:00"), None),
+    ]
+
+
+def test_lag_orders_repeats_by_tie_breaker(spark):
+    df = snapshots(spark, ("A", "10:00", 9), ("A", "10:00", 1), ("A", "10:01", 4))
+    got = rows(delta_lag(df, ties=["offset"]), "offset", "prev_count")
+    assert got == [(0, None), (1, 9), (2, 1)]
+
+
+def brute_force(data):
+    """Predecessor of each (station, time, count, offset) by sorting in Python."""
+    previous, expected = {}, []
+    for s, t, n, i in sorted(data, key=lambda r: (r[0], r[1], r[3])):
+        expected.append((i, previous.get(s)))
+        previous[s] = n
+    return sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("split_rows", [None, 1, 7, 50, 5_000_000])
+def test_lag_of_a_hot_station_however_its_days_are_cut(spark, split_rows):
+    rng = random.Random(3)
+    data = []
+    for i in range(600):
+        hot = rng.random() < 0.6
+        second = rng.choice([rng.randrange(60), rng.randrange(4 * 86400)])
+        day, rest = divmod(second, 86400)
+        time = f"2024-07-0{1 + day} {rest // 3600:02}:{rest // 60 % 60:02}:{rest % 60:02}"
+        data.append(("HOT" if hot else f"S{rng.randrange(9)}", at(time), rng.randrange(20), i))
+    df = spark.createDataFrame(
+        data, "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, offset bigint")
+    got = rows(delta_lag(df, ["offset"], split_rows=split_rows), "offset", "prev_count")
+    assert got == brute_force(data)
+
+
+def test_rows_without_station_or_time_are_kept_without_flow(spark):
+    df = snapshots(spark, (None, "10:00", 5), (None, "10:01", 9), ("A", None, 2), ("A", "10:00", 3))
+    got = delta_lag(df)
+    assert got.count() == 4
+    assert rows(got, "offset", "prev_count", "rental", "return") == [
+        (i, None, 0, 0) for i in range(4)]
+
+
+def test_baseline_serves_only_the_first_row_of_a_station(spark):
+    df = snapshots(spark, ("A", "10:00", 5), ("A", "10:01", 6), ("B", "10:00", 1))
+    df = df.withColumn("known", F.when(F.col("stationId") == "A", 8))
+    got = delta_lag(df, baseline="known")
+    assert "known" not in got.columns
+    assert rows(got, "offset", "prev_count") == [(0, 8), (1, 5), (2, None)]
+
+
+def test_vs_state_with_and_without_zero_guard(spark):
+    df = snapshots(spark, ("A", "10:00", 7), ("A", "10:01", 3), ("Z", "10:00", 7), ("N", "10:00", 7))
+    known = state(spark, ("A", 5, "09:00"), ("Z", 0, "09:00"))
+    columns = ("offset", "previous_parkingBikeTotCnt", "change", "rental", "return")
+    guarded = delta_vs_state(df, known)
+    assert rows(guarded, *columns) == [
+        (0, 5, 2, 0, 2), (1, 5, -2, 2, 0), (2, 0, 0, 0, 0), (3, 0, 0, 0, 0)]
+    counted = delta_vs_state(df, known, zero_prev_is_unknown=False)
+    assert rows(counted, *columns) == [
+        (0, 5, 2, 0, 2), (1, 5, -2, 2, 0), (2, 0, 7, 0, 7), (3, 0, 0, 0, 0)]
+
+
+def test_vs_state_null_count(spark):
+    df = snapshots(spark, ("A", "10:00", None), ("N", "10:00", None))
+    got = delta_vs_state(df, state(spark, ("A", 5, "09:00")))
+    assert rows(got, "stationId", "change", "rental", "return") == [("A", None, 0, 0), ("N", 0, 0, 0)]
+
+
+def test_next_state_has_one_row_per_station_and_keeps_absent_ones(spark):
+    df = snapshots(spark, ("A", "10:00", 7), ("A", "10:05", 3), ("B", "10:00", 1))
+    before = state(spark, ("A", 9, "09:00"), ("C", 4, "08:00"))
+    expected = [("A", 3, at("10:05")), ("B", 1, at("10:00")), ("C", 4, at("08:00"))]
+    columns = ("stationId", "previous_parkingBikeTotCnt", "event_time")
+    assert rows(next_state(before, df), *columns) == expected
+    assert rows(next_state(before, df, distinct_times=True), *columns) == expected
+    # Two events against it give two rows, not four.
+    assert delta_vs_state(df.filter("stationId = 'A'"), next_state(before, df)).count() == 2
+
+
+def test_next_state_does_not_go_back_in_time(spark):
+    got = next_state(state(spark, ("A", 9, "12:00")), snapshots(spark, ("A", "10:00", 7)))
+    assert rows(got, "stationId", "previous_parkingBikeTotCnt") == [("A", 9)]
+
+
+def test_late_snapshots(spark):
+    df = snapshots(spark, ("A", "08:59", 1), ("A", "09:00", 2), ("A", "09:01", 3), ("B", "01:00", 4))
+    got = late_snapshots(df, state(spark, ("A", 5, "09:00")))
+    assert rows(got, "offset") == [(0,), (1,)]
+
+
+def test_latest_by_has_no_arbitrary_winner(spark):
+    df = snapshots(spark, ("A", "10:00", 7), ("A", "10:05", 3), ("A", "10:05", 8), (None, "11:00", 1))
+    for frame in (df, df.orderBy("offset"), df.orderBy(F.desc("offset"))):
+        assert rows(latest_by(frame.drop("offset"), ["stationId"], ["event_time"]),
+                    "stationId", "parkingBikeTotCnt") == [("A", 8)]
+
+
+def test_latest_by_several_keys_keeps_column_order(spark):
+    df = snapshots(spark, ("A", "10:00", 7), ("A", "10:05", 7), ("A", "10:05", 3))
+    got = latest_by(df, ["stationId", "parkingBikeTotCnt"], ["event_time", "offset"])
+    assert got.columns == df.columns
+    assert rows(got, "parkingBikeTotCnt", "offset") == [(3, 2), (7, 1)]
+
+
+def test_upsert_latest(spark):
+    current = snapshots(spark, ("A", "10:00", 7), ("B", "10:00", 1))
+    batch = snapshots(spark, ("A", "09:00", 2), ("B", "11:00", 5), ("B", "10:30", 4), ("C", "10:00", 6))
+    got = upsert_latest(current, batch, ["stationId"], ["event_time"])
+    assert rows(got, "stationId", "parkingBikeTotCnt") == [("A", 7), ("B", 5), ("C", 6)]
+
+
+def test_dedupe_keeps_highest_tie(spark):
+    df = snapshots(spark, ("A", "10:00", 9), ("A", "10:00", 1), ("B", "10:00", 4))
+    columns = ("stationId", "parkingBikeTotCnt")
+    assert rows(dedupe_snapshots(df, ["offset"]), *columns) == [("A", 1), ("B", 4)]
+    assert rows(dedupe_snapshots(df), *columns) == [("A", 9), ("B", 4)]
+
+
+def test_flows_of_hour_equal_the_filtered_lag(spark):
+    df = snapshots(spark, ("A", "2024-06-01 09:59:59", 5), ("A", "10:00", 3), ("A", "10:59:59", 9),
+                   ("A", "11:00", 1), ("B", "10:30", 2), ("C", "09:00", 2))
+    got = flows_of_hour(df, F.lit("2024-07-01 10:17:00").cast("timestamp_ntz"))
+    assert rows(got, "offset", "prev_count") == [(1, 5), (2, 3), (4, None)]
+    assert rows(hourly_tumbling(got), "stationId", "total_rental", "total_return") == [
+        ("A", 2, 6), ("B", 0, 0)]
