@@ -7,9 +7,10 @@ predecessor, which is the last row of the station's previous slice: those edge r
 per slice at most, are lagged once more by station. Both halves of the result read the
 same columns of the same shuffle, so the planner runs the scan and the shuffle once.
 
-A day with too many rows for one task is cut into more slices of equal time span. Rows
-that share station *and* instant cannot be cut by time; ``dedupe_snapshots`` collapses
-them beforehand, and at the feed's one-second resolution then bounds a day at 86,400 rows.
+A day with too many rows for one task is cut into hours, minutes or seconds, whichever is
+the coarsest that suffices, so a burst is cut as finely as a steady flood. Only rows of one
+station *and* second always stay together; ``dedupe_snapshots`` collapses repeats of an
+instant beforehand, and the feed's timestamps resolve no more than seconds.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationflow.functions.flow import flow_columns
 from stationflow.functions.parse import is_placed
@@ -28,30 +30,41 @@ SPLIT_ROWS = 5_000_000
 
 
 def _cut_full_days(rows: DataFrame, split_rows: int) -> DataFrame:
-    """Add ``_cut``: which part of its day a row is in, 0 throughout an ordinary day.
+    """Add ``_cut``: the hour, minute or second of a row of a full day, 0 on other days.
 
-    Such days belong to stations with more than ``split_rows`` rows, and of either there
+    Full days belong to stations with more than ``split_rows`` rows, and of either there
     are fewer than (all rows / ``split_rows``), which bounds both broadcasts: 2 million
     short rows for 10^13 snapshots at the default. With no such station, the usual case,
     adaptive execution drops all of this but one count per station.
     """
-    micros = F.unix_micros(F.col(TIME).cast("timestamp"))
+    if rows.schema[TIME].dataType == T.TimestampNTZType():
+        second = F.hour(TIME) * 3600 + F.minute(TIME) * 60 + F.second(TIME)
+    else:
+        second = F.unix_seconds(TIME)
     counted = F.count("*").alias("_n")
     overfull = F.col("_n") > split_rows
     busy = rows.groupBy(STATION).agg(counted).filter(overfull).select(STATION)
-    parts = F.ceil(F.col("_n") / split_rows)
-    full = (
+    minutes = (
         rows.join(F.broadcast(busy), STATION, "left_semi")
-        .groupBy(STATION, "_day")
-        .agg(counted, F.min(micros).alias("_from"), F.max(micros).alias("_to"))
-        .filter(overfull)
-        .select(STATION, "_day", "_from", ((F.col("_to") - F.col("_from") + 1) / parts).alias("_span"))
+        .groupBy(STATION, "_day", F.floor(second / 60).alias("_minute"))
+        .agg(counted)
     )
-    cut = F.floor((micros - F.col("_from")) / F.col("_span")).cast("int")
+    hours = minutes.groupBy(STATION, "_day", F.floor(F.col("_minute") / 60)).agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_in_minute")
+    )
+    days = hours.groupBy(STATION, "_day").agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_in_hour"), F.max("_in_minute").alias("_in_minute")
+    )
+    grain = (
+        F.when(F.col("_in_hour") <= split_rows, 3600)
+        .when(F.col("_in_minute") <= split_rows, 60)
+        .otherwise(1)
+    )
+    full = days.filter(overfull).select(STATION, "_day", grain.alias("_grain"))
     return (
         rows.join(F.broadcast(full), [STATION, "_day"], "left")
-        .withColumn("_cut", F.coalesce(cut, F.lit(0)))
-        .drop("_from", "_span")
+        .withColumn("_cut", F.coalesce(F.floor(second / F.col("_grain")), F.lit(0)))
+        .drop("_grain")
     )
 
 

@@ -5,6 +5,7 @@ import random
 import pytest
 from frames import at, rows, snapshots, state
 
+from stationflow.operators import lag
 from stationflow.operators import (
     dedupe_snapshots,
     delta_lag,
@@ -55,22 +56,36 @@ def brute_force(data):
     return sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("split_rows", [None, 1, 7, 50, 5_000_000])
+@pytest.mark.parametrize("split_rows", [None, 1, 40, 150, 5_000_000])
 def test_lag_of_a_hot_station_however_its_days_are_cut(spark, split_rows):
     rng = random.Random(3)
     data = []
     for i in range(600):
         hot = rng.random() < 0.6
-        second = rng.choice([rng.randrange(60), rng.randrange(4 * 86400)])
+        second = rng.choice([7200 + rng.randrange(3), rng.randrange(3600), rng.randrange(4 * 86400)])
         day, rest = divmod(second, 86400)
         time = f"2024-07-0{1 + day} {rest // 3600:02}:{rest // 60 % 60:02}:{rest % 60:02}"
         data.append(("HOT" if hot else f"S{rng.randrange(9)}", at(time), rng.randrange(20), i))
     df = spark.createDataFrame(
         data, "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, offset bigint")
+    if split_rows == 40:
+        df = df.withColumn("event_time", F.col("event_time").cast("timestamp"))
     got = rows(delta_lag(df, ["offset"], split_rows=split_rows), "offset", "prev_count")
     assert got == brute_force(data)
 
 
+def test_a_full_day_is_cut_as_finely_as_its_fullest_part_needs(spark):
+    data = [("A", f"2024-07-0{d} {h:02}:{m:02}:{x:02}", 1)
+            for d, hours, minutes, seconds in [(1, 4, 1, 1), (2, 1, 4, 1), (3, 1, 1, 4), (4, 1, 1, 2)]
+            for h in range(hours) for m in range(minutes) for x in range(seconds)]
+    df = snapshots(spark, *data).withColumn("_day", F.to_date("event_time"))
+    cuts = lag._cut_full_days(df, 3).groupBy("_day", "_cut").agg(F.count("*").alias("n"))
+    days = cuts.groupBy(F.day("_day").alias("day")).agg(
+        F.max("n").alias("largest"), F.count("*").alias("parts"), (F.min("_cut") == 0).alias("uncut"))
+    assert rows(days, "day", "largest", "parts", "uncut") == [
+        (1, 1, 4, False), (2, 1, 4, False), (3, 1, 4, False), (4, 2, 1, True)]
+
+
 def test_rows_without_station_or_time_are_kept_without_flow(spark):
     df = snapshots(spark, (None, "10:00", 5), (None, "10:01", 9), ("A", None, 2), ("A", "10:00", 3))
     got = delta_lag(df)
