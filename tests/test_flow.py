@@ -81,9 +81,8 @@ def test_a_full_day_is_cut_as_finely_as_its_fullest_part_needs(spark):
     df = snapshots(spark, *data).withColumn("_day", F.to_date("event_time"))
     cuts = lag._cut_full_days(df, 3).groupBy("_day", "_cut").agg(F.count("*").alias("n"))
     days = cuts.groupBy(F.day("_day").alias("day")).agg(
-        F.max("n").alias("largest"), F.count("*").alias("parts"), (F.min("_cut") == 0).alias("uncut"))
-    assert rows(days, "day", "largest", "parts", "uncut") == [
-        (1, 1, 4, False), (2, 1, 4, False), (3, 1, 4, False), (4, 2, 1, True)]
+        F.max("n").alias("largest"), F.count("*").alias("parts"))
+    assert rows(days, "day", "largest", "parts") == [(1, 1, 4), (2, 1, 4), (3, 1, 4), (4, 2, 1)]
 
 
 def test_rows_without_station_or_time_are_kept_without_flow(spark):
