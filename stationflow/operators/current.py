@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators.lag import delta_lag
 from stationflow.operators.latest import next_state
-from stationflow.schema import PREVIOUS, STATION, TIME
+from stationflow.schema import TIME
 
 
 def hour_of(snapshots: DataFrame, as_of: Column) -> tuple[Column, Column]:
@@ -27,6 +27,4 @@ def flows_of_hour(snapshots: DataFrame, as_of: Column, ties: Sequence[str] = ())
     start, end = hour_of(snapshots, as_of)
     time = F.col(TIME)
     before = next_state(None, snapshots.filter(time < start), ties)
-    hour = snapshots.filter((time >= start) & (time < end))
-    known = before.select(STATION, F.col(PREVIOUS).alias("_known"))
-    return delta_lag(hour.join(known, STATION, "left"), ties, baseline="_known")
+    return delta_lag(snapshots.filter((time >= start) & (time < end)), ties, baseline=before)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from stationflow.functions.flow import flow_columns
 from stationflow.functions.parse import is_placed
-from stationflow.schema import COUNT, STATION, TIME
+from stationflow.schema import COUNT, PREVIOUS, STATION, TIME
 
 #: Rows one task should sort at most for one station and slice.
 SPLIT_ROWS = 5_000_000
@@ -71,7 +71,7 @@ def _cut_full_days(rows: DataFrame, split_rows: int) -> DataFrame:
 def lag_placed(
     snapshots: DataFrame,
     ties: Sequence[str] = (),
-    baseline: str | None = None,
+    baseline: DataFrame | None = None,
     split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """``delta_lag`` of rows that all have station and time."""
@@ -94,33 +94,38 @@ def lag_placed(
     opens, closes = F.col("_prev_time").isNull(), F.col("_next_time").isNull()
 
     across = Window.partitionBy(STATION).orderBy(*order)
-    carried = F.lag(COUNT).over(across)
+    openers = (
+        lagged.filter(opens | closes)
+        .withColumns({"prev_count": F.lag(COUNT).over(across), "_before": F.lag(TIME).over(across)})
+        .filter(opens)
+    )
     if baseline is not None:
-        carried = F.when(F.lag(TIME).over(across).isNull(), F.col(baseline)).otherwise(carried)
-    edges = lagged.filter(opens | closes).withColumn("prev_count", carried)
+        # The window left the edge rows by station, so only the baseline is shuffled.
+        known = baseline.select(STATION, F.col(PREVIOUS).alias("_known"))
+        carried = F.when(F.col("_before").isNull(), F.col("_known")).otherwise(F.col("prev_count"))
+        openers = openers.join(known, STATION, "left").withColumn("prev_count", carried)
 
-    change = F.col(COUNT) - F.col("prev_count")
-    kept = [c for c in snapshots.columns if c != baseline]
+    columns = [*snapshots.columns, "prev_count"]
     return (
         lagged.filter(~opens)
-        .unionByName(edges.filter(opens))
-        .withColumn("diff", change)
+        .select(*columns)
+        .unionByName(openers.select(*columns))
+        .withColumn("diff", F.col(COUNT) - F.col("prev_count"))
         .withColumns(flow_columns(F.col("diff")))
-        .select(*kept, "prev_count", "diff", "rental", "return")
     )
 
 
 def delta_lag(
     snapshots: DataFrame,
     ties: Sequence[str] = (),
-    baseline: str | None = None,
+    baseline: DataFrame | None = None,
     split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Add ``prev_count, diff, rental, return``: the change since the station's last row.
 
     ``ties`` orders rows of equal time. The first row of a station has no predecessor
-    unless the column ``baseline`` names a count known from before. ``split_rows=None``
-    skips the search for overfull days, for data known to have none.
+    unless ``baseline``, a state of one row per station, knows a count from before.
+    ``split_rows=None`` skips the search for overfull days, for data known to have none.
 
     A row without station or time stands in no series: it is kept with no predecessor
     and no flow, and is not shuffled, so a flood of malformed rows makes no hot key.
@@ -130,4 +135,4 @@ def delta_lag(
     strays = snapshots.filter(~is_placed()).withColumns(
         {"prev_count": unknown, "diff": unknown, "rental": none, "return": none}
     )
-    return placed.unionByName(strays.select(*placed.columns))
+    return placed.unionByName(strays)

@@ -19,7 +19,7 @@ from stationflow.operators.lag import SPLIT_ROWS, lag_placed
 from stationflow.operators.latest import dedupe_snapshots, next_state, upsert_latest
 from stationflow.operators.metrics import observe_batch
 from stationflow.operators.windows import hourly_tumbling, pane_totals, totals_from_panes
-from stationflow.schema import COUNT, PREVIOUS, STATION, TIME, state_schema
+from stationflow.schema import STATION, TIME, state_schema
 from stationflow.sinks.bucketed import (
     BUCKET,
     HOURLY_SUMMARY,
@@ -57,7 +57,7 @@ def start_hourly_job(
     ``snapshots`` is a parsed stream; ``ties`` orders repeats of a station and instant.
     Cut into any number of batches, the results are those of one batch run, as long as
     no snapshot arrives after a newer one of its station was already handled: such rows
-    are set aside in ``batches/.../outcome=late``.
+    are set aside in ``arrivals/epoch=<id>/outcome=late``.
     """
     tables = JobTables(snapshots.sparkSession, root)
 
@@ -84,7 +84,8 @@ def handle_hourly_batch(
         return
 
     known = state.load(before=epoch)
-    flows = _write_outcomes(batch, known, tables, epoch, ties, split_rows)
+    fresh = _write_arrivals(batch, known, tables, epoch, ties)
+    flows = _write_flows(lag_placed(fresh, baseline=known, split_rows=split_rows), tables, epoch)
     state.save(next_state(known, flows, distinct_times=True), epoch)
 
     first, last = flows.agg(F.to_date(F.min(TIME)), F.to_date(F.max(TIME))).first()
@@ -93,18 +94,13 @@ def handle_hourly_batch(
         _update_totals(flows, tables, epoch, first, last)
 
 
-def _write_outcomes(
-    batch: DataFrame,
-    known: DataFrame,
-    tables: JobTables,
-    epoch: int,
-    ties: Sequence[str],
-    split_rows: int | None,
+def _write_arrivals(
+    batch: DataFrame, known: DataFrame, tables: JobTables, epoch: int, ties: Sequence[str]
 ) -> DataFrame:
-    """Sort the batch into malformed, late and flow rows, as tables of this epoch.
+    """Sort the batch into malformed, late and fresh rows, and return the fresh ones.
 
-    Everything later reads the written flow rows: the source is not evaluated again, and
-    a lost executor costs a re-read, not a recomputation.
+    What follows reads the written rows: the source is not evaluated again, and a lost
+    executor costs a re-read, not a recomputation.
     """
     counts = Observation("batch")
     rows = observe_batch(batch, counts).persist(StorageLevel.MEMORY_AND_DISK)
@@ -112,25 +108,27 @@ def _write_outcomes(
         usable, malformed = split_malformed(rows)
         malformed.write.mode("overwrite").parquet(f"{tables.path('malformed')}/epoch={epoch}")
 
-        before = known.select(STATION, F.col(TIME).alias("_known_at"), F.col(PREVIOUS).alias("_known"))
-        placed = dedupe_snapshots(usable, ties).join(before, STATION, "left")
-        is_late = F.coalesce(F.col(TIME) <= F.col("_known_at"), F.lit(False))
-        flows = lag_placed(placed.filter(~is_late), baseline="_known", split_rows=split_rows)
-        flows = flows.drop("_known_at")
-        late = placed.filter(is_late).select(STATION, TIME, COUNT)
-        (
-            flows.withColumn("outcome", F.lit("flow"))
-            .unionByName(late.withColumn("outcome", F.lit("late")), allowMissingColumns=True)
-            .write.mode("overwrite")
-            .partitionBy("outcome")
-            .parquet(f"{tables.path('batches')}/epoch={epoch}")
+        known_at = known.select(STATION, F.col(TIME).alias("_known_at"))
+        outcome = F.when(F.col(TIME) <= F.col("_known_at"), "late").otherwise("fresh")
+        arrivals = (
+            dedupe_snapshots(usable, ties)
+            .join(known_at, STATION, "left")
+            .withColumn("outcome", outcome)
+            .drop("_known_at")
         )
+        path = f"{tables.path('arrivals')}/epoch={epoch}"
+        arrivals.write.mode("overwrite").partitionBy("outcome").parquet(path)
         _write_metrics(tables, epoch, counts)
     finally:
         rows.unpersist()
-    written = batch.sparkSession.read.schema(flows.schema.add("outcome", "string"))
-    written = written.parquet(f"{tables.path('batches')}/epoch={epoch}")
-    return written.filter(F.col("outcome") == "flow").drop("outcome")
+    written = batch.sparkSession.read.schema(arrivals.schema).parquet(path)
+    return written.filter(F.col("outcome") == "fresh").drop("outcome")
+
+
+def _write_flows(flows: DataFrame, tables: JobTables, epoch: int) -> DataFrame:
+    path = f"{tables.path('flows')}/epoch={epoch}"
+    flows.write.mode("overwrite").parquet(path)
+    return tables.root.spark.read.schema(flows.schema).parquet(path)
 
 
 def _update_hours(flows: DataFrame, tables: JobTables, epoch: int, first: date, last: date) -> None:

@@ -94,11 +94,12 @@ def test_rows_without_station_or_time_are_kept_without_flow(spark):
 
 
 def test_baseline_serves_only_the_first_row_of_a_station(spark):
-    df = snapshots(spark, ("A", "10:00", 5), ("A", "10:01", 6), ("B", "10:00", 1))
-    df = df.withColumn("known", F.when(F.col("stationId") == "A", 8))
-    got = delta_lag(df, baseline="known")
-    assert "known" not in got.columns
-    assert rows(got, "offset", "prev_count") == [(0, 8), (1, 5), (2, None)]
+    df = snapshots(spark, ("A", "10:00", 5), ("A", "10:01", 6), ("A", "2024-07-02 10:00", 7),
+                   ("B", "10:00", 1), ("D", "10:00", None), ("D", "2024-07-02 10:00", 4))
+    known = state(spark, ("A", 8, "09:00"), ("C", 3, "09:00"), ("D", 2, "09:00"))
+    got = delta_lag(df, baseline=known)
+    assert got.columns == df.columns + ["prev_count", "diff", "rental", "return"]
+    assert rows(got, "offset", "prev_count") == [(0, 8), (1, 5), (2, 6), (3, None), (4, 2), (5, None)]
 
 
 def test_vs_state_with_and_without_zero_guard(spark):

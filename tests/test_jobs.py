@@ -49,7 +49,7 @@ def published(spark, root):
 
 def everything(spark, root):
     """All tables of a job, to compare before and after a repeat."""
-    tables = ["hourly_summary", "total_hourly_stats", "hour_partials", "pane_partials", "batches", "metrics"]
+    tables = ["hourly_summary", "total_hourly_stats", "hour_partials", "pane_partials", "arrivals", "flows", "metrics"]
     found = {t: rows(spark.read.parquet(f"{root}/{t}"), "*") for t in tables}
     return found | {"state": rows(spark.read.parquet(f"{root}/state"), "*")}
 
@@ -96,10 +96,10 @@ def test_late_malformed_and_copied_rows(spark, root):
         [("A", "10:10", 1), ("A", "10:30", 2), ("A", "10:40", 8), (None, "10:41", 3), ("A", None, 3),
          ("A", "10:42", None)],
     ])
-    batch = spark.read.parquet(f"{root}/batches/epoch=1")
-    assert rows(batch.filter("outcome = 'late'"), "event_time", "parkingBikeTotCnt") == [
-        (at("10:10"), 1), (at("10:30"), 2)]
-    assert rows(batch.filter("outcome = 'flow'"), "event_time", "prev_count", "rental") == [(at("10:40"), 9, 1)]
+    late = spark.read.parquet(f"{root}/arrivals/epoch=1/outcome=late")
+    assert rows(late, "event_time", "parkingBikeTotCnt") == [(at("10:10"), 1), (at("10:30"), 2)]
+    flows = spark.read.parquet(f"{root}/flows/epoch=1")
+    assert rows(flows, "event_time", "prev_count", "rental") == [(at("10:40"), 9, 1)]
     assert rows(spark.read.parquet(f"{root}/malformed/epoch=1"), "offset") == [(3,), (4,), (5,)]
     assert result(spark, root, "hourly_summary", HOURLY) == [(at("10:00"), at("11:00"), "A", 1, 4)]
     metrics = spark.read.parquet(f"{root}/metrics/epoch=1").first().asDict()

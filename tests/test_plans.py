@@ -8,7 +8,7 @@ import pytest
 from conftest import SF
 
 from stationflow.operators import delta_lag, hourly_tumbling, latest_by
-from stationflow.plans.queries import QUERIES
+from stationflow.plans.queries import QUERIES, _around_cut
 from stationflow.plans.snapshots import TIES, snapshots
 from stationflow.schema import STATION, TIME
 
@@ -44,6 +44,12 @@ def test_lag_scans_and_shuffles_its_rows_once(spark):
     assert len(with_json) == 1
 
 
+def test_baseline_touches_edge_rows_only(spark):
+    state, batch = _around_cut(spark, SF)
+    plan = final_plan_of(hourly_tumbling(delta_lag(batch, TIES, baseline=state)))
+    assert plan.count("ReusedExchange") == 1 and plan.count(" LeftOuter") == 1
+
+
 def test_lag_partitions_by_station_and_day(spark):
     plan = plan_of(delta_lag(snapshots(spark, SF), TIES, split_rows=None))
     assert re.search(r"hashpartitioning\(stationId#\d+, _day#\d+, \d+\)", plan)
