@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.functions.hour import hour_start, is_zoned
 from stationflow.operators.lag import delta_lag
 from stationflow.operators.latest import next_state
 from stationflow.schema import TIME
 
 
 def hour_of(snapshots: DataFrame, as_of: Column) -> tuple[Column, Column]:
-    """Start and end of the hour that holds ``as_of``, in the type of the event time."""
-    start = F.date_trunc("hour", as_of).cast(snapshots.schema[TIME].dataType)
+    """Start and end of the hour that holds ``as_of``, which has the event time's type."""
+    start = hour_start(as_of, is_zoned(snapshots))
     return start, start + F.expr("INTERVAL 1 HOUR")
 
 

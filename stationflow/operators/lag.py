@@ -19,9 +19,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stationflow.functions.flow import flow_columns
+from stationflow.functions.hour import is_zoned
 from stationflow.functions.parse import is_placed
 from stationflow.schema import COUNT, PREVIOUS, STATION, TIME
 
@@ -37,10 +37,8 @@ def _cut_full_days(rows: DataFrame, split_rows: int) -> DataFrame:
     short rows for 10^13 snapshots at the default. With no such station, the usual case,
     adaptive execution drops all of this but one count per station.
     """
-    if rows.schema[TIME].dataType == T.TimestampNTZType():
-        second = F.hour(TIME) * 3600 + F.minute(TIME) * 60 + F.second(TIME)
-    else:
-        second = F.unix_seconds(TIME)
+    of_day = F.hour(TIME) * 3600 + F.minute(TIME) * 60 + F.second(TIME)
+    second = F.unix_seconds(TIME) if is_zoned(rows) else of_day  # both rise with the time
     counted = F.count("*").alias("_n")
     overfull = F.col("_n") > split_rows
     busy = rows.groupBy(STATION).agg(counted).filter(overfull).select(STATION)

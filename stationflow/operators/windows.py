@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.functions.hour import hour_start, is_zoned
 from stationflow.operators.current import hour_of
 from stationflow.schema import STATION, TIME
 
@@ -28,8 +29,7 @@ def hourly_tumbling(flows: DataFrame) -> DataFrame:
 
 def hourly_truncated(flows: DataFrame) -> DataFrame:
     """The same totals keyed by the truncated time, for zones of whole-hour offset."""
-    time_type = flows.schema[TIME].dataType
-    hour = F.date_trunc("hour", TIME).cast(time_type)  # date_trunc widens TIMESTAMP_NTZ
+    hour = hour_start(F.col(TIME), is_zoned(flows))
     return (
         flows.filter(F.col(TIME).isNotNull())
         .groupBy(hour.alias("start"), STATION)

@@ -135,10 +135,9 @@ def _update_hours(flows: DataFrame, tables: JobTables, epoch: int, first: date,
     partials = Partials(tables, "hour_partials", hourly_tumbling(flows))
     partials.write(epoch)
     so_far = partials.read(epoch, first, last)
-    touched = so_far.filter(F.col("epoch") == epoch).select("start").distinct()
+    so_far = _in_buckets_of(so_far, so_far.filter(F.col("epoch") == epoch))
     sums = [F.sum(c).alias(c) for c in ("total_rental", "total_return")]
-    summary = so_far.join(touched, "start", "left_semi").groupBy("start", "end", STATION).agg(*sums)
-    write_bucketed(summary, tables.path(HOURLY_SUMMARY))
+    write_bucketed(so_far.groupBy("start", "end", STATION).agg(*sums), tables.path(HOURLY_SUMMARY))
 
 
 def _update_totals(flows: DataFrame, tables: JobTables, epoch: int, first: date, last: date) -> None:
@@ -147,11 +146,15 @@ def _update_totals(flows: DataFrame, tables: JobTables, epoch: int, first: date,
     partials.write(epoch)
     # A window reaches into the neighbouring hour, which may be in the neighbouring day.
     so_far = partials.read(epoch, first - timedelta(days=1), last + timedelta(days=1))
-    # A bucket is replaced as a whole, so all its windows are summed, touched or not.
     touched = totals_from_panes(so_far.filter(F.col("epoch") == epoch), "start")
-    buckets = with_bucket(touched).select(*BUCKET).distinct()
-    totals = with_bucket(totals_from_panes(so_far, "start")).join(buckets, list(BUCKET), "left_semi")
-    write_bucketed(totals.drop(*BUCKET), tables.path(TOTAL_HOURLY_STATS))
+    totals = _in_buckets_of(totals_from_panes(so_far, "start"), touched)
+    write_bucketed(totals, tables.path(TOTAL_HOURLY_STATS))
+
+
+def _in_buckets_of(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows whose bucket ``touched`` has a row in: a bucket is replaced as a whole."""
+    buckets = with_bucket(touched.select("end").distinct()).select(*BUCKET).distinct()
+    return with_bucket(rows).join(buckets, list(BUCKET), "left_semi").drop(*BUCKET)
 
 
 class Partials:
@@ -163,7 +166,7 @@ class Partials:
 
     def __init__(self, tables: JobTables, name: str, sums: DataFrame):
         self.folder = Folder(tables.root.spark, tables.path(name))
-        self.rows = sums.withColumn("event_date", F.date_format("start", "yyyy-MM-dd"))
+        self.rows = sums.withColumn("event_date", F.to_date("start").cast("string"))
         self.schema = self.rows.schema.add("epoch", "long")
 
     def write(self, epoch: int) -> None:

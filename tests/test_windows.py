@@ -16,6 +16,8 @@ from stationflow.operators import (
     total_by_window,
 )
 
+from stationflow.sinks import with_bucket
+
 
 def flows(spark, *data, time_type="timestamp_ntz"):
     data = [(s, at(t) if t else None, rental, ret) for s, t, rental, ret in data]
@@ -47,6 +49,21 @@ def test_hours_of_zoned_time(spark):
         assert rows(zoneless, *COLUMNS) == HOURS
 
 
+def test_zoneless_hours_ignore_the_session_zone(spark):
+    # 02:30 does not exist on this day in the session's zone.
+    df = flows(spark, ("A", "2024-03-10 02:30:00", 1, 0), ("A", "2024-03-10 03:30:00", 2, 0))
+    expected = [(at("2024-03-10 02:00"), at("2024-03-10 03:00"), "A", 1, 0),
+                (at("2024-03-10 03:00"), at("2024-03-10 04:00"), "A", 2, 0)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows(hourly_truncated(df), *COLUMNS) == expected
+        bucketed = with_bucket(hourly_tumbling(df), "start")
+        assert rows(bucketed, "start", "end", "stationId", "total_rental", "total_return") == expected
+        assert rows(bucketed, "day", "hour") == [("10", "02"), ("10", "03")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_rows_without_time_fall_in_no_hour(spark):
     df = flows(spark, ("A", None, 1, 1), ("A", "10:00", 2, 2))
     assert hourly_tumbling(df).count() == hourly_truncated(df).count() == 1
