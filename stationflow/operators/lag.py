@@ -8,9 +8,9 @@ per slice at most, are lagged once more by station. Both halves of the result re
 same columns of the same shuffle, so the planner runs the scan and the shuffle once.
 
 A day with too many rows for one task is cut into hours, minutes or seconds, whichever is
-the coarsest that suffices, so a burst is cut as finely as a steady flood. Only rows of one
-station *and* second always stay together; ``dedupe_snapshots`` collapses repeats of an
-instant beforehand, and the feed's timestamps resolve no more than seconds.
+the coarsest that suffices, so a burst is cut as finely as a steady flood. A second that
+alone has too many is cut into its instants, and an instant of too many repeats by the
+first tie-breaker.
 """
 
 from __future__ import annotations
@@ -29,25 +29,28 @@ from stationflow.schema import COUNT, PREVIOUS, STATION, TIME
 SPLIT_ROWS = 5_000_000
 
 
-def _cut_full_days(rows: DataFrame, split_rows: int) -> DataFrame:
-    """Add ``_cut``: the hour, minute or second of a row of a full day, 0 on other days.
+def _cut_full_days(
+    rows: DataFrame, split_rows: int, repeat_key: str
+) -> tuple[DataFrame, list[str]]:
+    """Rows with the columns that cut full days, and the names of these columns.
 
-    Full days belong to stations with more than ``split_rows`` rows, and of either there
-    are fewer than (all rows / ``split_rows``), which bounds both broadcasts: 2 million
-    short rows for 10^13 snapshots at the default. With no such station, the usual case,
-    adaptive execution drops all of this but one count per station.
+    Full days, seconds and instants belong to stations with more than ``split_rows``
+    rows, and of each kind there are fewer than (all rows / ``split_rows``), which bounds
+    the broadcasts: 2 million short rows each for 10^13 snapshots at the default. With no
+    such station, the usual case, adaptive execution drops all of this but one count per
+    station.
     """
     of_day = F.hour(TIME) * 3600 + F.minute(TIME) * 60 + F.second(TIME)
     second = F.unix_seconds(TIME) if is_zoned(rows) else of_day  # both rise with the time
-    counted = F.count("*").alias("_n")
-    overfull = F.col("_n") > split_rows
+    rows = rows.withColumn("_second", second)
+    counted, overfull = F.count("*").alias("_n"), F.col("_n") > split_rows
     busy = rows.groupBy(STATION).agg(counted).filter(overfull).select(STATION)
-    minutes = (
-        rows.join(F.broadcast(busy), STATION, "left_semi")
-        .groupBy(STATION, "_day", F.floor(second / 60).alias("_minute"))
-        .agg(counted)
-    )
-    hours = minutes.groupBy(STATION, "_day", F.floor(F.col("_minute") / 60)).agg(
+    crowd = rows.join(F.broadcast(busy), STATION, "left_semi")
+
+    seconds = crowd.groupBy(STATION, "_day", "_second").agg(counted)
+    hour, minute = F.floor(F.col("_second") / 3600), F.floor(F.col("_second") / 60)
+    minutes = seconds.groupBy(STATION, "_day", hour.alias("_hour"), minute).agg(F.sum("_n").alias("_n"))
+    hours = minutes.groupBy(STATION, "_day", "_hour").agg(
         F.sum("_n").alias("_n"), F.max("_n").alias("_in_minute")
     )
     days = hours.groupBy(STATION, "_day").agg(
@@ -58,12 +61,30 @@ def _cut_full_days(rows: DataFrame, split_rows: int) -> DataFrame:
         .when(F.col("_in_minute") <= split_rows, 60)
         .otherwise(1)
     )
-    full = days.filter(overfull).select(STATION, "_day", grain.alias("_grain"))
-    return (
-        rows.join(F.broadcast(full), [STATION, "_day"], "left")
-        .withColumn("_cut", F.coalesce(F.floor(second / F.col("_grain")), F.lit(0)))
-        .drop("_grain")
+    full_days = days.filter(overfull).select(STATION, "_day", grain.alias("_grain"))
+    full_seconds = seconds.filter(overfull).select(STATION, "_day", "_second", F.lit(True).alias("_full"))
+
+    key = F.col(repeat_key).cast("double")
+    span = (F.col("_to") - F.col("_from") + 1) / F.ceil(F.col("_n") / split_rows)
+    full_instants = (
+        crowd.groupBy(STATION, TIME)
+        .agg(counted, F.min(key).alias("_from"), F.max(key).alias("_to"))
+        .filter(overfull)
+        .select(STATION, TIME, "_from", span.alias("_span"))
+    )
+    cuts = {
+        "_cut": F.coalesce(F.floor(F.col("_second") / F.col("_grain")), F.lit(0)),
+        "_instant": F.when(F.col("_full"), F.col(TIME)),
+        "_part": F.coalesce(F.floor((key - F.col("_from")) / F.col("_span")), F.lit(0)),
+    }
+    cut = (
+        rows.join(F.broadcast(full_days), [STATION, "_day"], "left")
+        .join(F.broadcast(full_seconds), [STATION, "_day", "_second"], "left")
+        .join(F.broadcast(full_instants), [STATION, TIME], "left")
+        .withColumns(cuts)
+        .drop("_second", "_grain", "_full", "_from", "_span")
     )
+    return cut, list(cuts)
 
 
 def lag_placed(
@@ -73,11 +94,12 @@ def lag_placed(
     split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """``delta_lag`` of rows that all have station and time."""
+    # (day, hour or minute or second, instant, part of an instant), each rising with the order
     rows = snapshots.withColumn("_day", F.to_date(TIME))
     slices = ["_day"]
     if split_rows is not None:
-        rows = _cut_full_days(rows, split_rows)
-        slices.append("_cut")
+        rows, cuts = _cut_full_days(rows, split_rows, [*ties, COUNT][0])
+        slices += cuts
 
     # Ending on the count makes the order of repeats of one instant reproducible.
     order = [TIME, *ties, COUNT]
@@ -121,7 +143,7 @@ def delta_lag(
 ) -> DataFrame:
     """Add ``prev_count, diff, rental, return``: the change since the station's last row.
 
-    ``ties`` orders rows of equal time. The first row of a station has no predecessor
+    ``ties`` orders rows of equal time; the first of them is numeric. The first row of a station has no predecessor
     unless ``baseline``, a state of one row per station, knows a count from before.
     ``split_rows=None`` skips the search for overfull days, for data known to have none.
 

@@ -11,7 +11,7 @@ SNAPSHOTS = "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int,
 
 def at(text: str) -> datetime:
     """``10:05`` on the first of July, or a full timestamp."""
-    return datetime.fromisoformat(text if len(text) > 8 else f"2024-07-01 {text}")
+    return datetime.fromisoformat(text if "-" in text else f"2024-07-01 {text}")
 
 
 def snapshots(spark: SparkSession, *rows: tuple) -> DataFrame:

@@ -79,12 +79,31 @@ def test_a_full_day_is_cut_as_finely_as_its_fullest_part_needs(spark):
             for d, hours, minutes, seconds in [(1, 4, 1, 1), (2, 1, 4, 1), (3, 1, 1, 4), (4, 1, 1, 2)]
             for h in range(hours) for m in range(minutes) for x in range(seconds)]
     df = snapshots(spark, *data).withColumn("_day", F.to_date("event_time"))
-    cuts = lag._cut_full_days(df, 3).groupBy("_day", "_cut").agg(F.count("*").alias("n"))
+    cut, names = lag._cut_full_days(df, 3, "offset")
+    cuts = cut.groupBy("_day", *names).agg(F.count("*").alias("n"))
     days = cuts.groupBy(F.day("_day").alias("day")).agg(
         F.max("n").alias("largest"), F.count("*").alias("parts"))
     assert rows(days, "day", "largest", "parts") == [(1, 1, 4), (2, 1, 4), (3, 1, 4), (4, 2, 1)]
 
 
+@pytest.mark.parametrize("ties", [["offset"], []])
+def test_lag_of_an_instant_with_too_many_repeats(spark, ties):
+    rng = random.Random(5)
+    instants = ["09:59:59.5", "10:00:00.1", "10:00:00.2", "10:00:00.2", "10:00:00.2", "10:00:00.3", "10:00:01"]
+    data = [("A", at(rng.choice(instants)), rng.randrange(9), i) for i in range(150)]
+    df = spark.createDataFrame(
+        data, "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, offset bigint")
+    cut, names = lag._cut_full_days(df.withColumn("_day", F.to_date("event_time")), 20, "offset")
+    assert cut.groupBy("_day", *names).count().agg(F.max("count")).first()[0] <= 30
+    got = delta_lag(df, ties, split_rows=20)
+    if ties:
+        assert rows(got, "offset", "prev_count") == brute_force(data)
+    else:
+        plain = delta_lag(df, ties, split_rows=None)
+        columns = ("event_time", "parkingBikeTotCnt", "prev_count")
+        assert rows(got, *columns) == rows(plain, *columns)
+
+
 def test_rows_without_station_or_time_are_kept_without_flow(spark):
     df = snapshots(spark, (None, "10:00", 5), (None, "10:01", 9), ("A", None, 2), ("A", "10:00", 3))
     got = delta_lag(df)
