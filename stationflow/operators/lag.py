@@ -29,6 +29,12 @@ from stationflow.schema import COUNT, PREVIOUS, STATION, TIME
 SPLIT_ROWS = 5_000_000
 
 
+def _busy_stations(rows: DataFrame, split_rows: int) -> DataFrame:
+    """Stations that could have a full day at all: a count that combines before it shuffles."""
+    counts = rows.groupBy(STATION).agg(F.count("*").alias("_n"))
+    return counts.filter(F.col("_n") > split_rows).select(STATION)
+
+
 def _cut_full_days(
     rows: DataFrame, split_rows: int, repeat_key: str
 ) -> tuple[DataFrame, list[str]]:
@@ -36,16 +42,13 @@ def _cut_full_days(
 
     Full days, seconds and instants belong to stations with more than ``split_rows``
     rows, and of each kind there are fewer than (all rows / ``split_rows``), which bounds
-    the broadcasts: 2 million short rows each for 10^13 snapshots at the default. With no
-    such station, the usual case, adaptive execution drops all of this but one count per
-    station.
+    the broadcasts: 2 million short rows each for 10^13 snapshots at the default.
     """
     of_day = F.hour(TIME) * 3600 + F.minute(TIME) * 60 + F.second(TIME)
     second = F.unix_seconds(TIME) if is_zoned(rows) else of_day  # both rise with the time
     rows = rows.withColumn("_second", second)
     counted, overfull = F.count("*").alias("_n"), F.col("_n") > split_rows
-    busy = rows.groupBy(STATION).agg(counted).filter(overfull).select(STATION)
-    crowd = rows.join(F.broadcast(busy), STATION, "left_semi")
+    crowd = rows.join(F.broadcast(_busy_stations(rows, split_rows)), STATION, "left_semi")
 
     seconds = crowd.groupBy(STATION, "_day", "_second").agg(counted)
     hour, minute = F.floor(F.col("_second") / 3600), F.floor(F.col("_second") / 60)
@@ -97,7 +100,7 @@ def lag_placed(
     # (day, hour or minute or second, instant, part of an instant), each rising with the order
     rows = snapshots.withColumn("_day", F.to_date(TIME))
     slices = ["_day"]
-    if split_rows is not None:
+    if split_rows is not None and not _busy_stations(rows, split_rows).isEmpty():
         rows, cuts = _cut_full_days(rows, split_rows, [*ties, COUNT][0])
         slices += cuts
 
@@ -143,9 +146,11 @@ def delta_lag(
 ) -> DataFrame:
     """Add ``prev_count, diff, rental, return``: the change since the station's last row.
 
-    ``ties`` orders rows of equal time; the first of them is numeric. The first row of a station has no predecessor
-    unless ``baseline``, a state of one row per station, knows a count from before.
-    ``split_rows=None`` skips the search for overfull days, for data known to have none.
+    ``ties`` orders rows of equal time; the first of them is numeric. The first row of a
+    station has no predecessor unless ``baseline``, a state of one row per station, knows
+    a count from before. Whether any station has more than ``split_rows`` rows is counted
+    at once, to keep the plan of the usual case small; ``split_rows=None`` skips that for
+    data known to have none.
 
     A row without station or time stands in no series: it is kept with no predecessor
     and no flow, and is not shuffled, so a flood of malformed rows makes no hot key.

@@ -36,12 +36,17 @@ def test_scans_read_only_needed_columns_and_no_plan_pairs_rows(spark, name):
 
 
 def test_lag_scans_and_shuffles_its_rows_once(spark):
-    # One scan for the rows, one narrow scan that counts them; strays are a third, whose
-    # null check is pushed down. The second half of the union reuses the shuffle.
+    # Strays are a second scan, whose null check is pushed down.
     plan = final_plan_of(hourly_tumbling(delta_lag(snapshots(spark, SF), TIES)))
     assert plan.count("ReusedExchange") == 1
     with_json = [s for s in re.findall(r"ReadSchema: (.*)", plan) if "props" in s]
-    assert len(with_json) == 1
+    assert len(with_json) == 1 and "BroadcastExchange" not in plan
+
+
+def test_cutting_full_days_broadcasts_only_counted_lists(spark):
+    plan = plan_of(delta_lag(snapshots(spark, SF), TIES, split_rows=20))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert re.search(r"Filter \(_n#\d+L > 20\)", plan)
 
 
 def test_baseline_touches_edge_rows_only(spark):
