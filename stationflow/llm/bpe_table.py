@@ -173,7 +173,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         out = [ids[spread(begin[a], count[a])].tobytes() for a in at]
         return pa.table({key: left.column("key"), "ids": pa.array(out, pa.binary())})
 
-    pages = dealt.select("chunk", "text").mapInArrow(list_words, _PAGES)
+    # All columns go into both uses of `dealt`, so that Spark sees one shuffle and reuses it.
+    pages = dealt.mapInArrow(list_words, _PAGES)
     encoded = pages.groupBy("page").applyInArrow(encode_words, _IDS)
     schema = StructType([StructField(key, docs.schema[key].dataType), StructField("ids", BinaryType())])
     return dealt.groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(join_back, schema)
