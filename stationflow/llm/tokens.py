@@ -83,6 +83,7 @@ class Words:
 
     def __init__(self, texts: Texts, lower: bool = False):
         data = texts.data
+        self.raw = texts.data.tobytes()
         inside = ~SPACE[data]
         edge = inside.copy()
         edge[1:] &= ~inside[:-1]
