@@ -43,6 +43,7 @@ class Rows:
         place = {x: i for i, x in enumerate(distinct)}
         #: Of each row as it came, the place of its equal among the distinct ones.
         self.inverse = [place[x] for x in zip(keys, texts)]
+        self.times = np.bincount(self.inverse, minlength=len(distinct))
         self.keys = np.array([np.iinfo(np.int64).min if k is None else k for k, _ in distinct], dtype=np.int64)
         self.texts = pa.array([t for _, t in distinct], pa.large_string())
 
