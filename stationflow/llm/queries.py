@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, curriculum, decision_list, level_windows, repeat_bytes
+from . import bpe_table, curriculum, decision_list, level_windows, repeat_bytes, set_join
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -36,6 +36,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.join_sets(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeat_bytes.remove_repeats(table(spark, sf_dir, "documents"), length=200)
     return out.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -54,6 +58,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_quality_rules": op2_quality_rules,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_repeated_bytes": op4_repeated_bytes,
     "op5_repeated_words": op5_repeated_words,
     "op7_bpe": op7_bpe,
