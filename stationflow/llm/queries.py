@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, curriculum, decision_list, level_windows, repeat_bytes, set_join
+from . import bpe_table, curriculum, decision_list, level_windows, repeat_bytes, set_join, simhash
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -50,6 +50,15 @@ def op5_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With n_close: of every document whose id is divisible by 20, other documents within 3 bits of its fingerprint."""
+    out = simhash.compare_with_edits(table(spark, sf_dir, "documents"))
+    have = out.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("documents"))
+    close = simhash.within_radius(out.filter("doc_id % 20 = 0"), have, radius=3)
+    counts = close.join(have.withColumnRenamed("fingerprint", "other"), "other").groupBy("fingerprint").agg((F.sum("documents") - 1).alias("n_close"))
+    return out.join(counts, "fingerprint", "left").withColumn("n_close", F.when(F.col("doc_id") % 20 == 0, F.col("n_close")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{TOKENIZERS}/byte_bpe_50k.json"
     return bpe_table.digests(bpe_table.decode(bpe_table.encode(table(spark, sf_dir, "documents"), path), path))
@@ -61,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_repeated_bytes": op4_repeated_bytes,
     "op5_repeated_words": op5_repeated_words,
+    "op6_fingerprints": op6_fingerprints,
     "op7_bpe": op7_bpe,
 }
 
