@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, curriculum, decision_list, level_windows, repeat_bytes, set_join, simhash
+from . import bpe_table, curriculum, decision_list, level_windows, repeat_bytes, set_join, simhash, url_model, weak_toxicity
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -64,6 +64,24 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_table.digests(bpe_table.decode(bpe_table.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+RULES = [
+    url_model.Rule("com", "/", "allow"),
+    url_model.Rule("example.com", "/en/", "block"),
+    url_model.Rule("www.example.com", "/en/", "allow"),
+    url_model.Rule("net", "/es/", "block"),
+    url_model.Rule("net", "/fr/", "block"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_model.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return weak_toxicity.score(docs, weak_toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -72,6 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeated_words": op5_repeated_words,
     "op6_fingerprints": op6_fingerprints,
     "op7_bpe": op7_bpe,
+    "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

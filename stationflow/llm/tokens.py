@@ -79,12 +79,12 @@ class Texts:
 
 
 class Words:
-    """Words of a run of texts: first byte, end byte, row and hash of each."""
+    """Words of a run of texts: first byte, end byte, row and hash of each. outside: the bytes between words."""
 
-    def __init__(self, texts: Texts, lower: bool = False):
+    def __init__(self, texts: Texts, lower: bool = False, outside: np.ndarray = SPACE):
         data = texts.data
         self.raw = texts.data.tobytes()
-        inside = ~SPACE[data]
+        inside = ~outside[data]
         edge = inside.copy()
         edge[1:] &= ~inside[:-1]
         begins = texts.offsets[:-1][texts.offsets[:-1] < len(data)]
