@@ -102,8 +102,15 @@ class Words:
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
         sums = _sums(_BYTE_VALUES[data])
+        self._sums = sums
         self.hash = mixed((sums[self.end] - sums[self.start]) * powers(len(data) + 1)[1][self.start])
 
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row, and hash of the first `size` bytes, of the words longer than that."""
+        start = self.start[self.end - self.start > size]
+        hashes = (self._sums[start + size] - self._sums[start]) * powers(len(self._sums))[1][start]
+        return self.row[self.end - self.start > size], mixed(hashes)
+
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of each window of `length` words inside one row."""
         hashes = window_hashes(self.hash, length)

@@ -1,14 +1,16 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: each word of a lexicon mined from labelled rows, and fixed patterns. A voter says toxic,
+Many voters look at a text: each entry of a lexicon of words and stems mined from labelled rows, and fixed patterns. A voter says toxic,
 clean or nothing. A generative label model takes the true class as hidden and estimates, by expectation
 maximisation, how often each voter says what for each class; it measures how voters go together within
 a class and weighs those that repeat others less. A given label is one more voter. Its posterior labels train a
-linear classifier over the words of a text, which is what scores the corpus.
+linear classifier over words and stems of a text, which is what scores the corpus.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import saved
 from .tokens import Texts, Words, pieces
 
 #: A term is a run of ASCII letters and non-ASCII bytes, A-Z in lower case.
@@ -26,6 +29,10 @@ BETWEEN_TERMS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 # Second persons, and negations and insults' usual company, in four languages.
 SECOND_PERSON = ["you", "your", "yours", "du", "dich", "dir", "dein", "deine", "ihr", "tu", "te", "toi", "vous", "votre", "tus", "usted", "ustedes"]
 
+#: Letters of a stem. Of a feature of a text it counts whether it occurs once, twice, three times or more.
+STEMS = (4, 5, 6, 7)
+LEVELS = 3
+
 PATTERNS = ["shouts", "exclaims", "masks_letters", "addresses", "long_terms", "symbols"]
 
 
@@ -37,14 +44,16 @@ def term_hashes(words: list[str]) -> np.ndarray:
     return terms(Texts(pa.array(words, pa.large_string()))).hash if words else np.zeros(0, np.uint64)
 
 
-def distinct_terms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of the distinct terms of each text."""
-    found = terms(texts)
-    order = np.lexsort((found.hash, found.row))
-    row, hashes = found.row[order], found.hash[order]
-    new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
-    return row[new], hashes[new]
+def counted_features(text: str) -> Counter[str]:
+    """How often each term of a text and each stem of one occurs; a stem is the first letters of a longer term, and a star."""
+    out: Counter[str] = Counter()
+    for term, n in Counter(re.findall(rb"[a-z\x80-\xff]+", text.encode().lower())).items():
+        word = term.decode("utf-8", "replace")
+        out[word] += n
+        for size in STEMS:
+            if len(word) > size:
+                out[word[:size] + "*"] += n
+    return out
 
 
 def patterns(texts: Texts) -> np.ndarray:
@@ -89,78 +98,120 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     @classmethod
-    def fit(cls, votes: np.ndarray, start: np.ndarray, rounds: int = 25) -> LabelModel:
-        """start: first guess of each row's probability to be toxic."""
+    def fit(cls, votes: np.ndarray, start: np.ndarray, trusted: dict[int, float], rounds: int = 25) -> LabelModel:
+        """start: first guess of each row's probability to be toxic. trusted: voters whose accuracy is given, not estimated.
+
+        How voters go together is measured around the first guess: around later ones, voters that
+        repeat each other would explain themselves by the hidden class.
+        """
         said = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(np.float64)
-        p, model = start, None
-        for _ in range(rounds):
+
+        def estimate(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             by_class = np.stack([1 - p, p])
             rates = (np.einsum("yn,njv->jyv", by_class, said) + 0.1) / (by_class.sum(axis=1)[None, :, None] + 0.3)
-            # What voters have in common beyond the class.
-            rest = (votes != 0) - np.einsum("yn,jy->nj", by_class, 1 - rates[:, :, 1])
-            spread = np.sqrt((rest**2).mean(axis=0) + 1e-6)
-            together = np.clip(rest.T @ rest / len(votes) / np.outer(spread, spread), 0, 1)
-            np.fill_diagonal(together, 0)
-            weight = 1 / (1 + np.where(together > 0.2, together, 0).sum(axis=1))
-            model = cls(float(np.clip(p.mean(), 1e-3, 1 - 1e-3)), rates, weight)
+            for j, accuracy in trusted.items():
+                rates[j] = [[accuracy, 1e-6, 1 - accuracy], [1 - accuracy, 1e-6, accuracy]]
+            return by_class, rates
+
+        by_class, rates = estimate(start)
+        rest = (votes != 0) - np.einsum("yn,jy->nj", by_class, 1 - rates[:, :, 1])
+        spread = np.sqrt((rest**2).mean(axis=0) + 1e-6)
+        together = np.clip(rest.T @ rest / len(votes) / np.outer(spread, spread), 0, 1)
+        np.fill_diagonal(together, 0)
+        together[list(trusted)] = 0
+        weight = 1 / (1 + np.where(together > 0.05, together, 0).sum(axis=1))
+        model, p = cls(0.5, rates, weight), start
+        for _ in range(rounds):
+            model = cls(float(np.clip(p.mean(), 1e-3, 1 - 1e-3)), estimate(p)[1], weight)
             p = model.posterior(votes)
         return model
 
 
 @dataclass
 class Classifier:
-    """A linear classifier over distinct terms, told by hash (sorted)."""
+    """A linear classifier over features: weights[f, k] is added where feature f occurs more than k times."""
 
-    hashes: np.ndarray
+    features: list[str]
     weights: np.ndarray
     bias: float
 
-    def score(self, rows: int, row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(rows, 1 / (1 + np.exp(-self.bias)))
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        value = np.where(self.hashes[at] == hashes, self.weights[at], 0.0)
-        odds = np.bincount(row, weights=value, minlength=rows) + self.bias
+    def __post_init__(self) -> None:
+        #: By the bytes of a stem (0: whole terms), sorted hashes and the features they stand for.
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        sizes = [len(f.encode()) - 1 if f.endswith("*") else 0 for f in self.features]
+        hashes = term_hashes([f.removesuffix("*") for f in self.features])
+        for size in sorted(set(sizes)):
+            mine = np.flatnonzero(np.array(sizes) == size)
+            mine = mine[np.argsort(hashes[mine])]
+            self.tables[size] = hashes[mine], mine
+
+    def hits(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, feature and count of the features in each text."""
+        found = terms(texts)
+        rows, features = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size, (hashes, mine) in self.tables.items():
+            row, h = (found.row, found.hash) if not size else found.prefixes(size)
+            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = hashes[at] == h
+            rows.append(row[hit])
+            features.append(mine[at[hit]])
+        both, count = np.unique(np.concatenate(rows) * max(len(self.features), 1) + np.concatenate(features), return_counts=True)
+        return both // max(len(self.features), 1), both % max(len(self.features), 1), count
+
+    def score(self, texts: Texts) -> np.ndarray:
+        row, feature, count = self.hits(texts)
+        value = np.cumsum(self.weights, axis=1)[feature, np.minimum(count, LEVELS) - 1] if len(row) else np.zeros(0)
+        odds = np.bincount(row, weights=value, minlength=texts.rows) + self.bias
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def train(row: np.ndarray, hashes: np.ndarray, target: np.ndarray, chi: float = 20.0, steps: int = 300) -> Classifier:
-    """Logistic regression on soft labels, over terms that tell the classes apart beyond chance.
+def train(features: list[str], row: np.ndarray, feature: np.ndarray, count: np.ndarray, target: np.ndarray, steps: int = 300) -> Classifier:
+    """Logistic regression on soft labels, by gradient steps.
 
-    A term's value is how strongly it speaks for its class, so few steps suffice.
+    A feature and count has as its value how strongly it speaks for its class, so few steps suffice.
     """
-    n = len(target)
-    names, at, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    pos, toxic = np.bincount(at, weights=target[row], minlength=len(names)), float(target.sum())
+    n, toxic = len(target), float(target.sum())
     if n == 0 or not 0 < toxic < n:
-        return Classifier(names[:0], np.zeros(0), -5.0)
-    expected = count * toxic / n
-    statistic = (pos - expected) ** 2 / np.maximum(expected * (1 - toxic / n) * (1 - count / n), 1e-9)
-    chosen = np.flatnonzero((statistic >= chi) & (count >= 3))
-    place = np.full(len(names), -1)
-    place[chosen] = np.arange(len(chosen))
-    used = place[at] >= 0
-    r, f = row[used], place[at][used]
-    strength = np.log((pos[chosen] + 0.5) / (toxic + 1)) - np.log((count[chosen] - pos[chosen] + 0.5) / (n - toxic + 1))
-    w, b = np.zeros(len(chosen)), np.log(toxic / (n - toxic))
-    speed_w, speed_b = np.full(len(chosen), 1e-8), 1e-8
+        return Classifier([], np.zeros((0, LEVELS)), -5.0)
+    r = np.concatenate([row[count > k] for k in range(LEVELS)])
+    f = np.concatenate([feature[count > k] * LEVELS + k for k in range(LEVELS)])
+    size = len(features) * LEVELS
+    pos, every = np.bincount(f, weights=target[r], minlength=size), np.bincount(f, minlength=size)
+    strength = np.log((pos + 0.5) / (toxic + 1)) - np.log((every - pos + 0.5) / (n - toxic + 1))
+    strength = np.where(every >= 3, strength, 0.0)
+    w, b = np.zeros(size), np.log(toxic / (n - toxic))
+    speed_w, speed_b = np.full(size, 1e-8), 1e-8
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(r, weights=(w * strength)[f], minlength=n) + b, -30, 30)))
         gap = p - target
-        g = np.bincount(f, weights=gap[r], minlength=len(chosen)) * strength / n + 1e-5 * w
+        g = np.bincount(f, weights=gap[r], minlength=size) * strength / n + 1e-5 * w
         gb = gap.mean()
         speed_w, speed_b = speed_w + g * g, speed_b + gb * gb
         w, b = w - 0.3 * g / np.sqrt(speed_w), b - 0.3 * gb / np.sqrt(speed_b)
-    return Classifier(names[chosen], w * strength, float(b))
+    return Classifier(features, (w * strength).reshape(-1, LEVELS), float(b))
+
+
+def mine(sample: DataFrame, size: int, least_chi: float = 20.0) -> list[tuple[str, int, bool]]:
+    """The features, with a count, that tell the labels of a sample (label, text) apart most, and whether they speak for 1.
+
+    A top-k by the chi-squared statistic, over counts of all the sample.
+    """
 
+    def list_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
+                found = [(f, k) for f, n in counted_features(text).items() for k in range(min(n, LEVELS))]
+                yield pa.RecordBatch.from_arrays([pa.array([label] * len(found), pa.int64()), pa.array([f for f, _ in found], pa.string()), pa.array([k for _, k in found], pa.int32())], names=["label", "feature", "above"])
 
-def mine_lexicon(docs: DataFrame, size: int, min_texts: int = 5) -> list[str]:
-    """The terms of labelled texts (text, label) that speak most strongly for label 1: a top-k over counts of all of them."""
-    counts = docs.select("label", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z\x{80}-\x{10FFFF}]+"), F.lit(0)))).alias("term"))
-    counts = counts.groupBy("term").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= min_texts)
-    all_toxic, every = docs.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
-    odds = F.log((F.col("toxic") + 0.5) / (all_toxic + 1)) - F.log((F.col("texts") - F.col("toxic") + 0.5) / (every - all_toxic + 1))
-    return [r["term"] for r in counts.withColumn("odds", odds * F.sqrt("toxic")).filter("odds > 0").orderBy(F.desc("odds"), "term").limit(size).collect()]
+    counts = sample.select("label", "text").mapInArrow(list_features, "label long, feature string, above int")
+    counts = counts.groupBy("feature", "above").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("texts")).filter("texts >= 3")
+    toxic, every = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
+    if not 0 < toxic < every:
+        return []
+    expected = F.col("texts") * (toxic / every)
+    chi = F.pow(F.col("toxic") - expected, 2) / F.greatest(expected * (1 - toxic / every) * (1 - F.col("texts") / every), F.lit(1e-9))
+    top = counts.select("feature", "above", chi.alias("chi"), (F.col("toxic") > expected).alias("for")).filter(F.col("chi") >= least_chi)
+    return [(r["feature"], r["above"], r["for"]) for r in top.orderBy(F.desc("chi"), "feature", "above").limit(size).collect()]
 
 
 def held_out(key: str = "doc_id"):
@@ -168,43 +219,46 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = 10_000, lexicon: int = 64) -> Classifier:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = 8_000, max_features: int = 2_000, lexicon: int = 96, label_accuracy: float = 0.98) -> Classifier:
     """Learn from labelled documents that aren't held out; at most max_rows of them, those of the smallest key hashes.
 
-    What reaches the driver are those rows' votes and term hashes. Labels other than 0 and 1 are ignored; without labels
-    of both kinds the classifier scores every text low.
+    The first `lexicon` mined features that speak for 1 are the lexicon's voters. What reaches the driver are at most
+    max_features features, and votes and hits of those rows. Labels other than 0 and 1 are ignored; without
+    labels of both kinds the classifier scores every text low.
     """
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
     usable = usable.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("long").alias("label")).orderBy(F.xxhash64("key"), "key").limit(max_rows)
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(usable), "key").groupBy("key").agg(F.max("label").alias("label"), F.min("text").alias("text"))
-    words = mine_lexicon(sample.select("label", "text"), lexicon)
-    listed = term_hashes(words)
+    sample = saved(texts.join(F.broadcast(usable), "key").groupBy("key").agg(F.max("label").alias("label"), F.min("text").alias("text")))
+    mined = mine(sample, max_features)
+    features = list(dict.fromkeys(f for f, _, _ in mined))
+    finder = Classifier(features, np.zeros((len(features), LEVELS)), 0.0)
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, run in pieces(batches):
-            row, hashes = distinct_terms(run)
-            votes = np.zeros((run.rows, len(listed) + 1 + len(PATTERNS)), dtype=np.int8)
-            for j, h in enumerate(listed):
-                votes[row[hashes == h], j] = 1
-            votes[:, len(listed)] = np.where(votes[:, : len(listed)].any(axis=1), 0, -1)
-            votes[:, len(listed) + 1 :] = patterns(run)
+            row, feature, count = finder.hits(run)
             cuts = np.searchsorted(row, np.arange(run.rows + 1)).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("label"), pa.array([v.tobytes() for v in votes], pa.binary()), pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
-                names=["key", "label", "votes", "terms"],
-            )
+            columns = [pa.array([v.tobytes() for v in patterns(run)], pa.binary())]
+            columns += [pa.array([x[a:b].astype(np.int32).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in (feature, count)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), *columns], names=["key", "label", "votes", "features", "counts"])
 
-    table = sample.mapInArrow(vote, f"key {docs.schema[key].dataType.simpleString()}, label long, votes binary, terms binary").toArrow().sort_by("key")
+    table = sample.mapInArrow(look, f"key {docs.schema[key].dataType.simpleString()}, label long, votes binary, features binary, counts binary").toArrow().sort_by("key")
     gold = table.column("label").to_numpy()
-    if not 0 < gold.sum() < len(gold):
-        return train(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0))
-    votes = np.stack([np.frombuffer(v, dtype=np.int8) for v in table.column("votes").to_pylist()])
-    votes = np.column_stack([votes, np.where(gold == 1, 1, -1).astype(np.int8)])
-    model = LabelModel.fit(votes, np.where(gold == 1, 0.95, 0.05))
-    lists = [np.frombuffer(t, dtype=np.uint64) for t in table.column("terms").to_pylist()]
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    return train(row, np.concatenate(lists), model.posterior(votes))
+    lists = [np.frombuffer(x, dtype=np.int32) for x in table.column("features").to_pylist()]
+    counts = [np.frombuffer(x, dtype=np.int32) for x in table.column("counts").to_pylist()]
+    if not features:
+        return Classifier([], np.zeros((0, LEVELS)), -5.0)
+    row, feature, count = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists), np.concatenate(counts)
+    place = {f: i for i, f in enumerate(features)}
+    voters = [(place[f], above) for f, above, speaks_for in mined if speaks_for][:lexicon]
+    votes = np.zeros((len(lists), len(voters) + 2 + len(PATTERNS)), dtype=np.int8)
+    for j, (f, above) in enumerate(voters):
+        votes[row[(feature == f) & (count > above)], j] = 1
+    votes[:, len(voters)] = np.where(votes[:, : len(voters)].any(axis=1), 0, -1)
+    votes[:, len(voters) + 1] = np.where(gold == 1, 1, -1)
+    votes[:, len(voters) + 2 :] = np.stack([np.frombuffer(v, dtype=np.int8) for v in table.column("votes").to_pylist()])
+    model = LabelModel.fit(votes, np.where(gold == 1, label_accuracy, 1 - label_accuracy), {len(voters) + 1: label_accuracy})
+    return train(features, row, feature, count, model.posterior(votes))
 
 
 def score(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,8 +266,7 @@ def score(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, run in pieces(batches):
-            value = model.score(run.rows, *distinct_terms(run))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(value)], names=["key", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(model.score(run))], names=["key", "score"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     out = rows.mapInArrow(scored, f"key {docs.schema[key].dataType.simpleString()}, score double")
