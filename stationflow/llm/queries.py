@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, curriculum, decision_list, level_windows, repeat_bytes, set_join, simhash, url_model, weak_toxicity
+from . import bpe_table, curriculum, decision_list, level_windows, licence_text, repeat_bytes, set_join, simhash, url_model, weak_toxicity
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -64,6 +64,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_table.digests(bpe_table.decode(bpe_table.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licence_text.of_documents(docs, licence_text.scan(docs, licence_text.fit(docs)))
+
+
 RULES = [
     url_model.Rule("com", "/", "allow"),
     url_model.Rule("example.com", "/en/", "block"),
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeated_words": op5_repeated_words,
     "op6_fingerprints": op6_fingerprints,
     "op7_bpe": op7_bpe,
+    "op8_licences": op8_licences,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
