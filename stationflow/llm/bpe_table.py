@@ -195,10 +195,11 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encoded.select(key, "ids").mapInArrow(texts, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of ids and text."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, and SHA-256 of ids and text; more columns may be named."""
     return decoded.select(
         "doc_id",
+        *more,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),

@@ -22,13 +22,13 @@ PAGE = "chunk long, page long, keys binary, values binary"
 ANSWER = "chunk long, page long, level int, answer binary"
 
 
-def deal(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(key, text, chunk) of docs, dealt by chunk, and the number of chunks. A null text is empty.
+def deal(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None) -> tuple[DataFrame, int]:
+    """(key, text, carried columns as c0, c1, ..., chunk) of docs, dealt by chunk, and the number of chunks. A null text is empty.
 
     One number, the bytes of all texts, goes to the driver. The result is meant to be used more than once in
     one plan: Spark shuffles it once and reuses that.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry or [])])
     n = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // chunk_bytes))
     return rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(n))).repartition(n, "chunk"), n
 
@@ -51,8 +51,9 @@ class Rows:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(self.texts))), self.texts], names=["row", "text"])
 
     def out(self, **columns: list) -> pa.Table:
-        """A table of a column of keys and of others given by distinct row."""
-        return pa.table({"key": self.table.column("key")} | {k: pa.array(v).take(pa.array(self.inverse, pa.int64())) for k, v in columns.items()})
+        """A table of the keys, the carried columns and others given by distinct row."""
+        carried = {c: self.table.column(c) for c in self.table.column_names if c not in ("key", "text", "chunk")}
+        return pa.table({"key": self.table.column("key")} | carried | {k: pa.array(v).take(pa.array(self.inverse, pa.int64())) for k, v in columns.items()})
 
 
 def paged(keys: np.ndarray, n: int) -> np.ndarray:

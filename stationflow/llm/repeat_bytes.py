@@ -286,16 +286,18 @@ def _answer_contexts(length: int, gram: int):
     return answer
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, gram: int = GRAM, most: int = MOST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(key, n_bytes, n_removed, starts, ends, kept) of every row: the removed runs of bytes, and the bytes left.
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, gram: int = GRAM, most: int = MOST, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
+    """(key, carried columns, n_bytes, n_removed, starts, ends, kept) of every row: the removed runs of bytes, and the bytes left.
 
     A byte goes if a string of `length` bytes over it also starts anywhere else, in the same text or another.
     Texts are UTF-8 bytes; a null text is empty; texts shorter than `length` stay whole. Strings are judged on the
-    input. Rows equal in key and text repeat each other as any other two do. Keys are integers. `kept` is binary, as a run may begin inside a character.
+    input. Rows equal in key and text repeat each other as any other two do. Keys are integers. `kept` is binary, as a run may begin inside a character; as_text makes it
+    a string, without the characters that a run has cut.
     """
     if not 0 < gram < length:
         raise ValueError("a gram is shorter than a string")
-    dealt, n = deal(docs, key, text, chunk_bytes)
+    carry = carry or []
+    dealt, n = deal(docs, key, text, chunk_bytes, carry)
     by_chunk = dealt.groupBy("chunk")
 
     def chunk_of(table: pa.Table) -> int:
@@ -346,9 +348,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 out["n_removed"].append(int((e - s).sum()))
                 out["starts"].append(s.tolist())
                 out["ends"].append(e.tolist())
-                out["kept"].append(body[a:b][~gone[a:b]].tobytes())
-        table = rows.out(n_bytes=pa.array(out["n_bytes"], pa.int64()), n_removed=pa.array(out["n_removed"], pa.int64()), starts=pa.array(out["starts"], pa.list_(pa.int64())), ends=pa.array(out["ends"], pa.list_(pa.int64())), kept=pa.array(out["kept"], pa.binary()))
-        return table.rename_columns([key, *table.column_names[1:]])
+                out["kept"].append(_text_left(body[a:b].tobytes(), s.tolist(), e.tolist()) if as_text else body[a:b][~gone[a:b]].tobytes())
+        table = rows.out(n_bytes=pa.array(out["n_bytes"], pa.int64()), n_removed=pa.array(out["n_removed"], pa.int64()), starts=pa.array(out["starts"], pa.list_(pa.int64())), ends=pa.array(out["ends"], pa.list_(pa.int64())), kept=pa.array(out["kept"], pa.string() if as_text else pa.binary()))
+        return table.rename_columns([key, *carry, *table.column_names[1 + len(carry) :]])
 
     answers = answered(by_chunk.applyInArrow(ask_grams, PAGE), 0, np.uint32, _how_often(most))
     contexts = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(ask_contexts, CONTEXTS)
@@ -356,5 +358,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     found = contexts.groupBy("page").applyInArrow(_answer_contexts(length, gram), ANSWER)
     again = answered(windows, 2, np.dtype([("other", np.uint64), ("count", np.uint32)]), _more_than_once)
     everything = answers.unionByName(found).unionByName(again)
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept binary"
+    given = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in [key, *carry])
+    schema = f"{given}, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept {"string" if as_text else "binary"}"
     return by_chunk.cogroup(everything.groupBy("chunk")).applyInArrow(remove, schema)
+
+
+def _text_left(body: bytes, starts: list[int], ends: list[int]) -> str:
+    return "".join(body[a:b].decode("utf-8", "ignore") for a, b in zip([0, *ends], [*starts, len(body)]))
