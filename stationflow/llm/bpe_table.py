@@ -29,6 +29,7 @@ PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 CHUNK_BYTES = 16 << 20
 _GATHER = 1 << 20
+_BLOCK = 2048
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -68,8 +69,15 @@ class Vocabulary:
             out += [part] if i % 2 else self.find(part)
         return out
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each has. The tokenizer keeps much about each word, so it
+        gets them in blocks."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), _BLOCK):
+            found = [e.ids for e in self.tokenizer.encode_batch(words[k : k + _BLOCK], add_special_tokens=False)]
+            ids.append(np.array([i for x in found for i in x], dtype=np.uint32))
+            counts.append(np.array([len(x) for x in found], dtype=np.int64))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids' pieces: a join of ids to the vocabulary by id."""
@@ -110,11 +118,21 @@ def _pages(words: list[str], n_pages: int) -> list[tuple[int, list[str]]]:
 
 def _pack(words: list[str]) -> tuple[bytes, bytes]:
     raw = [w.encode() for w in words]
-    return b"".join(raw), np.array([len(r) for r in raw], dtype=np.uint32).tobytes()
+    # Sorted words and their short lengths compress well, which is most of what a page costs.
+    return zlib.compress(b"".join(raw), 1), _pack_numbers(np.array([len(r) for r in raw]))
+
+
+def _pack_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers as 32-bit ones, all lowest bytes first: the others are mostly zero, and vanish."""
+    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpack_numbers(body: bytes) -> np.ndarray:
+    return np.frombuffer(np.frombuffer(zlib.decompress(body), dtype=np.uint8).reshape(4, -1).T.tobytes(), dtype="<u4")
 
 
 def _unpack(body: bytes, lengths: bytes) -> list[str]:
-    ends = np.cumsum(np.frombuffer(lengths, dtype=np.uint32), dtype=np.int64).tolist()
+    body, ends = zlib.decompress(body), np.cumsum(_unpack_numbers(lengths), dtype=np.int64).tolist()
     return [body[a:b].decode() for a, b in zip([0, *ends], ends)]
 
 
@@ -149,23 +167,21 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         lists = [_unpack(b, n) for b, n in zip(table.column("words").to_pylist(), table.column("lengths").to_pylist())]
         distinct = list(dict.fromkeys(w for words in lists for w in words))
         place = dict(zip(distinct, range(len(distinct))))
-        ids = vocabulary(path).encode(distinct)
-        count = np.array([len(i) for i in ids], dtype=np.int64)
-        flat = np.array([x for i in ids for x in i], dtype=np.uint32)
+        flat, count = vocabulary(path).encode(distinct)
         begin = np.concatenate(([0], np.cumsum(count)[:-1])) if len(count) else count
         out_ids, out_counts = [], []
         for words in lists:
             at = np.array([place[w] for w in words], dtype=np.int64)
-            out_ids.append(flat[spread(begin[at], count[at])].tobytes())
-            out_counts.append(count[at].astype(np.uint32).tobytes())
+            out_ids.append(_pack_numbers(flat[spread(begin[at], count[at])]))
+            out_counts.append(_pack_numbers(count[at]))
         return pa.table({"chunk": table.column("chunk"), "page": table.column("page"), "ids": pa.array(out_ids, pa.binary()), "counts": pa.array(out_counts, pa.binary())})
 
     def join_back(left: pa.Table, right: pa.Table) -> pa.Table:
         places, split = _Places(), vocabulary(path).split
-        at = [np.fromiter(map(places.__getitem__, split(value)), dtype=np.int64) for value in left.column("text").to_pylist()]
+        at = [np.fromiter(map(places.__getitem__, split(value)), dtype=np.int32) for value in left.column("text").to_pylist()]
         right = right.sort_by("page")
-        ids = np.frombuffer(b"".join(right.column("ids").to_pylist()), dtype=np.uint32)
-        counts = np.frombuffer(b"".join(right.column("counts").to_pylist()), dtype=np.uint32).astype(np.int64)
+        ids, counts = (np.concatenate([np.zeros(0, np.uint32), *map(_unpack_numbers, right.column(c).to_pylist())]) for c in ("ids", "counts"))
+        counts = counts.astype(np.int64)
         order = np.array([places[w] for _, words in _pages(list(places), n) for w in words], dtype=np.int64)
         count, begin = np.zeros(len(places), dtype=np.int64), np.zeros(len(places), dtype=np.int64)
         count[order] = counts
