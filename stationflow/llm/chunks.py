@@ -22,15 +22,21 @@ PAGE = "chunk long, page long, keys binary, values binary"
 ANSWER = "chunk long, page long, level int, answer binary"
 
 
-def deal(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None) -> tuple[DataFrame, int]:
-    """(key, text, carried columns as c0, c1, ..., chunk) of docs, dealt by chunk, and the number of chunks. A null text is empty.
+def chunked(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None) -> tuple[DataFrame, int]:
+    """(key, text, carried columns as c0, c1, ..., chunk) of docs, where they are, and the number of chunks. A null text is empty.
 
-    One number, the bytes of all texts, goes to the driver. The result is meant to be used more than once in
-    one plan: Spark shuffles it once and reuses that.
+    One number, the bytes of all texts, goes to the driver.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry or [])])
     n = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // chunk_bytes))
-    return rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(n))).repartition(n, "chunk"), n
+    return rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(n))), n
+
+
+def deal(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None) -> tuple[DataFrame, int]:
+    """As `chunked`, with each chunk in one place. The result is meant to be used more than once in one plan: Spark
+    shuffles it once and reuses that."""
+    rows, n = chunked(docs, key, text, chunk_bytes, carry)
+    return rows.repartition(n, "chunk"), n
 
 
 class Rows:

@@ -3,18 +3,20 @@
 Texts with equal sets form a class, and one of each class takes part. The shingles of a set stand in the order of
 their hashes. Sets that are similar enough share some of the first ones: those are looked up in index lists.
 
-Skipping in the index: a list is sorted by size and cut into blocks by position. Against an entry only blocks
-of sizes in reach are read, and of these only positions from which enough shingles are left to share. A bitmap
-of each set bounds from below in how many shingles two sets differ, and drops most pairs that are left.
-
-Skipping answers: pairs of a set with the least set it is paired with are compared first. Where sets are
-linked by that, further pairs among them can't change what is linked, and are skipped; a set answers for those
-that are highly similar to it. Only pairs of sets not yet connected are compared afterwards.
-
-A list with more than `most` entries is not read. A set looks up more shingles than it must, so it finds all its
-links if only few of its lists are that long. If many are, the set is looked up by segments as well: shingles
-are dealt into more segments than linked sets can differ in, so linked sets have one in common throughout.
-A long list of segments compares all with its least set, and then only what that has left unconnected.
+Skipping in the index: a list is in the order of the positions its shingle has in the sets. Linked sets have a
+shingle they share at nearly the same position, so an entry reads the block of the list in reach of its own
+position and skips the others. A bitmap of each set bounds from below in how many shingles two sets differ. A
+set looks up twice the shingles it must, and so shares many of them with each set it is linked to:
+pairs that share fewer are dropped before any sets are compared.
+
+Skipping answers: a set is compared with one of its candidates; what it shares with the others follows, within
+bounds, from what that one shares with them, which is computed once for all sets that are like it. Only where
+bounds leave it open are two sets compared. Pairs of sets that are connected already are skipped.
+
+A list with more than `most` entries is not read. A set finds all its links if few enough of its lists are that
+long. If not, the set is looked up by segments as well: shingles are dealt into more segments than linked sets can
+differ in, so linked sets have one in common throughout. A long list of segments compares all with its
+least set, and then only what that has left unconnected.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import CHUNK_BYTES, PAGE, answered, deal, paged, read_answers, write_pages
+from .chunks import CHUNK_BYTES, PAGE, answered, chunked, paged, read_answers, write_pages
 from .components import components
 from .shared import saved
 from .tokens import Words, mixed, pieces, window_hashes
@@ -36,7 +38,7 @@ MOST = 256
 _ONCE, _SOME, _MANY = 0, 1, 2
 _BITS = 256
 
-ENTRY = np.dtype([("list", np.uint64), ("key", np.int64), ("size", np.int32), ("at", np.int32), ("bits", np.uint64, _BITS // 64)])
+ENTRY = np.dtype([("list", np.uint64), ("key", np.int64), ("size", np.int32), ("at", np.int32), ("need", np.int32), ("bits", np.uint64, _BITS // 64)])
 
 
 class Sets:
@@ -77,7 +79,8 @@ def least_shared(size: np.ndarray, percent: int) -> np.ndarray:
 
 def spare(size: np.ndarray, percent: int) -> np.ndarray:
     """Shingles looked up beyond those that must be: so many long lists a set can do without."""
-    return size - least_shared(size, percent)
+    least = least_shared(size, percent)
+    return np.maximum(np.minimum(size - least, least - 1), 0)
 
 
 def most_different(size: np.ndarray, percent: int) -> np.ndarray:
@@ -115,10 +118,11 @@ class _Looked:
         odd = np.bincount(self.sets.row * _BITS + bit.astype(np.int64), minlength=n * _BITS).reshape(n, _BITS) & 1
         return np.packbits(odd.astype(np.uint8), axis=1).view(np.uint64)
 
-    def entries(self, which: np.ndarray) -> np.ndarray:
+    def entries(self, which: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """need: of each set, so many entries it shares with any set it is linked to."""
         out = np.empty(int(which.sum()), dtype=ENTRY)
         row = self.row[which]
-        out["list"], out["key"], out["size"], out["at"], out["bits"] = self.hashes[which], self.keys[row], self.sets.size[row], self.at[which], self.bits()[row]
+        out["list"], out["key"], out["size"], out["at"], out["need"], out["bits"] = self.hashes[which], self.keys[row], self.sets.size[row], self.at[which], need[row], self.bits()[row]
         return out
 
     def segments(self, rows: np.ndarray, percent: int) -> np.ndarray:
@@ -140,7 +144,7 @@ class _Looked:
                 np.add.at(sums, segment, mixed(hashes ^ np.uint64(0x2545F4914F6CDD1D)))
                 entry = np.empty(count, dtype=ENTRY)
                 place = np.arange(count, dtype=np.uint64) + np.uint64((pair + 2) << 32)
-                entry["list"], entry["key"], entry["size"], entry["at"], entry["bits"] = mixed(sums + mixed(place)), self.keys[row], size, -1, bits[row]
+                entry["list"], entry["key"], entry["size"], entry["at"], entry["need"], entry["bits"] = mixed(sums + mixed(place)), self.keys[row], size, -1, 1, bits[row]
                 out.append(entry)
         return np.concatenate(out) if out else np.empty(0, dtype=ENTRY)
 
@@ -154,77 +158,117 @@ def _how_often(most: int):
     return decide
 
 
-def _in_reach(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether bitmaps and what is left from the positions allow two entries to be linked."""
-    size = a["size"].astype(np.int64) + b["size"]
-    shared = -(-percent * size // (100 + percent))
-    from_here = (a["at"] < 0) | ((a["size"] - a["at"] >= shared) & (b["size"] - b["at"] >= shared))
-    differ = np.bitwise_count(a["bits"] ^ b["bits"]).sum(axis=1, dtype=np.int64)
-    return from_here & (differ <= most_different(size, percent))
+def read_lists(entries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of entries of the same list that may be linked, as places in entries, which are in the order of list and position.
 
-
-_BLOCK = 32
-
-
-def read_list(entries: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of entries of one list that may be linked, as two arrays of entries."""
-    entries = entries[np.lexsort((entries["key"], entries["at"], entries["size"]))]
-    size = entries["size"].astype(np.int64)
-    left = size - entries["at"]
-    begin = np.arange(0, len(entries), _BLOCK)
-    most_left = np.maximum.reduceat(left, begin)
-    least_size = size[begin]
-    for i in range(len(entries)):
-        reach = int(np.searchsorted(size, size[i] * 100 // percent, side="right"))
-        for k in range(i // _BLOCK, -(-reach // _BLOCK)):
-            shared = -(-percent * (size[i] + least_size[k]) // (100 + percent))
-            if entries["at"][i] >= 0 and (most_left[k] < shared or left[i] < shared):
-                continue  # no entry of this block has enough left to share
-            others = entries[max(i + 1, k * _BLOCK) : min(reach, (k + 1) * _BLOCK)]
-            if len(others):
-                mine = np.repeat(entries[i : i + 1], len(others))
-                near = _in_reach(mine, others, percent)
-                if near.any():
-                    yield mine[near], others[near]
-
-
-PAIRS = "a long, b long, list long, size int, b0 long, b1 long, b2 long, b3 long"
-
-
-def _pair_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    none = pa.nulls(len(low), pa.int64())
-    return pa.table({"a": low, "b": high, "list": none, "size": none.cast(pa.int32()), "b0": none, "b1": none, "b2": none, "b3": none})
+    All lists are read at once: each entry with the next one, those still in reach with the one after that, and so on.
+    """
+    size, at = entries["size"].astype(np.int64), entries["at"].astype(np.int64)
+    # Ahead of a shared shingle stand at most as many others as the sets differ in.
+    reach = at + most_different(size + size * 100 // percent, percent)
+    firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    active, step = np.arange(len(entries) - 1), 1
+    while len(active):
+        active = active[active + step < len(entries)]
+        other = active + step
+        on = (entries["list"][active] == entries["list"][other]) & (at[other] <= reach[active])
+        active, other = active[on], other[on]
+        low, high = np.minimum(size[active], size[other]), np.maximum(size[active], size[other])
+        near = (percent * high <= 100 * low) & (entries["key"][active] != entries["key"][other])
+        a, b = active[near], other[near]
+        differ = np.bitwise_count(entries["bits"][a] ^ entries["bits"][b]).sum(axis=1, dtype=np.int64)
+        may = differ <= most_different(size[a] + size[b], percent)
+        firsts.append(a[may])
+        seconds.append(b[may])
+        step += 1
+    return np.concatenate(firsts), np.concatenate(seconds)
+
+
+PAIRS = "a long, b long, shared long, need int, list long, size int, b0 long, b1 long, b2 long, b3 long"
+
+
+def _pair_table(a: np.ndarray, b: np.ndarray, shared: np.ndarray, need: np.ndarray) -> pa.Table:
+    none = pa.nulls(len(a), pa.int64())
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "shared": shared.astype(np.int64), "need": need.astype(np.int32), "list": none, "size": none.cast(pa.int32()), "b0": none, "b1": none, "b2": none, "b3": none})
 
 
 def _read_lists(percent: int, most: int):
     def read(table: pa.Table) -> pa.Table:
-        """Pairs of all lists of a page; of a list that is too long, pairs with its least set and the entries."""
+        """Pairs of all lists of a page, and in how many of its lists each is; of a list that is too long, pairs with its
+        least set and the entries."""
         entries = np.concatenate([np.frombuffer(x, dtype=ENTRY) for x in table.column("values").to_pylist()])
-        entries = entries[np.argsort(entries["list"], kind="stable")]
+        entries = entries[np.lexsort((entries["at"], entries["list"]))]
         begin = np.flatnonzero(np.concatenate(([True], entries["list"][1:] != entries["list"][:-1])))
         end = np.concatenate((begin[1:], [len(entries)]))
-        pairs: set[tuple[int, int]] = set()
-        long = []
-        for x, y in zip(begin[end - begin > 1].tolist(), end[end - begin > 1].tolist()):
+        width = end - begin
+        read = entries[np.repeat((width > 1) & (width <= most), width)]
+        one, two = read_lists(read, percent)
+        keys, at = np.unique(read["key"], return_inverse=True)
+        low, high = np.minimum(at[one], at[two]), np.maximum(at[one], at[two])
+        both, first, shared = np.unique(low * max(len(keys), 1) + high, return_index=True, return_counts=True)
+        need = np.minimum(read["need"][one], read["need"][two])[first]
+        # A pair that shares a segment is one to compare, whatever else it shares.
+        segment = np.isin(both, np.unique((low * max(len(keys), 1) + high)[read["at"][one] < 0]))
+        out = [_pair_table(keys[both // max(len(keys), 1)], keys[both % max(len(keys), 1)], shared, np.where(segment, 1, need))]
+        for x, y in zip(begin[width > most].tolist(), end[width > most].tolist()):
             listed = entries[x:y]
-            if y - x > most:
-                long.append(listed)
-                lead = listed[np.argmin(listed["key"])]["key"]
-                pairs.update((int(lead), k) for k in listed["key"].tolist() if k != lead)
-                continue
-            for a, b in read_list(listed, percent):
-                pairs.update(zip(np.minimum(a["key"], b["key"]).tolist(), np.maximum(a["key"], b["key"]).tolist()))
-        both = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2)
-        out = [_pair_table(both[:, 0], both[:, 1])]
-        for listed in long:
+            others = listed["key"][listed["key"] != listed["key"].min()]
+            ones = np.ones(len(others))
+            out.append(_pair_table(np.full(len(others), listed["key"].min()), others, ones, ones))
             bits = listed["bits"].view(np.int64).reshape(-1, _BITS // 64)
-            out.append(pa.table({"a": listed["key"], "b": pa.nulls(len(listed), pa.int64()), "list": listed["list"].view(np.int64), "size": listed["size"], **{f"b{i}": np.ascontiguousarray(bits[:, i]) for i in range(4)}}))
+            none = pa.nulls(len(listed), pa.int64())
+            out.append(pa.table({"a": listed["key"], "b": none, "shared": none, "need": none.cast(pa.int32()), "list": listed["list"].view(np.int64), "size": listed["size"], **{f"b{i}": np.ascontiguousarray(bits[:, i]) for i in range(4)}}))
         return pa.concat_tables(out)
 
     return read
 
 
+class _Links:
+    """Comparisons of a chunk. Answers that follow from others are not computed."""
+
+    def __init__(self, sets: dict[int, np.ndarray], percent: int):
+        self.sets, self.percent = sets, percent
+        self.parent: dict[int, int] = {}
+        self.known: dict[tuple[int, int], int] = {}
+
+    def root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = x = self.parent.get(up, up)
+        return x
+
+    def shared(self, a: int, b: int) -> int:
+        pair = (min(a, b), max(a, b))
+        if pair not in self.known:
+            self.known[pair] = len(np.intersect1d(self.sets[a], self.sets[b], assume_unique=True))
+        return self.known[pair]
+
+    def enough(self, shared: int, a: int, b: int) -> bool:
+        return 100 * shared >= self.percent * (len(self.sets[a]) + len(self.sets[b]) - shared)
+
+    def answer(self, key: int, candidates: list[int]) -> list[tuple[int, int]]:
+        """Links of `key` with its candidates that connect what isn't connected by links found before."""
+        out: list[tuple[int, int]] = []
+        lead = candidates[0]
+        for other in candidates:
+            if self.root(key) == self.root(other):
+                continue
+            if other == lead:
+                linked = self.enough(self.shared(key, lead), key, lead)
+            else:
+                # What the lead shares with the other, less what the lead has alone, more what this set has alone.
+                through, mine = self.shared(lead, other), self.shared(key, lead)
+                if self.enough(max(0, through - (len(self.sets[lead]) - mine)), key, other):
+                    linked = True
+                elif not self.enough(min(through + len(self.sets[key]) - mine, len(self.sets[key]), len(self.sets[other])), key, other):
+                    linked = False
+                else:
+                    linked = self.enough(self.shared(key, other), key, other)
+            if linked:
+                self.parent[self.root(key)] = self.root(other)
+                out.append((key, other))
+        return out
+
+
 def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90, lower: bool = True, most: int = MOST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(key, n_shingles, component_id) of every row: texts are linked if their sets share `percent` or more of their union,
     and a component is all that links reach, named by its least key.
@@ -234,8 +278,8 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     null key gets n_shingles and a null component. Rows with a key in common are each looked up by their own set, and
     are connected where they lead a class. Shingles are compared by 64-bit hashes.
     """
-    dealt, n = deal(docs, key, text, chunk_bytes)
-    by_chunk = dealt.groupBy("chunk")
+    rows, n = chunked(docs, key, text, chunk_bytes)
+    by_chunk = rows.repartition(n, "chunk").groupBy("chunk")
 
     def name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, run in pieces(batches):
@@ -243,7 +287,7 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
             one, two = sets.names()
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("chunk"), pa.array(sets.size, pa.int64()), pa.array(one), pa.array(two)], names=["key", "chunk", "n", "one", "two"])
 
-    named = saved(dealt.mapInArrow(name_sets, "key long, chunk long, n long, one long, two long"))
+    named = saved(rows.mapInArrow(name_sets, "key long, chunk long, n long, one long, two long"))
     classes = named.filter("n > 0 AND key IS NOT NULL").groupBy("n", "one", "two").agg(F.min(F.struct("key", "chunk")).alias("lead"))
     classes = saved(classes.select("n", "one", "two", F.col("lead.key").alias("lead"), F.col("lead.chunk").alias("chunk")))
     leads = classes.groupBy("lead").agg(F.min("chunk").alias("chunk"))
@@ -274,8 +318,8 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
         out = [np.empty(0, dtype=ENTRY)]
         for part in parts:
             mine = code[np.searchsorted(keys, part.hashes)] if len(keys) else np.zeros(0, np.uint8)
-            out.append(part.entries(mine == _SOME))
             long = np.bincount(part.row[mine == _MANY], minlength=len(part.keys))
+            out.append(part.entries(mine == _SOME, np.maximum(1, spare(part.sets.size, percent) + 1 - long)))
             least = spare(least_shared(part.sets.size, percent), percent) + 1
             out.append(part.segments(np.flatnonzero(long >= least), percent))
         entries = np.concatenate(out)
@@ -286,7 +330,8 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     codes = answered(asked, 0, np.uint32, _how_often(most))
     entered = by_chunk.cogroup(codes.unionByName(chosen).groupBy("chunk")).applyInArrow(enter, "chunk long, page long, values binary")
     read = saved(entered.groupBy("page").applyInArrow(_read_lists(percent, most), PAIRS))
-    pairs = saved(read.filter("b IS NOT NULL").select("a", "b").distinct())
+    found_in = read.filter("b IS NOT NULL").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"))
+    pairs = saved(found_in.filter("shared >= need").select("a", "b"))
 
     def send(table: pa.Table, requests: pa.Table) -> pa.Table:
         """Sets that other chunks ask for: level 1, page the key, answer the chunk to send it to."""
@@ -312,16 +357,12 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
                 theirs[page] = np.frombuffer(answer, dtype=np.uint64)
             else:
                 wanted.setdefault(page, []).append(int.from_bytes(answer, "little", signed=True))
-        a, b = [], []
         for keys, sets in _texts(table, wanted.keys(), shingle, lower):
             for row, k in enumerate(keys):
-                mine = sets.hashes[sets.first[row] : sets.first[row + 1]]
-                for other in wanted[k]:
-                    shared = len(np.intersect1d(mine, theirs[other], assume_unique=True))
-                    if 100 * shared >= percent * (len(mine) + len(theirs[other]) - shared):
-                        a.append(k)
-                        b.append(other)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                theirs[k] = sets.hashes[sets.first[row] : sets.first[row + 1]]
+        links = _Links(theirs, percent)
+        out = [link for k in sorted(wanted) for link in links.answer(k, sorted(wanted[k]))]
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     def linked(some: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are linked. The set of a goes to the chunk of b, once."""
@@ -333,13 +374,12 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
         wanted = placed.select(F.col("b_chunk").alias("chunk"), F.col("b").alias("page"), F.lit(3).alias("level"), _bytes("a").alias("answer"))
         return saved(by_chunk.cogroup(sent.unionByName(wanted).groupBy("chunk")).applyInArrow(compare, "a long, b long"))
 
-    # First every set with the least one it is paired with; then what that leaves unconnected.
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = linked(first)
+    links = linked(pairs)
     found = components(links)
-    rest = _unconnected(pairs.join(first, ["a", "b"], "left_anti"), found)
-    rest = rest.unionByName(_unconnected_of_lists(read.filter("b IS NULL"), found, percent)).distinct()
-    found = components(links.unionByName(linked(rest)))
+    # Of lists too long to be read, what their least sets have left unconnected.
+    rest = saved(_unconnected_of_lists(read.filter("b IS NULL"), found, percent).join(pairs, ["a", "b"], "left_anti").distinct())
+    if not rest.isEmpty():
+        found = components(links.unionByName(linked(rest)))
     out = named.join(classes.select("n", "one", "two", "lead"), ["n", "one", "two"], "left")
     out = out.join(found.select(F.col("node").alias("lead"), "component"), "lead", "left")
     component = F.when(F.col("key").isNotNull(), F.coalesce("component", "lead", "key"))
@@ -352,14 +392,6 @@ def _bytes(column: str):
     return F.concat(*parts)
 
 
-def _unconnected(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Those of the pairs whose sets are in different components so far."""
-    for side in ("a", "b"):
-        at = found.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-        pairs = pairs.join(at, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
-    return pairs.filter("of_a <> of_b").select("a", "b")
-
-
 def _unconnected_of_lists(entries: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs in the same long list, in different components so far, that sizes and bitmaps allow to be linked.
 
