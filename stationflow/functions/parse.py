@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from stationflow.schema import COUNT, SNAPSHOT, STATION, TIME, TIMESTAMP_FORMAT
 
 
-def parse_snapshots(envelopes: DataFrame, tz: str | None = None) -> DataFrame:
+def parse_snapshots(
+    envelopes: DataFrame, tz: str | None = None, keep_text: bool = False, evidence: bool = False
+) -> DataFrame:
     """Parse ``value`` with the declared snapshot schema, one output row per input row.
 
     A document that cannot be read becomes a row of NULLs and a field of the wrong type
@@ -16,16 +18,24 @@ def parse_snapshots(envelopes: DataFrame, tz: str | None = None) -> DataFrame:
     replaced by ``event_time``. Its text is read in zone ``tz``, or in the session zone.
     Other envelope columns (topic, partition, offset) are carried along. Select fewer
     columns from the result and the optimizer parses only those JSON fields.
+
+    ``keep_text`` keeps the text of the time as ``timestamp``. ``evidence`` adds to malformed rows, and
+    only to them, the document as it came (``value``) and what it lacks (``reason``).
     """
     carried = [c for c in envelopes.columns if c != "value"]
-    rows = envelopes.select(*carried, F.from_json("value", SNAPSHOT).alias("data"))
-    rows = rows.select(*carried, "data.*")
+    rows = envelopes.select(*carried, F.from_json("value", SNAPSHOT).alias("data"), *(["value"] if evidence else []))
+    rows = rows.select(*carried, "data.*", *(["value"] if evidence else []))
     if tz is None:
         event_time = F.try_to_timestamp("timestamp", F.lit(TIMESTAMP_FORMAT))
     else:
         zoned = F.concat(F.col("timestamp"), F.lit(" " + tz))
         event_time = F.try_to_timestamp(zoned, F.lit(TIMESTAMP_FORMAT + " VV"))
-    return rows.withColumn(TIME, event_time).drop("timestamp")
+    rows = rows.withColumn(TIME, event_time)
+    if evidence:
+        lacks = [F.when(F.col(c).isNull(), name) for c, name in ((STATION, "station"), (TIME, "time"), (COUNT, "count"))]
+        reason = F.when(~is_usable(), F.concat(F.lit("no "), F.concat_ws(", ", *lacks)))
+        rows = rows.withColumn("reason", reason).withColumn("value", F.when(reason.isNotNull(), F.col("value")))
+    return rows if keep_text else rows.drop("timestamp")
 
 
 def is_placed() -> Column:

@@ -1,5 +1,6 @@
 from stationflow.operators.current import flows_of_hour
-from stationflow.operators.lag import delta_lag, lag_placed
+from stationflow.operators.flows import station_flows, usable_once
+from stationflow.operators.lag import delta_lag
 from stationflow.operators.latest import (
     dedupe_snapshots,
     latest_by,
@@ -29,7 +30,6 @@ __all__ = [
     "flows_of_hour",
     "hourly_truncated",
     "hourly_tumbling",
-    "lag_placed",
     "late_snapshots",
     "latest_by",
     "next_state",
@@ -38,7 +38,9 @@ __all__ = [
     "pane_totals",
     "sliding_station",
     "sliding_total",
+    "station_flows",
     "total_by_window",
     "totals_from_panes",
     "upsert_latest",
+    "usable_once",
 ]

@@ -19,13 +19,16 @@ def hour_of(snapshots: DataFrame, as_of: Column) -> tuple[Column, Column]:
     return start, start + F.expr("INTERVAL 1 HOUR")
 
 
-def flows_of_hour(snapshots: DataFrame, as_of: Column, ties: Sequence[str] = ()) -> DataFrame:
+def flows_of_hour(
+    snapshots: DataFrame, as_of: Column, ties: Sequence[str] = (), state: DataFrame | None = None
+) -> DataFrame:
     """``delta_lag`` restricted to the hour of ``as_of``.
 
-    Of everything earlier only the last count per station matters. That is an aggregate
-    which combines before it shuffles, so just the hour's own rows are shuffled whole.
+    Of everything earlier only the last count per station matters. ``state``, one row per station as of
+    the start of the hour, says it, and then only the hour itself is read. Without it the
+    rows before the hour are reduced to one, by an aggregate that combines before it shuffles.
     """
     start, end = hour_of(snapshots, as_of)
     time = F.col(TIME)
-    before = next_state(None, snapshots.filter(time < start), ties)
+    before = state if state is not None else next_state(None, snapshots.filter(time < start), ties)
     return delta_lag(snapshots.filter((time >= start) & (time < end)), ties, baseline=before)

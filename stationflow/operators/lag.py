@@ -1,23 +1,20 @@
 """Flow against the preceding snapshot of the same station.
 
 A plain ``lag`` partitioned by station puts the whole history of a station in one task,
-and one station may own a third of the data. Here rows are shuffled by station and *day
-slice* and lagged within the slice. Only the first row of a slice still lacks its
-predecessor, which is the last row of the station's previous slice: those edge rows, two
-per slice at most, are lagged once more by station. Both halves of the result read the
-same columns of the same shuffle, so the planner runs the scan and the shuffle once.
-
-A day with too many rows for one task is cut into hours, minutes or seconds, whichever is
-the coarsest that suffices, so a burst is cut as finely as a steady flood. A second that
-alone has too many is cut into its instants, and an instant of too many repeats by the
-first tie-breaker.
+and one station may own a third of the data. Here rows are shuffled by station and *slice*,
+a stretch of time of fixed length, and lagged within the slice. Only the first row of a
+slice still lacks its predecessor, which is the last row of the station's previous slice.
+Those edge rows, two per slice at most, are lagged by station and a longer stretch, and the
+edges of these, two per stretch at most, by station. All parts of the result read the
+same columns of the same shuffle, so the planner runs the scan and the shuffle once. The
+plan is the same whatever the data: nothing is counted while it is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.functions.flow import flow_columns
@@ -25,139 +22,77 @@ from stationflow.functions.hour import is_zoned
 from stationflow.functions.parse import is_placed
 from stationflow.schema import COUNT, PREVIOUS, STATION, TIME
 
-#: Rows one task should sort at most for one station and slice.
-SPLIT_ROWS = 5_000_000
+#: Rows of one station and so many seconds meet in one task.
+SLICE_SECONDS = 3600
+#: Edge rows of one station and so many slices meet in one task.
+SLICES_PER_STRETCH = 720
+#: Rows without station or time are dealt into so many slices.
+STRAY_SLICES = 1 << 20
 
 
-def _busy_stations(rows: DataFrame, split_rows: int) -> DataFrame:
-    """Stations that could have a full day at all: a count that combines before it shuffles."""
-    counts = rows.groupBy(STATION).agg(F.count("*").alias("_n"))
-    return counts.filter(F.col("_n") > split_rows).select(STATION)
-
-
-def _cut_full_days(
-    rows: DataFrame, split_rows: int, repeat_key: str
-) -> tuple[DataFrame, list[str]]:
-    """Rows with the columns that cut full days, and the names of these columns.
-
-    Full days, seconds and instants belong to stations with more than ``split_rows``
-    rows, and of each kind there are fewer than (all rows / ``split_rows``), which bounds
-    the broadcasts: 2 million short rows each for 10^13 snapshots at the default.
-    """
+def _seconds(rows: DataFrame) -> Column:
+    """A whole number that rises with the time, whatever zone the session is in."""
+    if is_zoned(rows):
+        return F.unix_seconds(TIME)
     of_day = F.hour(TIME) * 3600 + F.minute(TIME) * 60 + F.second(TIME)
-    second = F.unix_seconds(TIME) if is_zoned(rows) else of_day  # both rise with the time
-    rows = rows.withColumn("_second", second)
-    counted, overfull = F.count("*").alias("_n"), F.col("_n") > split_rows
-    crowd = rows.join(F.broadcast(_busy_stations(rows, split_rows)), STATION, "left_semi")
-
-    seconds = crowd.groupBy(STATION, "_day", "_second").agg(counted)
-    hour, minute = F.floor(F.col("_second") / 3600), F.floor(F.col("_second") / 60)
-    minutes = seconds.groupBy(STATION, "_day", hour.alias("_hour"), minute).agg(F.sum("_n").alias("_n"))
-    hours = minutes.groupBy(STATION, "_day", "_hour").agg(
-        F.sum("_n").alias("_n"), F.max("_n").alias("_in_minute")
-    )
-    days = hours.groupBy(STATION, "_day").agg(
-        F.sum("_n").alias("_n"), F.max("_n").alias("_in_hour"), F.max("_in_minute").alias("_in_minute")
-    )
-    grain = (
-        F.when(F.col("_in_hour") <= split_rows, 3600)
-        .when(F.col("_in_minute") <= split_rows, 60)
-        .otherwise(1)
-    )
-    full_days = days.filter(overfull).select(STATION, "_day", grain.alias("_grain"))
-    full_seconds = seconds.filter(overfull).select(STATION, "_day", "_second", F.lit(True).alias("_full"))
-
-    key = F.col(repeat_key).cast("double")
-    span = (F.col("_to") - F.col("_from") + 1) / F.ceil(F.col("_n") / split_rows)
-    full_instants = (
-        crowd.groupBy(STATION, TIME)
-        .agg(counted, F.min(key).alias("_from"), F.max(key).alias("_to"))
-        .filter(overfull)
-        .select(STATION, TIME, "_from", span.alias("_span"))
-    )
-    cuts = {
-        "_cut": F.coalesce(F.floor(F.col("_second") / F.col("_grain")), F.lit(0)),
-        "_instant": F.when(F.col("_full"), F.col(TIME)),
-        "_part": F.coalesce(F.floor((key - F.col("_from")) / F.col("_span")), F.lit(0)),
-    }
-    cut = (
-        rows.join(F.broadcast(full_days), [STATION, "_day"], "left")
-        .join(F.broadcast(full_seconds), [STATION, "_day", "_second"], "left")
-        .join(F.broadcast(full_instants), [STATION, TIME], "left")
-        .withColumns(cuts)
-        .drop("_second", "_grain", "_full", "_from", "_span")
-    )
-    return cut, list(cuts)
+    return F.datediff(F.to_date(TIME), F.lit("1970-01-01")).cast("long") * 86400 + of_day
 
 
-def lag_placed(
+def delta_lag(
     snapshots: DataFrame,
     ties: Sequence[str] = (),
     baseline: DataFrame | None = None,
-    split_rows: int | None = SPLIT_ROWS,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """``delta_lag`` of rows that all have station and time."""
-    # (day, hour or minute or second, instant, part of an instant), each rising with the order
-    rows = snapshots.withColumn("_day", F.to_date(TIME))
-    slices = ["_day"]
-    if split_rows is not None and not _busy_stations(rows, split_rows).isEmpty():
-        rows, cuts = _cut_full_days(rows, split_rows, [*ties, COUNT][0])
-        slices += cuts
+    """Add ``prev_count, diff, rental, return``: the change since the station's last row.
+
+    ``ties``, of any type that has an order, tell rows of equal time apart; after them the
+    count does. The first row of a station has no predecessor unless ``baseline``, a state of
+    one row per station, knows a count from before. ``slice_seconds`` changes who
+    works on what, never the result.
+
+    A row without station or time stands in no series: it is kept with no predecessor
+    and no flow, and is dealt by its content, so a flood of malformed rows makes no hot key.
+    """
+    if slice_seconds < 1:
+        raise ValueError("a slice has a second at least")
+    stray = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in snapshots.columns]), F.lit(STRAY_SLICES))
+    # A column, so that no branch below pushes its check under the shuffle they share.
+    rows = snapshots.withColumns(
+        {"_placed": is_placed(), "_slice": F.when(is_placed(), F.floor(_seconds(snapshots) / slice_seconds)).otherwise(stray)}
+    )
 
     # Ending on the count makes the order of repeats of one instant reproducible.
     order = [TIME, *ties, COUNT]
-    within = Window.partitionBy(STATION, *slices).orderBy(*order)
-    lagged = rows.withColumns(
-        {
-            "_prev_time": F.lag(TIME).over(within),
-            "prev_count": F.lag(COUNT).over(within),
-            "_next_time": F.lead(TIME).over(within),
-        }
-    )
-    opens, closes = F.col("_prev_time").isNull(), F.col("_next_time").isNull()
 
-    across = Window.partitionBy(STATION).orderBy(*order)
-    openers = (
-        lagged.filter(opens | closes)
-        .withColumns({"prev_count": F.lag(COUNT).over(across), "_before": F.lag(TIME).over(across)})
-        .filter(opens)
+    def beside(frame: DataFrame, *keys: str) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return frame.withColumns(
+            {"prev_count": F.lag(COUNT).over(window), "_before": F.lag(TIME).over(window), "_after": F.lead(TIME).over(window)}
+        )
+
+    first, last = F.col("_before").isNull(), F.col("_after").isNull()
+    columns = [*snapshots.columns, "prev_count"]
+    lagged = beside(rows, STATION, "_slice")
+    inner = lagged.filter(~F.col("_placed") | ~first)
+    inner = inner.withColumn("prev_count", F.when(F.col("_placed"), F.col("prev_count"))).select(*columns)
+
+    edges = lagged.filter(F.col("_placed") & (first | last)).withColumns(
+        {"_opens": first, "_stretch": F.floor(F.col("_slice") / SLICES_PER_STRETCH)}
     )
+    edges = beside(edges, STATION, "_stretch")
+    opens = edges.filter("_opens").filter(~first).select(*columns)
+
+    ends = beside(edges.filter(first | last).withColumn("_leads", F.col("_opens") & first), STATION)
+    leads = ends.filter("_leads")
     if baseline is not None:
-        # The window left the edge rows by station, so only the baseline is shuffled.
+        # The window left these rows by station, so only the baseline is shuffled.
         known = baseline.select(STATION, F.col(PREVIOUS).alias("_known"))
-        carried = F.when(F.col("_before").isNull(), F.col("_known")).otherwise(F.col("prev_count"))
-        openers = openers.join(known, STATION, "left").withColumn("prev_count", carried)
-
-    columns = [*snapshots.columns, "prev_count"]
+        carried = F.when(first, F.col("_known")).otherwise(F.col("prev_count"))
+        leads = leads.join(known, STATION, "left").withColumn("prev_count", carried)
     return (
-        lagged.filter(~opens)
-        .select(*columns)
-        .unionByName(openers.select(*columns))
+        inner.unionByName(opens)
+        .unionByName(leads.select(*columns))
         .withColumn("diff", F.col(COUNT) - F.col("prev_count"))
         .withColumns(flow_columns(F.col("diff")))
     )
-
-
-def delta_lag(
-    snapshots: DataFrame,
-    ties: Sequence[str] = (),
-    baseline: DataFrame | None = None,
-    split_rows: int | None = SPLIT_ROWS,
-) -> DataFrame:
-    """Add ``prev_count, diff, rental, return``: the change since the station's last row.
-
-    ``ties`` orders rows of equal time; the first of them is numeric. The first row of a
-    station has no predecessor unless ``baseline``, a state of one row per station, knows
-    a count from before. Whether any station has more than ``split_rows`` rows is counted
-    at once, to keep the plan of the usual case small; ``split_rows=None`` skips that for
-    data known to have none.
-
-    A row without station or time stands in no series: it is kept with no predecessor
-    and no flow, and is not shuffled, so a flood of malformed rows makes no hot key.
-    """
-    placed = lag_placed(snapshots.filter(is_placed()), ties, baseline, split_rows)
-    unknown, none = F.lit(None).cast("int"), F.lit(0)
-    strays = snapshots.filter(~is_placed()).withColumns(
-        {"prev_count": unknown, "diff": unknown, "rental": none, "return": none}
-    )
-    return placed.unionByName(strays)

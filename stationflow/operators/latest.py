@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.schema import COUNT, PREVIOUS, STATION, TIME
@@ -35,11 +36,23 @@ def dedupe_snapshots(snapshots: DataFrame, ties: Sequence[str] = ()) -> DataFram
     Without ``ties`` the highest count is kept, which is arbitrary but reproducible.
     Copies are combined in the task that reads them, so a flood of them stays cheap.
     """
-    grouped = snapshots.groupBy(STATION, TIME)
+    return snapshots.groupBy(STATION, TIME).agg(_of_highest(COUNT, ties).alias(COUNT))
+
+
+def _of_highest(count: str, ties: Sequence[str]) -> Column:
+    """The count at the highest tie-breaker, or the highest count where none says which.
+
+    Tie-breakers tell repeats apart, as a log's offsets do. With one of fixed width this stays a
+    hash aggregate; several, or texts, are compared as a struct, which is sorted.
+    """
     if not ties:
-        return grouped.agg(F.max(COUNT).alias(COUNT))
-    best = grouped.agg(F.max(F.struct(*ties, COUNT)).alias("_best"))
-    return best.select(STATION, TIME, f"_best.{COUNT}")
+        return F.max(count)
+    rank = F.col(ties[0]) if len(ties) == 1 else F.when(_any_known(ties), F.struct(*ties))
+    return F.coalesce(F.max_by(count, rank), F.max(count))
+
+
+def _any_known(columns: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNotNull() for c in columns])
 
 
 def next_state(
@@ -50,22 +63,15 @@ def next_state(
 ) -> DataFrame:
     """State after a batch: the newest snapshot of every station seen so far.
 
-    ``distinct_times`` promises that the batch has no two rows of one station and time,
-    and none at the state's own time; then a hash aggregate is enough.
+    Of repeats of one instant the highest tie-breaker wins, and a snapshot wins over the
+    state. ``distinct_times`` promises that the batch has no two rows of one station and time,
+    and none at the state's own time; then one aggregate is enough, else repeats go first.
     """
-    if distinct_times:
-        rows = snapshots.select(STATION, F.col(COUNT).alias(PREVIOUS), TIME)
-        if state is not None:
-            rows = rows.unionByName(state.select(STATION, PREVIOUS, TIME))
-        newest = [F.max_by(PREVIOUS, TIME).alias(PREVIOUS), F.max(TIME).alias(TIME)]
-        return rows.groupBy(STATION).agg(*newest)
-    rank = F.struct(TIME, *ties, COUNT)
-    best = (
-        snapshots.groupBy(STATION)
-        .agg(F.max(rank).alias("_best"))
-        .select(STATION, F.col(f"_best.{COUNT}").alias(PREVIOUS), F.col(f"_best.{TIME}").alias(TIME))
-    )
-    if state is None:
-        return best
-    merged = best.unionByName(state.select(STATION, PREVIOUS, TIME))
-    return latest_by(merged, [STATION], [TIME])
+    rows = snapshots.select(STATION, F.col(COUNT).alias(PREVIOUS), TIME, *ties)
+    if state is not None:
+        unranked = [F.lit(None).cast(snapshots.schema[t].dataType).alias(t) for t in ties]
+        rows = rows.unionByName(state.select(STATION, PREVIOUS, TIME, *unranked)).filter(F.col(STATION).isNotNull())
+    if not distinct_times:
+        rows = rows.groupBy(STATION, TIME).agg(_of_highest(PREVIOUS, ties).alias(PREVIOUS))
+    newest = [F.coalesce(F.max_by(PREVIOUS, TIME), F.max(PREVIOUS)).alias(PREVIOUS), F.max(TIME).alias(TIME)]
+    return rows.groupBy(STATION).agg(*newest)

@@ -56,12 +56,11 @@ def current_hour(flows: DataFrame, as_of: Column) -> DataFrame:
 def sliding_station(flows: DataFrame) -> DataFrame:
     """Per station, each hour that starts on a 5-minute mark: a row counts in twelve.
 
-    Not cut into panes first: flows arrive co-located by station and day, so the
-    map-side half of this aggregate already folds the twelve copies back together,
-    while a pane aggregate would scatter neighbouring panes over the cluster.
+    Rows are folded into the panes of their station first, so the twelvefold expansion works on panes.
     """
+    panes = flows.groupBy(F.window(TIME, SLIDE).alias("pane"), STATION).agg(*_sums("rental", "return"))
     return (
-        flows.groupBy(F.window(TIME, HOUR, SLIDE).alias("w"), STATION)
+        panes.groupBy(F.window("pane", HOUR, SLIDE).alias("w"), STATION)
         .agg(*_sums("hourly_rental", "hourly_return"))
         .select("w.start", "w.end", STATION, "hourly_rental", "hourly_return")
     )

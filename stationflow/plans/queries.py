@@ -23,13 +23,15 @@ from stationflow.operators import (
     ordered_preview,
     sliding_station,
     sliding_total,
+    station_flows,
     total_by_window,
     upsert_latest,
 )
 from stationflow.plans.scratch import scratch_folder, writing_session
-from stationflow.plans.snapshots import TIES, as_envelopes, as_snapshots, snapshots
+from stationflow.plans.snapshots import TIES, as_envelopes, broken_envelopes, crowded, polluted, redelivered, snapshots
 from stationflow.schema import COUNT, STATION, TIME, state_schema
 from stationflow.sinks import BUCKET, HOURLY_SUMMARY, TOTAL_HOURLY_STATS, write_bucketed
+from stationflow.sources import read_envelopes
 from stationflow.streaming import (
     JobTables,
     VersionedTable,
@@ -46,6 +48,10 @@ AS_OF = "2024-01-15 10:30:00"
 
 ONCE = {"availableNow": True}
 
+#: Where the feed of the streaming queries is cut into files, one a micro-batch.
+PARTS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-23 00:00:00"]
+LATE_BEFORE = "2024-01-03 00:00:00"
+
 
 def _instant(text: str):
     return F.lit(text).cast("timestamp_ntz")
@@ -58,14 +64,42 @@ def _around_cut(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return next_state(None, rows.filter(is_before), TIES), rows.filter(~is_before)
 
 
+def _old_of_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of even stations the rows after the cut, of odd ones those of the first days once more."""
+    rows, even = snapshots(spark, sf_dir), F.col(STATION).cast("long") % 2 == 0
+    return rows.filter((even & (F.col(TIME) >= _instant(CUT))) | (~even & (F.col(TIME) < _instant(LATE_BEFORE))))
+
+
 def _flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta_lag(snapshots(spark, sf_dir), TIES)
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a file stream; the glob also fits a table of many files."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+def _in_parts(rows: DataFrame, time: str, folder: str, last: DataFrame | None = None) -> None:
+    """Write rows as files that follow each other in time, as a log's archive would; `last` comes with the last."""
+    edges = [None, *PARTS, None]
+    for low, high in zip(edges, edges[1:]):
+        part = rows if low is None else rows.filter(F.col(time) >= F.lit(low).cast("timestamp_ntz"))
+        part = part if high is None else part.filter(F.col(time) < F.lit(high).cast("timestamp_ntz"))
+        if high is None and last is not None:
+            part = part.unionByName(last)
+        part.coalesce(1).write.mode("append").parquet(folder)
+
+
+def _feed(spark: SparkSession, sf_dir: str, root: str, late: bool = False) -> DataFrame:
+    """The events as a stream of snapshots: JSON envelopes read one file a micro-batch, and parsed.
+
+    With `late`, the last file also has the first days of every tenth station once more.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    again = events.filter((F.col("user_id") % 10 == 0) & (F.col("ts") < _instant(LATE_BEFORE)))
+
+    def enveloped(rows: DataFrame) -> DataFrame:
+        at = [F.lit("events").alias("topic"), F.lit(0).alias("partition")]
+        return as_envelopes(rows.drop("value")).join(rows.select(F.col("event_id").alias("offset"), "ts"), "offset").select("value", *at, "offset", "ts")
+
+    _in_parts(enveloped(events), "ts", f"{root}/feed", enveloped(again) if late else None)
+    stream = read_envelopes(spark, "parquet", f"{root}/feed", position=True, options={"maxFilesPerTrigger": "1"})
+    return parse_snapshots(stream).select("offset", STATION, COUNT, F.col(TIME).cast("timestamp_ntz").alias(TIME))
 
 
 def _mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +122,11 @@ def q_parse_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_split_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, malformed = split_malformed(parse_snapshots(_mixed_envelopes(spark, sf_dir)))
-    return malformed.select("topic", "offset")
+    """Prose among the documents, and events whose count or time can't be read, with what each lacks."""
+    events = broken_envelopes(spark.read.parquet(f"{sf_dir}/events.parquet")).withColumn("topic", F.lit("events"))
+    mixed = events.unionByName(_mixed_envelopes(spark, sf_dir).filter("topic = 'documents'"))
+    _, malformed = split_malformed(parse_snapshots(mixed, evidence=True))
+    return malformed.select("topic", "offset", "reason", F.octet_length("value").cast("long").alias("n_bytes"))
 
 
 def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,13 +134,23 @@ def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dedupe_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_snapshots(snapshots(spark, sf_dir), TIES).select(STATION, TIME, COUNT)
+    return dedupe_snapshots(redelivered(snapshots(spark, sf_dir)), TIES).select(STATION, TIME, COUNT)
 
 
 def q_delta_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flows(spark, sf_dir)
 
 
+def q_delta_lag_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lag where one station has two rows of three."""
+    return delta_lag(crowded(snapshots(spark, sf_dir)), TIES)
+
+
+def q_backfill_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly totals of a feed with copies and broken rows, as the hourly job would make them."""
+    return hourly_tumbling(station_flows(polluted(snapshots(spark, sf_dir)), TIES))
+
+
 def q_delta_state_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     state, batch = _around_cut(spark, sf_dir)
     return delta_vs_state(batch, state)
@@ -115,8 +162,9 @@ def q_delta_state_join_known_zero(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_next_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state, batch = _around_cut(spark, sf_dir)
-    return next_state(state, batch, TIES)
+    """A batch in which odd stations only have old rows, so that their state wins."""
+    state, _ = _around_cut(spark, sf_dir)
+    return next_state(state, _old_of_odd(spark, sf_dir), TIES)
 
 
 def q_state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +191,7 @@ def q_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = snapshots(spark, sf_dir)
     order = [TIME, *TIES]
     current = latest_by(rows.filter(F.col(TIME) < _instant(CUT)), [STATION], order)
-    return upsert_latest(current, rows.filter(F.col(TIME) >= _instant(CUT)), [STATION], order)
+    return upsert_latest(current, _old_of_odd(spark, sf_dir), [STATION], order)
 
 
 def q_hourly_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,10 +250,11 @@ def q_partitioned_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_bucketed(spark, root, totals.schema)
 
 
-def _run_hourly_job(spark: SparkSession, sf_dir: str) -> JobTables:
-    tables = JobTables(spark, scratch_folder(spark, "hourly-job"))
-    stream = as_snapshots(_event_stream(spark, sf_dir))
-    start_hourly_job(stream, tables.root.path, TIES, trigger=ONCE).awaitTermination()
+def _run_hourly_job(spark: SparkSession, sf_dir: str, late: bool = False) -> JobTables:
+    root = scratch_folder(spark, "hourly-job")
+    tables = JobTables(spark, f"{root}/job")
+    stream = _feed(spark, sf_dir, root, late)
+    start_hourly_job(stream, tables.root.path, ["offset"], trigger=ONCE).awaitTermination()
     return tables
 
 
@@ -223,25 +272,34 @@ def q_stream_hourly_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_bucketed(spark, tables.path(TOTAL_HOURLY_STATS), schema).drop(*BUCKET)
 
 
+def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the hourly job sets aside of a feed whose last part repeats the first days of some stations."""
+    spark = writing_session(spark)
+    tables = _run_hourly_job(spark, sf_dir, late=True)
+    schema = f"{STATION} string, {TIME} timestamp_ntz, {COUNT} int, outcome string, epoch long"
+    arrivals = spark.read.schema(schema).parquet(tables.path("arrivals"))
+    return arrivals.filter("outcome = 'late'").select("epoch", STATION, TIME, COUNT)
+
+
 def q_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = writing_session(spark)
     root = scratch_folder(spark, "latest-job")
-    stream = as_snapshots(_event_stream(spark, sf_dir))
-    query = start_latest_job(stream, root, order=[TIME, *TIES], trigger=ONCE)
-    query.awaitTermination()
-    return VersionedTable(spark, f"{root}/latest", stream.schema).load()
+    stream = _feed(spark, sf_dir, root, late=True)
+    start_latest_job(stream, f"{root}/job", order=[TIME, "offset"], trigger=ONCE).awaitTermination()
+    return VersionedTable(spark, f"{root}/job/latest", stream.schema).load()
 
 
 def q_stream_sliding_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Watermarked totals over an append-only table of flow rows."""
+    """Watermarked totals over an append-only table of flow rows, in several micro-batches."""
     # A watermark needs zoned time; read as UTC, the windows fall on the same hours.
     spark = writing_session(spark)
     root = scratch_folder(spark, "sliding-job")
-    zoned = F.col(TIME).cast("timestamp").alias(TIME)
-    flows = _flows(spark, sf_dir).select(zoned, "rental", "return")
-    flows.write.parquet(f"{root}/flows")
-    stream = spark.readStream.schema(flows.schema).parquet(f"{root}/flows")
-    start_sliding_total_job(stream, f"{root}/job", trigger=ONCE).awaitTermination()
-    totals = _read_bucketed(spark, f"{root}/job/{TOTAL_HOURLY_STATS}", sliding_total(flows).schema)
+    flows = _flows(spark, sf_dir).select(TIME, "rental", "return")
+    _in_parts(flows, TIME, f"{root}/flows")
+    stream = spark.readStream.schema(flows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/flows")
+    zoned = stream.select(F.col(TIME).cast("timestamp").alias(TIME), "rental", "return")
+    start_sliding_total_job(zoned, f"{root}/job", trigger=ONCE).awaitTermination()
+    totals = _read_bucketed(spark, f"{root}/job/{TOTAL_HOURLY_STATS}", sliding_total(zoned).schema)
     zoneless = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start", "end")]
     return totals.select(*zoneless, "total_hourly_rental", "total_hourly_return")
 

@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """Under the shared folder the session names; a local one only where it names none."""
+    """Under the shared folder the session names. A local master that names none has one of its own, gone at exit."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _own_folder()
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="stationflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def writing_session(spark: SparkSession) -> SparkSession:

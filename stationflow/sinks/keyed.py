@@ -21,13 +21,14 @@ def put_rows(
 ) -> None:
     """Append one row per key, the newest; the store replaces what it had for the key.
 
-    Such connectors take one key column, so several keys are joined into ``_key``.
+    Such connectors take one key column, so several keys are joined into ``_key``: as a JSON
+    array, in which no two keys look alike whatever their values hold.
     """
     rows = latest_by(df, keys, order)
     key = keys[0]
     if len(keys) > 1:
         key = "_key"
-        rows = rows.withColumn(key, F.concat_ws(":", *keys))
+        rows = rows.withColumn(key, F.to_json(F.array(*[F.col(k).cast("string") for k in keys])))
     (
         rows.write.format(fmt)
         .option("table", table)

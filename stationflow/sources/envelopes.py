@@ -13,6 +13,9 @@ STARTING_OFFSETS = "earliest"
 
 ENVELOPE = T.StructType([T.StructField("value", T.StringType())])
 LOG_POSITION = ("topic", "partition", "offset")
+POSITIONED = T.StructType(
+    [*ENVELOPE, T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
+)
 
 
 def kafka_options(
@@ -39,14 +42,14 @@ def read_envelopes(
     """``value STRING`` from ``kafka``, ``text`` or ``parquet``, streaming or batch.
 
     ``position`` keeps a log's topic, partition and offset, which order repeats of one
-    snapshot. Paths are any Hadoop URI; endpoints and credentials belong to the cluster.
+    snapshot; a parquet archive of a log has them as columns. Paths are any Hadoop URI; endpoints and credentials belong to the cluster.
     Bound a back-fill's micro-batches with ``maxOffsetsPerTrigger`` or
     ``maxFilesPerTrigger`` in ``options``.
     """
     reader = spark.readStream if streaming else spark.read
     reader = reader.format(fmt).options(**(options or {}))
     if fmt == "parquet":
-        reader = reader.schema(ENVELOPE)
+        reader = reader.schema(POSITIONED if position else ENVELOPE)
     rows = reader.load(path) if path is not None else reader.load()
     kept = [c for c in LOG_POSITION if position and c in rows.columns]
     return rows.selectExpr("CAST(value AS STRING) AS value", *kept)

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.functions.parse import split_malformed
-from stationflow.operators.lag import SPLIT_ROWS, lag_placed
-from stationflow.operators.latest import dedupe_snapshots, next_state, upsert_latest
+from stationflow.operators.flows import usable_once
+from stationflow.operators.lag import SLICE_SECONDS, delta_lag
+from stationflow.operators.latest import next_state, upsert_latest
 from stationflow.operators.metrics import observe_batch
-from stationflow.operators.windows import hourly_tumbling, pane_totals, totals_from_panes
+from stationflow.operators.windows import HOUR, hourly_tumbling, pane_totals, totals_from_panes
 from stationflow.schema import STATION, TIME, state_schema
 from stationflow.sinks.bucketed import (
     BUCKET,
@@ -27,7 +28,7 @@ from stationflow.sinks.bucketed import (
     with_bucket,
     write_bucketed,
 )
-from stationflow.streaming.tables import Folder, JobTables, VersionedTable
+from stationflow.streaming.tables import KEEP_VERSIONS, Folder, JobTables, VersionedTable
 
 # Fixed value: how late a flow row may be for the watermarked totals.
 LATENESS = "10 minutes"
@@ -49,20 +50,21 @@ def start_hourly_job(
     snapshots: DataFrame,
     root: str,
     ties: Sequence[str] = (),
-    split_rows: int | None = SPLIT_ROWS,
+    slice_seconds: int = SLICE_SECONDS,
     trigger: dict | None = None,
+    keep_states: int = KEEP_VERSIONS,
 ) -> StreamingQuery:
     """Keep ``hourly_summary`` and ``total_hourly_stats`` under ``root`` up to date.
 
     ``snapshots`` is a parsed stream; ``ties`` orders repeats of a station and instant.
-    Cut into any number of batches, the results are those of one batch run, as long as
+    ``keep_states`` versions of the state stay. Cut into any number of batches, the results are those of one batch run, as long as
     no snapshot arrives after a newer one of its station was already handled: such rows
     are set aside in ``arrivals/epoch=<id>/outcome=late``.
     """
     tables = JobTables(snapshots.sparkSession, root)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        handle_hourly_batch(batch, epoch, root, ties, split_rows)
+        handle_hourly_batch(batch, epoch, root, ties, slice_seconds, keep_states)
 
     return _start(snapshots, handle, tables, "state", trigger)
 
@@ -72,7 +74,8 @@ def handle_hourly_batch(
     epoch: int,
     root: str,
     ties: Sequence[str] = (),
-    split_rows: int | None = SPLIT_ROWS,
+    slice_seconds: int = SLICE_SECONDS,
+    keep_states: int = KEEP_VERSIONS,
 ) -> None:
     """One micro-batch. Handling an epoch again leaves every table as it was."""
     spark = batch.sparkSession
@@ -85,13 +88,14 @@ def handle_hourly_batch(
 
     known = state.load(before=epoch)
     fresh = _write_arrivals(batch, known, tables, epoch, ties)
-    flows = _write_flows(lag_placed(fresh, baseline=known, split_rows=split_rows), tables, epoch)
-    state.save(next_state(known, flows, distinct_times=True), epoch)
+    flows = _write_flows(delta_lag(fresh, baseline=known, slice_seconds=slice_seconds), tables, epoch)
+    state.save(next_state(known, flows, distinct_times=True), epoch, keep_states)
 
-    first, last = flows.agg(F.to_date(F.min(TIME)), F.to_date(F.max(TIME))).first()
-    if first is not None:
-        _update_hours(flows, tables, epoch, first, last)
-        _update_totals(flows, tables, epoch, first, last)
+    # The days in which this epoch's hours start: all that may have changed, and no others.
+    days = [r[0] for r in flows.select(F.to_date(F.window(TIME, HOUR)["start"])).distinct().collect()]
+    if days:
+        _update_hours(flows, tables, epoch, days)
+        _update_totals(flows, tables, epoch, days)
 
 
 def _write_arrivals(
@@ -105,13 +109,13 @@ def _write_arrivals(
     counts = Observation("batch")
     rows = observe_batch(batch, counts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        usable, malformed = split_malformed(rows)
+        _, malformed = split_malformed(rows)
         malformed.write.mode("overwrite").parquet(f"{tables.path('malformed')}/epoch={epoch}")
 
         known_at = known.select(STATION, F.col(TIME).alias("_known_at"))
         outcome = F.when(F.col(TIME) <= F.col("_known_at"), "late").otherwise("fresh")
         arrivals = (
-            dedupe_snapshots(usable, ties)
+            usable_once(rows, ties)
             .join(known_at, STATION, "left")
             .withColumn("outcome", outcome)
             .drop("_known_at")
@@ -131,21 +135,21 @@ def _write_flows(flows: DataFrame, tables: JobTables, epoch: int) -> DataFrame:
     return tables.root.spark.read.schema(flows.schema).parquet(path)
 
 
-def _update_hours(flows: DataFrame, tables: JobTables, epoch: int, first: date, last: date) -> None:
+def _update_hours(flows: DataFrame, tables: JobTables, epoch: int, days: list[date]) -> None:
     partials = Partials(tables, "hour_partials", hourly_tumbling(flows))
     partials.write(epoch)
-    so_far = partials.read(epoch, first, last)
+    so_far = partials.read(epoch, days)
     so_far = _in_buckets_of(so_far, so_far.filter(F.col("epoch") == epoch))
     sums = [F.sum(c).alias(c) for c in ("total_rental", "total_return")]
     write_bucketed(so_far.groupBy("start", "end", STATION).agg(*sums), tables.path(HOURLY_SUMMARY))
 
 
-def _update_totals(flows: DataFrame, tables: JobTables, epoch: int, first: date, last: date) -> None:
+def _update_totals(flows: DataFrame, tables: JobTables, epoch: int, days: list[date]) -> None:
     panes = pane_totals(flows).select("pane.start", "rental", "return")
     partials = Partials(tables, "pane_partials", panes)
     partials.write(epoch)
     # A window reaches into the neighbouring hour, which may be in the neighbouring day.
-    so_far = partials.read(epoch, first - timedelta(days=1), last + timedelta(days=1))
+    so_far = partials.read(epoch, [d + timedelta(days=i) for d in days for i in (-1, 0, 1)])
     touched = totals_from_panes(so_far.filter(F.col("epoch") == epoch), "start")
     totals = _in_buckets_of(totals_from_panes(so_far, "start"), touched)
     write_bucketed(totals, tables.path(TOTAL_HOURLY_STATS))
@@ -179,9 +183,10 @@ class Partials:
             .parquet(self.folder.path)
         )
 
-    def read(self, epoch: int, first: date, last: date) -> DataFrame:
-        wanted = (f"event_date={first}", f"event_date={last}")
-        days = [self.folder.at(n) for n in self.folder.names() if wanted[0] <= n <= wanted[1]]
+    def read(self, epoch: int, wanted: list[date]) -> DataFrame:
+        """The parts of these days and of no others, up to an epoch."""
+        names = {f"event_date={d}" for d in wanted}
+        days = [self.folder.at(n) for n in self.folder.names() if n in names]
         reader = self.folder.spark.read.schema(self.schema).option("basePath", self.folder.path)
         return reader.parquet(*days).filter(F.col("epoch") <= epoch)
 
@@ -192,12 +197,19 @@ def start_latest_job(
     keys: Sequence[str] = (STATION,),
     order: Sequence[str] = (TIME,),
     trigger: dict | None = None,
+    sink: Callable[[DataFrame, int], None] | None = None,
+    keep: int = KEEP_VERSIONS,
 ) -> StreamingQuery:
-    """Keep the newest snapshot of every key in the versioned table ``<root>/latest``."""
+    """Keep the newest snapshot of every key in the versioned table ``<root>/latest``.
+
+    ``sink(rows, epoch)`` gets, after each batch, the newest row of every key the batch has, for instance to
+    ``put_rows`` them into a key-value store. A repeated epoch gives it the same rows again.
+    ``keep`` versions of the table stay: a reader may hold one that long.
+    """
     tables = JobTables(snapshots.sparkSession, root)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        handle_latest_batch(batch, epoch, root, keys, order)
+        handle_latest_batch(batch, epoch, root, keys, order, sink, keep)
 
     return _start(snapshots, handle, tables, "latest", trigger)
 
@@ -208,8 +220,10 @@ def handle_latest_batch(
     root: str,
     keys: Sequence[str] = (STATION,),
     order: Sequence[str] = (TIME,),
+    sink: Callable[[DataFrame, int], None] | None = None,
+    keep: int = KEEP_VERSIONS,
 ) -> None:
-    """One micro-batch, counted and merged in one pass over it."""
+    """One micro-batch, counted and merged in one pass over it, then handed to the sink."""
     tables = JobTables(batch.sparkSession, root)
     latest = VersionedTable(batch.sparkSession, tables.path("latest"), batch.schema)
     if batch.isEmpty():
@@ -218,8 +232,11 @@ def handle_latest_batch(
         return
     counts = Observation("batch")
     counted = observe_batch(batch, counts)
-    latest.save(upsert_latest(latest.load(before=epoch), counted, keys, order), epoch)
+    latest.save(upsert_latest(latest.load(before=epoch), counted, keys, order), epoch, keep)
     _write_metrics(tables, epoch, counts)
+    if sink is not None:
+        touched = batch.select(*keys).dropna().distinct()
+        sink(latest.load().join(touched, list(keys), "left_semi"), epoch)
 
 
 def _write_metrics(tables: JobTables, epoch: int, counts: Observation) -> None:
@@ -241,6 +258,7 @@ def stream_sliding_total(flows: DataFrame) -> DataFrame:
 def start_sliding_total_job(flows: DataFrame, root: str, trigger: dict | None = None) -> StreamingQuery:
     """Append final sliding totals to ``<root>/total_hourly_stats``, bucketed by window end."""
     tables = JobTables(flows.sparkSession, root)
+    tables.require_consistent(TOTAL_HOURLY_STATS)
     writer = (
         with_bucket(stream_sliding_total(flows))
         .repartition(*BUCKET)

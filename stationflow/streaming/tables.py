@@ -32,6 +32,10 @@ class Folder:
         self._fs.delete(self._path_of(self.at(*parts)), True)
 
 
+#: Versions of a table that stay, so that readers of an older one can finish.
+KEEP_VERSIONS = 3
+
+
 class VersionedTable:
     """A small table replaced once per epoch, under ``<path>/epoch=<id>``.
 
@@ -56,7 +60,7 @@ class VersionedTable:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(self.folder.at(f"epoch={usable[-1]}"))
 
-    def save(self, df: DataFrame, epoch: int, keep: int = 3) -> None:
+    def save(self, df: DataFrame, epoch: int, keep: int = KEEP_VERSIONS) -> None:
         """Write version ``epoch``, then drop all but the newest ``keep``."""
         columns = df.select(*self.schema.fieldNames())
         columns.write.mode("overwrite").parquet(self.folder.at(f"epoch={epoch}"))

@@ -5,7 +5,6 @@ import random
 import pytest
 from frames import at, rows, snapshots, state
 
-from stationflow.operators import lag
 from stationflow.operators import (
     dedupe_snapshots,
     delta_lag,
@@ -56,52 +55,43 @@ def brute_force(data):
     return sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("split_rows", [None, 1, 40, 150, 5_000_000])
-def test_lag_of_a_hot_station_however_its_days_are_cut(spark, split_rows):
-    rng = random.Random(3)
-    data = []
-    for i in range(600):
+def hot_feed(rng, n=600):
+    for i in range(n):
         hot = rng.random() < 0.6
         second = rng.choice([7200 + rng.randrange(3), rng.randrange(3600), rng.randrange(4 * 86400)])
         day, rest = divmod(second, 86400)
         time = f"2024-07-0{1 + day} {rest // 3600:02}:{rest // 60 % 60:02}:{rest % 60:02}"
-        data.append(("HOT" if hot else f"S{rng.randrange(9)}", at(time), rng.randrange(20), i))
-    df = spark.createDataFrame(
-        data, "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, offset bigint")
-    if split_rows == 40:
+        yield ("HOT" if hot else f"S{rng.randrange(9)}", at(time), rng.randrange(20), i)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp_ntz", "struct"])
+@pytest.mark.parametrize("slice_seconds", [1, 60, 3600, 40_000_000])
+def test_lag_is_the_same_at_every_slice_length_and_type_of_tie_breaker(spark, slice_seconds, kind):
+    data = list(hot_feed(random.Random(3)))
+    df = spark.createDataFrame(data, "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, offset bigint")
+    tie = {
+        "bigint": F.col("offset"),
+        "string": F.lpad(F.col("offset").cast("string"), 6, "0"),
+        "timestamp_ntz": F.make_timestamp_ntz(F.lit(2020), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)) + F.make_dt_interval(secs=F.col("offset")),
+        "struct": F.struct(F.lit(1), F.col("offset")),
+    }[kind]
+    df = df.withColumn("tie", tie)
+    if slice_seconds == 60:
         df = df.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    got = rows(delta_lag(df, ["offset"], split_rows=split_rows), "offset", "prev_count")
-    assert got == brute_force(data)
-
-
-def test_a_full_day_is_cut_as_finely_as_its_fullest_part_needs(spark):
-    data = [("A", f"2024-07-0{d} {h:02}:{m:02}:{x:02}", 1)
-            for d, hours, minutes, seconds in [(1, 4, 1, 1), (2, 1, 4, 1), (3, 1, 1, 4), (4, 1, 1, 2)]
-            for h in range(hours) for m in range(minutes) for x in range(seconds)]
-    df = snapshots(spark, *data).withColumn("_day", F.to_date("event_time"))
-    cut, names = lag._cut_full_days(df, 3, "offset")
-    cuts = cut.groupBy("_day", *names).agg(F.count("*").alias("n"))
-    days = cuts.groupBy(F.day("_day").alias("day")).agg(
-        F.max("n").alias("largest"), F.count("*").alias("parts"))
-    assert rows(days, "day", "largest", "parts") == [(1, 1, 4), (2, 1, 4), (3, 1, 4), (4, 2, 1)]
-
-
-@pytest.mark.parametrize("ties", [["offset"], []])
-def test_lag_of_an_instant_with_too_many_repeats(spark, ties):
-    rng = random.Random(5)
-    instants = ["09:59:59.5", "10:00:00.1", "10:00:00.2", "10:00:00.2", "10:00:00.2", "10:00:00.3", "10:00:01"]
-    data = [("A", at(rng.choice(instants)), rng.randrange(9), i) for i in range(150)]
-    df = spark.createDataFrame(
-        data, "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, offset bigint")
-    cut, names = lag._cut_full_days(df.withColumn("_day", F.to_date("event_time")), 20, "offset")
-    assert cut.groupBy("_day", *names).count().agg(F.max("count")).first()[0] <= 30
-    got = delta_lag(df, ties, split_rows=20)
-    if ties:
-        assert rows(got, "offset", "prev_count") == brute_force(data)
-    else:
-        plain = delta_lag(df, ties, split_rows=None)
-        columns = ("event_time", "parkingBikeTotCnt", "prev_count")
-        assert rows(got, *columns) == rows(plain, *columns)
+    assert rows(delta_lag(df, ["tie"], slice_seconds=slice_seconds), "offset", "prev_count") == brute_force(data)
+
+
+def test_lag_over_times_before_the_epoch_and_far_apart(spark):
+    times = ["1960-02-29 23:59:59", "1969-12-31 23:59:59", "1970-01-01 00:00:00", "2024-07-01 00:00:00", "2124-07-01 00:00:00"]
+    df = snapshots(spark, *[("A", t, i) for i, t in enumerate(times)])
+    assert [r[1] for r in rows(delta_lag(df), "event_time", "prev_count")] == [None, 0, 1, 2, 3]
+
+
+def test_lag_of_repeats_by_several_ties(spark):
+    data = [("A", at("10:00"), 5, i % 3, i) for i in range(12)]
+    df = spark.createDataFrame(data, "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, part int, offset bigint")
+    got = delta_lag(df, ["part", "offset"], slice_seconds=1)
+    assert [r["diff"] for r in got.orderBy("part", "offset").collect()] == [None] + [0] * 11
 
 
 def test_rows_without_station_or_time_are_kept_without_flow(spark):

@@ -93,4 +93,4 @@ def test_put_rows_joins_several_keys(spark, root):
     spark.dataSource.register(folder_store())
     df = snapshots(spark, ("A", "10:00", 5), ("B", "10:00", 1)).withColumn("city", F.lit("x"))
     put_rows(df, "t", ["city", "stationId"], fmt="folder_store", options={"folder": root})
-    assert contents(root) == {"t:x:A": "5", "t:x:B": "1"}
+    assert contents(root) == {'t:["x","A"]': "5", 't:["x","B"]': "1"}
