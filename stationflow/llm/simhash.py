@@ -1,8 +1,8 @@
 """SimHash fingerprints and their neighbours, in DataFrame expressions only.
 
 Every word of a text votes for and against each bit of the fingerprint, by the bits of its hash and with the
-word's weight. Two bits are counted in one long, in its lower and upper half, so a row of words makes 64 sums
-rather than 128. All words of a text are added up in the task that holds it.
+word's weight. Four bits are counted in one long, in lanes of 16 bits, over blocks of words whose weights fit in a
+lane; so a word makes 32 additions rather than 128. All words of a text are added up in the task that holds it.
 
 Fingerprints within a Hamming radius r are found by tables: the bits are cut into blocks, of which r at
 most can differ, so two such fingerprints agree in some choice of the other blocks. There is a table for each choice.
@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from .shared import saved
 
 BITS = 128
-_LANES = 0x0000000100000001
+_LANES = 0x0001000100010001
 SPLIT = r"[\x20\x09-\x0D]+"
 #: A word weighs its length, up to this: short words are common to all texts. A text's weights never exceed its length.
 MAX_WEIGHT = 12
+#: Words of a block: 4096 of weight 12 at most stay below 65,536.
+_BLOCK_BITS = 12
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -30,15 +32,17 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataF
 
     Rows whose keys agree are taken together, so let keys tell texts apart. Equal texts have equal fingerprints.
     """
-    words = texts.select(*keys, F.explode(F.split(F.coalesce(text, F.lit("")), SPLIT)).alias("word"))
-    words = words.select(*keys, F.xxhash64("word").alias("h0"), F.xxhash64("word", F.lit(1)).alias("h1"), F.least(F.length("word"), F.lit(MAX_WEIGHT)).cast("long").alias("w"))
-    sums = [F.sum(F.shiftrightunsigned(f"h{k}", j).bitwiseAND(F.lit(_LANES)) * F.col("w")).alias(f"s{k}_{j}") for k in (0, 1) for j in range(32)]
-    votes = words.groupBy(*keys).agg(F.sum("w").alias("all"), *sums)
+    words = texts.select(*keys, F.posexplode(F.split(F.coalesce(text, F.lit("")), SPLIT)).alias("at", "word"))
+    h0 = F.xxhash64("word")
+    words = words.select(*keys, F.shiftright("at", _BLOCK_BITS).alias("block"), h0.alias("h0"), F.xxhash64("word", F.lit(1)).alias("h1"), F.least(F.length("word"), F.lit(MAX_WEIGHT)).cast("long").alias("w"))
+    sums = [F.sum(F.shiftrightunsigned(f"h{k}", j).bitwiseAND(F.lit(_LANES)) * F.col("w")).alias(f"s{k}_{j}") for k in (0, 1) for j in range(16)]
+    blocks = words.groupBy(*keys, "block").agg(F.sum("w").alias("all"), *sums)
+    # Few texts have more than one block: the lanes of the others are their votes.
+    lanes = [F.sum(F.shiftrightunsigned(f"s{k}_{j}", 16 * lane).bitwiseAND(F.lit(0xFFFF))).alias(f"v{k}_{j + 16 * lane}") for k in (0, 1) for j in range(16) for lane in range(4)]
+    votes = blocks.groupBy(*keys).agg(F.sum("all").alias("all"), *lanes)
 
     def bit(k: int, i: int) -> Column:
-        lanes = F.col(f"s{k}_{i % 32}")
-        count = F.shiftrightunsigned(lanes, 32) if i >= 32 else lanes.bitwiseAND(F.lit(0xFFFFFFFF))
-        return F.shiftleft((2 * count > F.col("all")).cast("long"), i)
+        return F.shiftleft((2 * F.col(f"v{k}_{i}") > F.col("all")).cast("long"), i)
 
     halves = [reduce(Column.bitwiseOR, [bit(k, i) for i in range(64)]) for k in (0, 1)]
     return votes.select(*keys, F.lower(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves])).alias("fingerprint"))
