@@ -9,7 +9,7 @@ import pytest
 from frames import at, rows, snapshots
 
 from stationflow.functions import parse_snapshots
-from stationflow.operators import delta_lag, hourly_tumbling, latest_by, sliding_total
+from stationflow.operators import delta_lag, hourly_tumbling, latest_by, sliding_total, station_flows
 from stationflow.sources import read_envelopes
 from stationflow.streaming import (
     JobTables,
@@ -18,7 +18,7 @@ from stationflow.streaming import (
     start_latest_job,
     start_sliding_total_job,
 )
-from stationflow.streaming.jobs import handle_hourly_batch, handle_latest_batch
+from stationflow.streaming.jobs import Partials, handle_hourly_batch, handle_latest_batch
 from pyspark.sql import functions as F
 
 ONCE = {"availableNow": True}
@@ -229,3 +229,56 @@ def test_watermarked_totals_drop_late_rows_and_hold_back_open_windows(spark, roo
     kept = flow_rows(spark, ("10:02", 1, 0), ("11:30", 0, 2), ("11:25", 3, 0), ("13:00", 0, 0))
     final = sliding_total(kept).filter(F.col("end") <= F.lit("2024-07-01 12:50:00").cast("timestamp"))
     assert got == rows(zoneless(final), *TOTALS)
+
+
+@pytest.mark.parametrize("zone", ["Asia/Kolkata", "Asia/Kathmandu", "UTC"])
+def test_hours_of_half_hour_zones_are_all_published(spark, root, zone):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", zone)
+    data = [("A", "00:10", 9), ("A", "00:20", 4), ("A", "00:50", 4), ("A", "2024-07-02 00:05", 1), ("B", "1970-01-03 00:10", 7)]
+
+    def zoned(rows):
+        return snapshots(session, *rows).withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+    for epoch, batch in enumerate([data[:3], data[3:]]):
+        handle_hourly_batch(zoned(batch), epoch, root, ["offset"])
+    want = hourly_tumbling(delta_lag(zoned(data)))
+    assert rows(session.read.parquet(f"{root}/hourly_summary"), *HOURLY) == rows(want, *HOURLY)
+    totals = sliding_total(delta_lag(zoned(data)))
+    assert rows(session.read.parquet(f"{root}/total_hourly_stats"), *TOTALS) == rows(totals, *TOTALS)
+
+
+def test_a_stray_day_reads_itself_and_no_range(spark, root, monkeypatch):
+    read = []
+    plain = Partials.read
+    monkeypatch.setattr(Partials, "read", lambda self, epoch, days: read.append(sorted(set(days))) or plain(self, epoch, days))
+    run_batches(spark, root, [DAY[:6], [("Z", "1970-01-05 10:00", 3), ("A", "10:50", 5)]])
+    assert [d.isoformat() for d in read[2]] == ["1970-01-05", "2024-07-01"]
+    assert len(read[3]) == 6
+
+
+def test_backfill_equals_the_job_on_broken_rows(spark, root):
+    data = [("A", "10:00", 9), ("A", "10:10", None), ("A", "10:20", 4), (None, "10:25", 1), ("A", "10:30", 8),
+            ("A", "10:30", 6), ("A", None, 2), ("B", "10:40", 3), ("B", "10:40", 3)]
+    run_batches(spark, root, [data])
+    flows = station_flows(snapshots(spark, *data), ["offset"])
+    assert published(spark, root) == (rows(hourly_tumbling(flows), *HOURLY), rows(sliding_total(flows), *TOTALS))
+    assert ("A", 5, 2) in [(r[2], r[3], r[4]) for r in published(spark, root)[0]]
+
+
+def test_latest_job_hands_the_newest_rows_to_its_sink(spark, root):
+    got = []
+
+    def sink(newest, epoch):
+        got.append((epoch, rows(newest, "stationId", "parkingBikeTotCnt")))
+
+    for epoch, batch in enumerate([[("A", "10:00", 5), ("B", "10:00", 2)], [("A", "09:00", 1), ("C", "10:00", 7)]]):
+        handle_latest_batch(snapshots(spark, *batch), epoch, root, sink=sink)
+    assert got == [(0, [("A", 5), ("B", 2)]), (1, [("A", 5), ("C", 7)])]
+
+
+def test_sliding_job_refuses_an_old_output_without_its_checkpoint(spark, root):
+    os.makedirs(f"{root}/job/total_hourly_stats/year=2024")
+    flows = spark.readStream.schema("event_time timestamp, rental int, return int").parquet(root)
+    with pytest.raises(ValueError, match="no checkpoint"):
+        start_sliding_total_job(flows, f"{root}/job", trigger=ONCE)

@@ -80,3 +80,15 @@ def test_observed_metrics_need_no_pass_of_their_own(spark, root):
     counts = Observation("m")
     observe_batch(mixed(spark), counts).write.parquet(f"{root}/out")
     assert counts.get == {"total": 5, "parsed": 1, "malformed": 4}
+
+
+def test_evidence_is_kept_of_malformed_rows_only(spark):
+    good = '{"stationId":"A","parkingBikeTotCnt":5,"timestamp":"2024-07-01 10:00:00"}'
+    docs = [good, "prose", good.replace(":5", ':"x"'), good.replace("2024-07-01 10", "soon"), None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "offset int, value string")
+    got = parse_snapshots(df, evidence=True, keep_text=True).orderBy("offset").collect()
+    assert [(r["value"], r["reason"]) for r in got] == [
+        (None, None), ("prose", "no station, time, count"), (docs[2], "no count"), (docs[3], "no time"),
+        (None, "no station, time, count"),
+    ]
+    assert [r["timestamp"] for r in got][:1] == ["2024-07-01 10:00:00"] and got[3]["timestamp"] == "soon:00:00"
