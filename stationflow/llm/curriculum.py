@@ -104,7 +104,9 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule], max_repeats: int = 3, se
         _check(schedule)
     weights = [_area(s) for s in schedules]
     rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    rows = rows.withColumn("hash", F.xxhash64(F.col("key"), F.lit(seed))).withColumn("slice", F.pmod(F.shiftright("hash", 40), F.lit(slices)).cast("int"))
+    rows = rows.withColumn("hash", F.shiftrightunsigned(F.xxhash64(F.col("key"), F.lit(seed)), 1))
+    # Slices are ranges of the hash, so how many there are changes nothing but who works on what.
+    rows = rows.withColumn("slice", F.floor(F.shiftright("hash", 39) * slices / (1 << 24)).cast("int"))
     rows = saved(rows)
     parts = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     ahead = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
