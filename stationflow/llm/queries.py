@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_table, curriculum, decision_list, level_windows, licence_text, repeat_bytes, set_join, simhash, url_model, weak_toxicity
+from .oracles import ORACLES
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -87,6 +88,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_toxicity.score(docs, weak_toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -99,5 +102,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLES: dict[str, str] = {}
