@@ -22,8 +22,11 @@ from w left join n on w.doc_id = n.doc_id left join c on w.doc_id = c.a"""
 
 OP4 = """with
 t as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
-p as (select doc_id, len(h) // 2 as n_bytes, unnest(range(1, len(h) // 2 + 1)) as i, h from t),
-k as (select doc_id, i, substr(h, 2 * i - 1, 2) as byte, case when i + 199 <= n_bytes then md5(substr(h, 2 * i - 1, 400)) end as string from p),
+c as (select doc_id, len(h) // 2 as n_bytes, j, substr(h, 512 * j + 1, 912) as part
+      from (select doc_id, h, unnest(range(0, len(h) // 512 + 1)) as j from t)),
+p as (select *, unnest(range(1, least(256, n_bytes - 256 * j) + 1)) as x from c),
+k as (select doc_id, 256 * j + x as i, substr(part, 2 * x - 1, 2) as byte,
+        case when 256 * j + x + 199 <= n_bytes then md5(substr(part, 2 * x - 1, 400)) end as string from p),
 f as (select string from k where string is not null group by 1 having count(*) > 1),
 d as (select k.*, case when f.string is not null then 1 else 0 end as dup from k left join f on k.string = f.string),
 g as (select doc_id, i, byte, max(dup) over (partition by doc_id order by i rows between 199 preceding and current row) as gone from d),
