@@ -156,8 +156,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, found = vocabulary(path).split, {}
         for batch in batches:
-            for chunk, value in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist()):
-                found.setdefault(chunk, set()).update(split(value))
+            for chunk, value in zip(batch.column("chunk").to_pylist(), batch.column("text")):
+                found.setdefault(chunk, set()).update(split(value.as_py()))
         for chunk, words in found.items():
             for page, listed in _pages(list(words), n):
                 body, lengths = _pack(listed)
@@ -178,7 +178,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def join_back(left: pa.Table, right: pa.Table) -> pa.Table:
         places, split = _Places(), vocabulary(path).split
-        at = [np.fromiter(map(places.__getitem__, split(value)), dtype=np.int32) for value in left.column("text").to_pylist()]
+        at = [np.fromiter(map(places.__getitem__, split(value.as_py())), dtype=np.int32) for value in left.column("text")]
         right = right.sort_by("page")
         ids, counts = (np.concatenate([np.zeros(0, np.uint32), *map(_unpack_numbers, right.column(c).to_pylist())]) for c in ("ids", "counts"))
         counts = counts.astype(np.int64)

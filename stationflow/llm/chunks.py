@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 6 << 20
 
 PAGE = "chunk long, page long, keys binary, values binary"
 ANSWER = "chunk long, page long, level int, answer binary"
