@@ -114,7 +114,10 @@ class LabelModel:
             return by_class, rates
 
         by_class, rates = estimate(start)
-        rest = (votes != 0) - np.einsum("yn,jy->nj", by_class, 1 - rates[:, :, 1])
+        # A voter's signal is that it speaks, or, if it always does, what it says.
+        always = (votes != 0).all(axis=0)
+        signal = np.where(always, votes > 0, votes != 0)
+        rest = signal - np.einsum("yn,jy->nj", by_class, np.where(always[:, None], rates[:, :, 2], 1 - rates[:, :, 1]))
         spread = np.sqrt((rest**2).mean(axis=0) + 1e-6)
         together = np.clip(rest.T @ rest / len(votes) / np.outer(spread, spread), 0, 1)
         np.fill_diagonal(together, 0)
