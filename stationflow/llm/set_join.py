@@ -35,6 +35,8 @@ from .tokens import Words, mixed, pieces, window_hashes
 
 #: Entries of an index list from which on it isn't read.
 MOST = 256
+#: So many keys of sets to compare, eight bytes each, are broadcast.
+FEW_KEYS = 500_000
 _ONCE, _SOME, _MANY = 0, 1, 2
 _BITS = 256
 
@@ -184,15 +186,39 @@ def read_lists(entries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(firsts), np.concatenate(seconds)
 
 
-PAIRS = "a long, b long, shared long, need int, list long, size int, b0 long, b1 long, b2 long, b3 long"
+#: What reading the lists of a page gives: its pairs together (kind 0), or an entry of a list too long to be read (kind 1).
+READ = "kind int, chunk long, page long, keys binary, values binary, a long, list long, size int, b0 long, b1 long, b2 long, b3 long"
 
+PAIR = np.dtype([("a", np.int64), ("b", np.int64), ("shared", np.int32), ("need", np.int32)])
 
-def _pair_table(a: np.ndarray, b: np.ndarray, shared: np.ndarray, need: np.ndarray) -> pa.Table:
-    none = pa.nulls(len(a), pa.int64())
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "shared": shared.astype(np.int64), "need": need.astype(np.int32), "list": none, "size": none.cast(pa.int32()), "b0": none, "b1": none, "b2": none, "b3": none})
 
+def _pairs(a: np.ndarray, b: np.ndarray, shared: np.ndarray, need: np.ndarray) -> np.ndarray:
+    out = np.empty(len(a), dtype=PAIR)
+    out["a"], out["b"], out["shared"], out["need"] = np.minimum(a, b), np.maximum(a, b), shared, need
+    return out
 
-def _read_lists(percent: int, most: int):
+
+def _pair_pages(page: int, pairs: np.ndarray, n: int) -> pa.Table:
+    """Pairs in pages by what both keys hash to: a pair that several pages have found is added up in one."""
+    names = mixed(pairs["a"].view(np.uint64) + mixed(pairs["b"].view(np.uint64)))
+    order = paged(names, n)
+    table = write_pages(page, names[order], np.ascontiguousarray(pairs[order]), n)
+    none = pa.nulls(table.num_rows, pa.int64())
+    columns = {"kind": pa.array(np.zeros(table.num_rows, dtype=np.int32)), **{c: table.column(c) for c in table.column_names}}
+    return pa.table({**columns, "a": none, "list": none, "size": none.cast(pa.int32()), **{f"b{i}": none for i in range(4)}})
+
+
+def _add_pairs(table: pa.Table) -> pa.Table:
+    """Pairs that are in as many lists together as linked sets must be."""
+    pairs = np.concatenate([np.frombuffer(x, dtype=PAIR) for x in table.column("values").to_pylist()])
+    pairs = pairs[np.lexsort((pairs["b"], pairs["a"]))]
+    begin = np.flatnonzero(np.concatenate(([True], (pairs["a"][1:] != pairs["a"][:-1]) | (pairs["b"][1:] != pairs["b"][:-1]))))
+    shared, need = np.add.reduceat(pairs["shared"], begin), np.minimum.reduceat(pairs["need"], begin)
+    enough = begin[shared >= need]
+    return pa.table({"a": pairs["a"][enough], "b": pairs["b"][enough]})
+
+
+def _read_lists(percent: int, most: int, n: int):
     def read(table: pa.Table) -> pa.Table:
         """Pairs of all lists of a page, and in how many of its lists each is; of a list that is too long, pairs with its
         least set and the entries."""
@@ -209,16 +235,18 @@ def _read_lists(percent: int, most: int):
         need = np.minimum(read["need"][one], read["need"][two])[first]
         # A pair that shares a segment is one to compare, whatever else it shares.
         segment = np.isin(both, np.unique((low * max(len(keys), 1) + high)[read["at"][one] < 0]))
-        out = [_pair_table(keys[both // max(len(keys), 1)], keys[both % max(len(keys), 1)], shared, np.where(segment, 1, need))]
+        pairs = [_pairs(keys[both // max(len(keys), 1)], keys[both % max(len(keys), 1)], shared, np.where(segment, 1, need))]
+        out = []
         for x, y in zip(begin[width > most].tolist(), end[width > most].tolist()):
             listed = entries[x:y]
             others = listed["key"][listed["key"] != listed["key"].min()]
             ones = np.ones(len(others))
-            out.append(_pair_table(np.full(len(others), listed["key"].min()), others, ones, ones))
+            pairs.append(_pairs(np.full(len(others), listed["key"].min()), others, ones, ones))
             bits = listed["bits"].view(np.int64).reshape(-1, _BITS // 64)
             none = pa.nulls(len(listed), pa.int64())
-            out.append(pa.table({"a": listed["key"], "b": none, "shared": none, "need": none.cast(pa.int32()), "list": listed["list"].view(np.int64), "size": listed["size"], **{f"b{i}": np.ascontiguousarray(bits[:, i]) for i in range(4)}}))
-        return pa.concat_tables(out)
+            body = pa.nulls(len(listed), pa.binary())
+            out.append(pa.table({"kind": pa.array(np.ones(len(listed), dtype=np.int32)), "chunk": none, "page": none, "keys": body, "values": body, "a": listed["key"], "list": listed["list"].view(np.int64), "size": listed["size"], **{f"b{i}": np.ascontiguousarray(bits[:, i]) for i in range(4)}}))
+        return pa.concat_tables([_pair_pages(table.column("page")[0].as_py(), np.concatenate(pairs), n), *out])
 
     return read
 
@@ -329,9 +357,8 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     asked = by_chunk.cogroup(chosen.groupBy("chunk")).applyInArrow(ask, PAGE)
     codes = answered(asked, 0, np.uint32, _how_often(most))
     entered = by_chunk.cogroup(codes.unionByName(chosen).groupBy("chunk")).applyInArrow(enter, "chunk long, page long, values binary")
-    read = saved(entered.groupBy("page").applyInArrow(_read_lists(percent, most), PAIRS))
-    found_in = read.filter("b IS NOT NULL").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"))
-    pairs = saved(found_in.filter("shared >= need").select("a", "b"))
+    read = saved(entered.groupBy("page").applyInArrow(_read_lists(percent, most, n), READ))
+    pairs = saved(read.filter("kind = 0").select("page", "values").groupBy("page").applyInArrow(_add_pairs, "a long, b long"))
 
     def send(table: pa.Table, requests: pa.Table) -> pa.Table:
         """Sets that other chunks ask for: level 1, page the key, answer the chunk to send it to."""
@@ -366,6 +393,11 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
 
     def linked(some: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are linked. The set of a goes to the chunk of b, once."""
+        keys = saved(some.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        # Few keys are sent to where the texts are, so that no other text is shuffled; else all texts are.
+        few = keys.count() <= FEW_KEYS
+        texts = rows.join(F.broadcast(keys), "key", "left_semi").select(*rows.columns) if few else rows
+        by_chunk = texts.repartition(n, "chunk").groupBy("chunk")
         at = leads.select(F.col("lead").alias("a"), F.col("chunk").alias("a_chunk"))
         placed = some.join(at, "a").join(at.toDF("b", "b_chunk"), "b")
         requests = placed.select(F.col("a_chunk").alias("chunk"), F.col("a").alias("page"), F.lit(1).alias("level"), F.col("b_chunk")).distinct()
@@ -377,7 +409,7 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     links = linked(pairs)
     found = components(links)
     # Of lists too long to be read, what their least sets have left unconnected.
-    rest = saved(_unconnected_of_lists(read.filter("b IS NULL"), found, percent).join(pairs, ["a", "b"], "left_anti").distinct())
+    rest = saved(_unconnected_of_lists(read.filter("kind = 1"), found, percent).join(pairs, ["a", "b"], "left_anti").distinct())
     if not rest.isEmpty():
         found = components(links.unionByName(linked(rest)))
     out = named.join(classes.select("n", "one", "two", "lead"), ["n", "one", "two"], "left")
@@ -398,7 +430,7 @@ def _unconnected_of_lists(entries: DataFrame, found: DataFrame, percent: int) ->
     In each list the component with most entries stays on one side, so a list that is connected costs nothing.
     """
     at = found.select(F.col("node").alias("a"), "component")
-    entries = entries.drop("b").join(at, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    entries = entries.select("a", "list", "size", *[f"b{i}" for i in range(4)]).join(at, "a", "left").withColumn("component", F.coalesce("component", "a"))
     counts = entries.groupBy("list", "component").agg(F.count(F.lit(1)).alias("entries"))
     largest = counts.groupBy("list").agg(F.max(F.struct("entries", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"))
     open_lists = largest.filter("parts > 1").select("list", F.col("largest.component").alias("largest"))
