@@ -153,15 +153,20 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     n = max(1, -(-total // chunk_bytes))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(n))).repartition(n, "chunk")
 
-    def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, found = vocabulary(path).split, {}
-        for batch in batches:
-            for chunk, value in zip(batch.column("chunk").to_pylist(), batch.column("text")):
-                found.setdefault(chunk, set()).update(split(value.as_py()))
-        for chunk, words in found.items():
-            for page, listed in _pages(list(words), n):
-                body, lengths = _pack(listed)
-                yield pa.RecordBatch.from_pydict({"chunk": [chunk], "page": [page], "words": [body], "lengths": [lengths]})
+    def list_words(table: pa.Table) -> pa.Table:
+        split, found = vocabulary(path).split, set()
+        for value in table.column("text"):
+            found.update(split(value.as_py()))
+        pages = _pages(list(found), n)
+        del found
+        packed = [_pack(listed) for _, listed in pages]
+        chunk = [table.column("chunk")[0].as_py()] * len(pages)
+        return pa.table({
+            "chunk": pa.array(chunk, pa.int64()),
+            "page": pa.array([page for page, _ in pages], pa.int64()),
+            "words": pa.array([body for body, _ in packed], pa.binary()),
+            "lengths": pa.array([lengths for _, lengths in packed], pa.binary()),
+        })
 
     def encode_words(table: pa.Table) -> pa.Table:
         lists = [_unpack(b, n) for b, n in zip(table.column("words").to_pylist(), table.column("lengths").to_pylist())]
@@ -189,8 +194,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         out = [ids[spread(begin[a], count[a])].tobytes() for a in at]
         return pa.table({key: left.column("key"), "ids": pa.array(out, pa.binary())})
 
-    # All columns go into both uses of `dealt`, so that Spark sees one shuffle and reuses it.
-    pages = dealt.mapInArrow(list_words, _PAGES)
+    # Both uses of `dealt` take all its columns, so that Spark sees one shuffle and reuses it.
+    pages = dealt.groupBy("chunk").applyInArrow(list_words, _PAGES)
     encoded = pages.groupBy("page").applyInArrow(encode_words, _IDS)
     schema = StructType([StructField(key, docs.schema[key].dataType), StructField("ids", BinaryType())])
     return dealt.groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(join_back, schema)
