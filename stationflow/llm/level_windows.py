@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .chunks import ANSWER, CHUNK_BYTES, PAGE, Rows, answered, deal, paged, read_answers, write_pages
+from .chunks import CHUNK_BYTES, PAGE, Rows, answered, deal, paged, read_answers, write_pages
 from .tokens import Words, anchors, cover, pieces, window_hashes
 
 
