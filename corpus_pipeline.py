@@ -55,7 +55,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with digests of the ids and of what they decode to."""
     path = f"{TOKENIZERS}/byte_bpe_50k.json"
-    decoded = bpe_table.decode(bpe_table.encode(docs, path), path)
+    # Workers that ran the stages before keep some memory: smaller chunks, at a little more disk.
+    decoded = bpe_table.decode(bpe_table.encode(docs, path, chunk_bytes=6 << 20), path)
     return bpe_table.digests(decoded, "ids")
 
 
