@@ -23,8 +23,8 @@ _LANES = 0x0001000100010001
 SPLIT = r"[\x20\x09-\x0D]+"
 #: A word weighs its length, up to this: short words are common to all texts. A text's weights never exceed its length.
 MAX_WEIGHT = 12
-#: Words of a block: 4096 of weight 12 at most stay below 65,536.
-_BLOCK_BITS = 12
+#: Words of a block: 2048 of weight 12 at most stay below 32,768, so the top lane leaves the sign of its long alone.
+_BLOCK_BITS = 11
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:

@@ -75,6 +75,17 @@ def test_fingerprint_counts_every_word_of_a_long_text(spark):
     assert simhash.fingerprints(df, ["doc_id"]).first()["fingerprint"] == want
 
 
+def test_fingerprint_of_one_long_word_many_times(spark):
+    """Every vote of a block goes to the same bits: the fingerprint is the word's hash. Several words, as some fill each lane."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, " ".join([w] * 10_000)) for i, w in enumerate(("aaaaaaaaaaaa", "0x0000000000", "spamspamspamspam", "bbbbbbbbbbbb", "cccccccccccc"))]
+    df = frame(spark, rows)
+    hashes = df.select("doc_id", F.split("text", " ")[0].alias("w")).select("doc_id", F.xxhash64("w").alias("a"), F.xxhash64("w", F.lit(1)).alias("b")).collect()
+    want = {r["doc_id"]: f"{r['a'] % 2**64:016x}{r['b'] % 2**64:016x}" for r in hashes}
+    assert {r["doc_id"]: r["fingerprint"] for r in simhash.fingerprints(df, ["doc_id"]).collect()} == want
+
+
 @pytest.mark.parametrize(("radius", "blocks"), [(0, 1), (3, 5), (6, 8)])
 def test_all_neighbours_are_found(spark, radius, blocks):
     rng = random.Random(2)
