@@ -45,11 +45,16 @@ def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it, in training order."""
-    mixed = curriculum.mix(docs, SCHEDULES, max_repeats=3).dropDuplicates(["doc_id"])
-    takes = curriculum.takes(mixed, SCHEDULES).select(F.col("doc_id").alias("_id"), "take", "position")
-    out = docs.join(takes, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return out.orderBy("position", "doc_id", "take").select(*COLUMNS)
+    """Every row as often as the mix takes it, in training order, also where its id is null or not its own.
+
+    Rows get a number and are written with it once, so that the mix and the texts name them alike.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/mixed-{uuid.uuid4().hex}"
+    docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")).write.parquet(path)
+    rows, carry = spark.read.parquet(path), ["lang", "n_chars", "_row"]
+    mixed = curriculum.mix(rows, SCHEDULES, max_repeats=3, carry=carry)
+    takes = curriculum.takes(mixed, SCHEDULES, carry=carry).select("_row", "take", "position")
+    return rows.join(takes, "_row").orderBy("position", "doc_id", "take").select(*COLUMNS)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

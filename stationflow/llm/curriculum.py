@@ -91,19 +91,20 @@ def by_rank(sources: DataFrame, weights: Sequence[float]) -> DataFrame:
     return out.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")))
 
 
-def mix(docs: DataFrame, schedules: Sequence[Schedule], max_repeats: int = 3, seed: int = 0, key: str = "doc_id", source: str = "source", text: str = "text", slices: int = SLICES) -> DataFrame:
+def mix(docs: DataFrame, schedules: Sequence[Schedule], max_repeats: int = 3, seed: int = 0, key: str = "doc_id", source: str = "source", text: str = "text", slices: int = SLICES, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of docs: key, source, size (words), source_size, target, taken (words), repeats, and
     position, the time of its first take (null if it isn't taken), in the order of position.
 
     Sources by code point, null last, follow the schedules in turn. A source whose target is e times its size and a
     rest takes every document e times, and once more those the rest reaches at their middle or before. A document is
     taken whole or not at all. Times of later takes: `takes`. A document without words is never taken. Equal input
-    gives equal output; rows that repeat are each a row of the mix, told apart by nothing but their order.
+    gives equal output; rows that repeat are each a row of the mix, told apart by the columns to carry, which come last
+    in the order of documents and in the output, or by nothing but their order.
     """
     for schedule in schedules:
         _check(schedule)
     weights = [_area(s) for s in schedules]
-    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *carry)
     rows = rows.withColumn("hash", F.shiftrightunsigned(F.xxhash64(F.col("key"), F.lit(seed)), 1))
     # Slices are ranges of the hash, so how many there are changes nothing but who works on what.
     rows = rows.withColumn("slice", F.floor(F.shiftright("hash", 39) * slices / (1 << 24)).cast("int"))
@@ -115,7 +116,7 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule], max_repeats: int = 3, se
     totals = targets(totals, max_repeats=max_repeats)
     parts = parts.join(totals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "slice_size")
     parts = parts.select(F.col("source").alias("_source"), F.col("slice").alias("_slice"), "before", "source_size", "target", "rank")
-    inside = Window.partitionBy("source", "slice").orderBy("hash", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "slice").orderBy("hash", "key", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(parts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("slice") == F.col("_slice")))
     start, size, whole = F.col("before") + F.col("within"), F.col("size"), F.col("source_size")
@@ -129,17 +130,17 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule], max_repeats: int = 3, se
         position = F.when(F.pmod("rank", F.lit(len(schedules))) == i, time_of(part, schedule)).otherwise(position)
     out = rows.withColumn("repeats", repeats).withColumn("taken", (F.col("repeats") * size).cast("long"))
     out = out.withColumn("start", start).withColumn("position", F.when(F.col("repeats") > 0, position))
-    return out.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "taken", "repeats", "position", "start", "rank").orderBy(
+    return out.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "taken", "repeats", "position", "start", "rank", *carry).orderBy(
         F.col("position").asc_nulls_last(), F.col(key)
     )
 
 
-def takes(mixed: DataFrame, schedules: Sequence[Schedule], key: str = "doc_id") -> DataFrame:
-    """The training order: one row per take of a document (key, source, take from 0, position), by position."""
+def takes(mixed: DataFrame, schedules: Sequence[Schedule], key: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
+    """The training order: one row per take of a document (key, source, take from 0, position, what is carried), by position."""
     out = mixed.withColumn("take", F.explode(F.sequence(F.lit(0), F.greatest(F.col("repeats") - 1, F.lit(0))))).filter("repeats > 0")
     part = F.least((2 * (F.col("take") * F.col("source_size") + F.col("start")) + F.col("size")) / (2 * F.col("target")), F.lit(1.0))
     position = F.lit(None).cast("double")
     for i, schedule in enumerate(schedules):
         position = F.when(F.pmod("rank", F.lit(len(schedules))) == i, time_of(part, schedule)).otherwise(position)
-    return out.select(key, "source", "take", position.alias("position")).orderBy("position", key, "take")
+    return out.select(key, "source", "take", position.alias("position"), *carry).orderBy("position", key, "take")
 

@@ -87,6 +87,25 @@ def test_takes_spread_by_schedule(spark):
     assert early["a"] > late["a"] and abs(early["b"] - late["b"]) <= 3 and early["c"] < late["c"]
 
 
+def test_mixed_rows_keep_their_own_repeats(spark, tmp_path):
+    """Rows of a null id and of a repeated id, in several sources: each source meets its target, each text has repeats of its own."""
+    rng = random.Random(6)
+    rows = [(d, f"t{i} " + "w " * rng.randint(0, 30), "en", s, i) for i, (d, s) in enumerate([*[(None, s) for s in "abc"] * 40, *[(7, s) for s in "abc"] * 30, *[(100 + i, s) for i, s in enumerate("abc" * 10)]])]
+    sizes = {s: sum(len(words(r[1])) for r in rows if r[3] == s) for s in "abc"}
+    want = dict(zip("abc", filled([sizes[s] for s in "abc"], [1, 2, 3])))
+    got = corpus_pipeline.mixed_sources(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()
+    assert {tuple(r) for r in got} <= set(rows)
+    copies, taken = Counter(r["n_chars"] for r in got), Counter()
+    for r in got:
+        taken[r["source"]] += len(words(r["text"]))
+    for s in "abc":
+        assert abs(taken[s] - want[s]) <= 31
+        rounds = int(want[s] // sizes[s])
+        assert {copies[r[4]] for r in rows if r[3] == s} <= {rounds, rounds + 1}
+    again = corpus_pipeline.mixed_sources(spark, spark.createDataFrame(rows[::-1], SCHEMA).repartition(5), str(tmp_path)).collect()
+    assert Counter(r["n_chars"] for r in again) == copies
+
+
 def test_mix_of_nothing_and_of_bad_schedules(spark):
     assert curriculum.mix(spark.createDataFrame([], SCHEMA), SCHEDULES).count() == 0
     for bad in ([(0, 1)], [(0, 1), (0.5, 1)], [(0, 0), (1, 0)], [(0, -1), (1, 2)]):
