@@ -219,3 +219,25 @@ def test_licences(spark):
         got[r["doc_id"]] = got.get(r["doc_id"], []) + r["families"]
     assert all(got[i] == [] for i in [*range(60), 500, 501])
     assert sum(f in got[100 + i] for i, (f, _) in enumerate(notices)) >= len(notices) - 1
+
+
+def test_licences_of_other_versions_and_variants_are_unknown(spark):
+    """Nearly the words of a notice, but of another version or variant; and the same notices with other numbers about."""
+    prose = corpus(8, 60)
+    others = [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+        "Licensed under CC BY-SA 4.0.",
+        "Released under the BSD 2-Clause License.",
+        "Licensed under the Apache License, Version 1.1.",
+    ]
+    same = {"Release 2 of this work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Version 2 is released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
+    rows = [(10**6 + i, t) for i, (_, t) in enumerate(prose)] + list(enumerate([*others, *same]))
+    df = frame(spark, rows)
+    got = {r["doc_id"]: r["families"] for r in licence_text.of_documents(df, licence_text.scan(df, licence_text.fit(df))).collect()}
+    assert [got[i] for i in range(len(others))] == [["unknown"]] * len(others)
+    assert [got[len(others) + i] for i in range(len(same))] == [[f] for f in same.values()]
