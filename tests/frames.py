@@ -6,6 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The smallest of the given tables.
+SF = "/root/testdata/sf0.001"
+
 SNAPSHOTS = "stationId string, event_time timestamp_ntz, parkingBikeTotCnt int, offset bigint"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF
+from frames import SF
 
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import connect, duck_rows, spark_rows
-from conftest import SF
+from frames import SF
 
 from stationflow.plans.oracles import ORACLES
 from stationflow.plans.queries import QUERIES
