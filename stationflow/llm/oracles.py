@@ -50,4 +50,31 @@ select w.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_removed, 0)
   sha256(coalesce(kept, '')) as kept_sha256
 from w left join r on w.doc_id = r.doc_id"""
 
-ORACLES = {"op3_jaccard_join": OP3, "op4_repeated_bytes": OP4, "op5_repeated_words": OP5}
+OP11 = f"""with recursive
+t as (select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first, role, text) as i from conversations where conv_id is not null),
+n as (select c, max(i) as n from t group by 1),
+x as (select c, cast(c as varchar) as s, 0 as k, 4294967295::bigint as r from n
+      union all
+      select c, s, k + 1, xor(r0 >> 1, 3988292384 * (r0 & 1))
+      from (select c, s, k, case when k % 8 = 0 then xor(r, ascii(substr(s, k // 8 + 1, 1))::bigint) else r end as r0 from x where k < 8 * len(s))),
+h as (select c, xor(r, 4294967295) % 4 as h, c - c % 20 as base from x where k = 8 * len(s)),
+g as (select h.*, least(h, coalesce(n.n, 0)) as given from h left join n on n.c = h.base),
+r as (select g.c, t.i, role, text from g join t on t.c = g.base and t.i <= g.h
+      union all select g.c, t.i - g.h + g.given, role, text from g join t on t.c = g.c and t.i > g.h),
+q as (select c, i as depth, text, list(md5(len(role) || ':' || role || text)) over (partition by c order by i rows unbounded preceding) as p from r
+      union all select c, 0, '', [] from n),
+m as (select c, depth, list_slice(p, 1, depth) as p, text from q),
+v as (select depth, p, min(c) as conv_id, count(*) as n_convs, len({_WORDS.format("any_value(text)")}) as words from m group by 1, 2),
+e as (select c, max(depth) as last from m group by 1),
+z as (select depth, p, string_agg(cast(m.c as varchar), ',' order by m.c) as ends from m join e on e.c = m.c and e.last = m.depth group by 1, 2),
+k as (select depth - 1 as depth, p[:depth - 1] as p, count(*) as n_children from v where depth > 0 group by 1, 2),
+a as (select v.*, coalesce(n_children, 0) as n_children, coalesce(ends, '') as ends
+      from v left join k on k.depth = v.depth and k.p = v.p left join z on z.depth = v.depth and z.p = v.p),
+b as (select m.depth, m.p, count(*) filter (where d.n_children = 0) as n_leaves, sum((d.n_convs - 1) * d.words) as saved_tokens
+      from m join a d on d.conv_id = m.c and d.depth >= m.depth group by 1, 2)
+select a.conv_id, cast(a.depth as bigint) as depth, up.conv_id as parent_conv_id, a.n_convs, a.n_children, b.n_leaves,
+  cast(b.saved_tokens as bigint) as saved_tokens, sha256(a.ends) as ends_sha256
+from a join b on b.depth = a.depth and b.p = a.p left join v up on up.depth = a.depth - 1 and up.p = a.p[:a.depth - 1]"""
+
+ORACLES = {"op3_jaccard_join": OP3, "op4_repeated_bytes": OP4, "op5_repeated_words": OP5, "op11_prefix_trie": OP11}

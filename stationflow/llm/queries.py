@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, curriculum, decision_list, level_windows, licence_text, repeat_bytes, set_join, simhash, url_model, weak_toxicity
+from . import bpe_table, curriculum, decision_list, level_windows, licence_text, prefix_trie, repeat_bytes, set_join, simhash, url_model, weak_toxicity
 from .oracles import ORACLES
+from .shared import saved
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -88,6 +90,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_toxicity.score(docs, weak_toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = saved(prefix_trie.numbered(table(spark, sf_dir, "conversations")))
+    rebuilt, ids = prefix_trie.with_shared_heads(turns)
+    found = prefix_trie.trie(saved(rebuilt), ids)
+    out = found.nodes.join(found.end_digests(), prefix_trie.NAME, "left").fillna(hashlib.sha256().hexdigest(), ["ends_sha256"])
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -101,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
 }

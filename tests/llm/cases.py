@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
+from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -108,3 +110,34 @@ def words_left(rows, length):
             seen.add(window)
         out[d] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))
     return out
+
+
+def rebuilt_conversations(rows, every=20, most=4):
+    """{conv_id: [(role, text), ...]} of rows (conv_id, turn, role, text) with distinct turns, begun as others begin."""
+    own = {}
+    for c, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        own.setdefault(c, []).append((role or "", text or ""))
+    out = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % most
+        out[c] = own.get(c - c % every, [])[:h] + own[c][h:]
+    return out
+
+
+def prefix_nodes(sequences):
+    """Rows (conv_id, depth, parent's, members, children, leaves, saved tokens, ids that end there) of {conv_id: [turn, ...]}."""
+    members = {}
+    for c, turns in sequences.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    children = Counter(p[:-1] for p in members if p)
+    out = []
+    for p, convs in members.items():
+        below = [q for q in members if q[: len(p)] == p]
+        out.append((
+            min(convs), len(p), min(members[p[:-1]]) if p else None, len(convs), children[p],
+            sum(not children[q] for q in below),
+            sum((len(members[q]) - 1) * len(words(q[-1][1])) for q in below if q),
+            sorted(c for c in convs if len(sequences[c]) == len(p)),
+        ))
+    return sorted(out, key=lambda r: r[:2])
