@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, curriculum, decision_list, level_windows, licence_text, prefix_trie, repeat_bytes, set_join, simhash, url_model, weak_toxicity
+from . import bpe_table, curriculum, decision_list, interpolation, level_windows, licence_text, prefix_trie, repeat_bytes, set_join, simhash, url_model, weak_toxicity
 from .oracles import ORACLES
 from .shared import saved
 
@@ -98,6 +98,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = interpolation.score(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -112,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_lm_score": op12_lm_score,
 }
