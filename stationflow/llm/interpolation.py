@@ -41,28 +41,37 @@ BUCKETS = 64
 LEAST = 1e-6
 HELD_OUT, KEPT, LEARNS = 0, 1, 2
 
+#: Of n-grams told apart by hashes, one in two to so many meets another.
+SPARE_BITS = 24
+#: Tokens of a block, but for a longer text, which is one.
+BLOCK_TOKENS = 1 << 16
+
 _LISTED = "chunk long, page long, level int, keys binary, t binary, e binary"
 _TOTALS = "chunk long, page long, level int, alone binary, t binary, e binary"
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Numbers, lowest bytes first and all bytes of one rank together, as wide as the largest needs."""
+def pack(numbers: np.ndarray, raw: bool = False) -> bytes:
+    """Numbers, lowest bytes first and all bytes of one rank together, as wide as the largest needs. raw: the lower ones are random."""
     width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
-    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + zlib.compress(planes.tobytes(), 1)
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    plain = max(0, width - 2) if raw else 0
+    return bytes([width, plain]) + len(numbers).to_bytes(8, "little") + planes[:plain].tobytes() + zlib.compress(planes[plain:].tobytes(), 1)
 
 
 def unpack(body: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(body[1:]), dtype=np.uint8).reshape(body[0], -1)
-    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
-    out[:, : body[0]] = planes.T
+    width, plain = body[0], body[1]
+    size = int.from_bytes(body[2:10], "little")
+    at = 10 + plain * size
+    planes = np.frombuffer(body[10:at] + zlib.decompress(body[at:]), dtype=np.uint8).reshape(width, size)
+    out = np.zeros((size, 8), dtype=np.uint8)
+    out[:, :width] = planes.T
     return out.view("<u8").reshape(-1).astype(np.int64)
 
 
 class Grams:
     """The n-grams that end at each token of a chunk. gram[k] has those of k words; ahead of a text stand START words."""
 
-    def __init__(self, table: pa.Table, order: int):
+    def __init__(self, table: pa.Table, order: int, bits: int = 64):
         gram, size = [[np.zeros(0, np.uint64)] for _ in range(order + 1)], [np.zeros(0, np.int64)]
         for batch in table.select(["text"]).to_batches():
             for _, texts in pieces(iter([batch])):
@@ -76,7 +85,7 @@ class Grams:
                     token[first[:-1] + k] = False
                 at = np.flatnonzero(token)
                 for k in range(1, order + 1):
-                    gram[k].append(window_hashes(padded, k)[at - k + 1] if len(at) else np.zeros(0, np.uint64))
+                    gram[k].append(window_hashes(padded, k)[at - k + 1] >> np.uint64(64 - bits) if len(at) else np.zeros(0, np.uint64))
                 size.append(words.count + 1)
         self.gram = [np.concatenate(g) for g in gram]
         self.size = np.concatenate(size)
@@ -99,7 +108,7 @@ class Grams:
 class Distinct:
     """Distinct n-grams of a chunk. inverse: of each token, its n-gram. t, e: how often training texts have it, and those that learn.
 
-    What other chunks have is added by `tell`; alone: no other chunk has it.
+    What other chunks have is added by `tell`, if it is told; alone: no other chunk has it.
     """
 
     def __init__(self, keys: np.ndarray, inverse: np.ndarray, t: np.ndarray, e: np.ndarray):
@@ -107,8 +116,10 @@ class Distinct:
         self.alone = np.ones(len(keys), dtype=bool)
 
     def order(self, chosen: np.ndarray | None, pages: int) -> np.ndarray:
+        """Those chosen, by page, then by name, in the order of which they are already."""
         at = np.arange(len(self.keys)) if chosen is None else np.flatnonzero(chosen)
-        return at[np.lexsort((self.keys[at], self.keys[at] % np.uint64(pages)))]
+        page = (self.keys[at] % np.uint64(pages)).astype(np.uint16 if pages <= 1 << 16 else np.uint64)
+        return at[np.argsort(page, kind="stable")]
 
     def pages(self, chunk: int, level: int, chosen: np.ndarray | None, pages: int) -> list[tuple]:
         at = self.order(chosen, pages)
@@ -116,22 +127,24 @@ class Distinct:
         edges = np.flatnonzero(np.diff(number)) + 1
         out = []
         for part in np.split(at, edges) if len(at) else []:
-            keys = self.keys[part]
-            out.append((chunk, int(keys[0] % np.uint64(pages)), level, pack(np.diff(keys, prepend=np.uint64(0))), pack(self.t[part]), pack(self.e[part])))
+            above, page = self.keys[part] // np.uint64(pages), int(self.keys[part[0]] % np.uint64(pages))
+            out.append((chunk, page, level, pack(np.diff(above, prepend=np.uint64(0)), raw=True), pack(self.t[part]), pack(self.e[part])))
         return out
 
     def tell(self, chosen: np.ndarray | None, totals: list[tuple], pages: int) -> None:
         at = self.order(chosen, pages)
         alone, t, e = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for _, bits, some_t, some_e in sorted(totals, key=lambda x: x[0]):
-            alone.append(unpack(bits))
-            t.append(unpack(some_t))
-            e.append(unpack(some_e))
+        for _, flags, some_t, some_e in sorted(totals, key=lambda x: x[0]):
+            alone.append(unpack(flags))
+            if some_t is not None:
+                t.append(unpack(some_t))
+                e.append(unpack(some_e))
         alone = np.concatenate(alone).astype(bool)
         if len(alone) != len(at):
             raise RuntimeError("a chunk's texts are not the same as when it listed them: save the input first")
         self.alone[at] = alone
-        self.t[at[~alone]], self.e[at[~alone]] = np.concatenate(t), np.concatenate(e)
+        if len(t) > 1:
+            self.t[at[~alone]], self.e[at[~alone]] = np.concatenate(t), np.concatenate(e)
 
 
 def _listed(rows: list[tuple]) -> pa.Table:
@@ -163,23 +176,23 @@ def _add_up(n: int):
     return add
 
 
-def _told(table: pa.Table, totals: pa.Table, order: int, n_pages: int, upto: int) -> tuple[Grams, list, list]:
-    """A chunk's n-grams with the totals of orders up to `upto`, and which of each order it lists."""
+def _told(grams: Grams, totals: pa.Table, orders: list[int], pages: int) -> dict[int, Distinct]:
+    """Of these orders, the distinct n-grams of a chunk with what other chunks have."""
     by_level: dict[int, list[tuple]] = {}
     for row in zip(*(totals.column(c).to_pylist() for c in ("level", "page", "alone", "t", "e"))):
         by_level.setdefault(row[0], []).append(row[1:])
-    grams = Grams(table, order)
-    found, chosen = [None], [None]
-    for k in range(1, min(upto + 1, order) + 1):
-        found.append(grams.distinct(k))
-        chosen.append(_shared(grams, found, k) if k > 2 else None)
-        if k <= upto:
-            found[k].tell(chosen[k], by_level.get(k, []), n_pages)
-    return grams, found, chosen
-
-
-def _shared(grams: Grams, found: list, k: int) -> np.ndarray:
-    """Of the distinct n-grams of k words, those whose first and last k - 1 words other chunks have as well."""
+    found: dict[int, Distinct] = {}
+    for k in orders:
+        found[k] = grams.distinct(k)
+        found[k].tell(_shared(grams, found, k), by_level.get(k, []), pages)
+    return found
+
+
+def _shared(grams: Grams, found: dict[int, Distinct], k: int) -> np.ndarray | None:
+    """Of the distinct n-grams of k words, those whose first and last k - 1 words other chunks have as well. Of single words
+    and pairs: all."""
+    if k < 3:
+        return None
     less = ~found[k - 1].alone[found[k - 1].inverse]
     before = np.concatenate(([True], less[:-1])) if len(less) else less
     out = np.zeros(len(found[k].keys), dtype=bool)
@@ -188,17 +201,20 @@ def _shared(grams: Grams, found: list, k: int) -> np.ndarray:
 
 
 def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", order: int = 3, deleted: int = DELETED, chunk_bytes: int = CHUNK_BYTES, page_bytes: int = PAGE_BYTES) -> DataFrame:
-    """Of every row, how often training texts have the n-grams that end at its tokens.
+    """Blocks of rows, with how often training texts have the n-grams that end at each of their tokens.
 
-    Returns key, role (0: no training text, 1: training, 2: training and learns the weights), counts (array of binary, one for
-    each length from 1), kept_counts (those without the texts that learn; null unless role is 2); and rows without a role,
-    whose tokens, learning, known add up to the training tokens, those of texts that learn, and the distinct ones.
+    Returns keys (array), sizes (tokens of each row), counts (array, one entry for each length from 1, of all tokens of the block),
+    learning_sizes and kept_counts (of the rows that learn the weights, without the texts that learn), texts and
+    learners (training rows, and those that learn); tokens, learning and known add up, over all blocks, to the training tokens,
+    those of texts that learn, and the distinct ones. Numbers are packed. The last block of a chunk may be without rows.
     """
     learns = F.pmod(F.xxhash64(F.col(key)), F.lit(deleted)) == 0
     role = F.when(~F.coalesce(training, F.lit(False)), HELD_OUT).when(learns, LEARNS).otherwise(KEPT)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), role.cast("int").alias("role"))
     total = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     n, n_pages = max(1, -(-total // chunk_bytes)), max(1, -(-total // page_bytes))
+    # So wide that one n-gram in 2^SPARE_BITS meets another, while there are 64 bits.
+    bits = min(64, total.bit_length() + SPARE_BITS)
     # Equal rows are dealt out as well: the row's own number is part of the hash.
     chunk = F.pmod(F.xxhash64("key", "text", F.monotonically_increasing_id()), F.lit(n))
     dealt = rows.withColumn("chunk", chunk).repartition(min(n, MOST_PARTITIONS), "chunk")
@@ -209,47 +225,61 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
         return pages.groupBy("level", "page").applyInArrow(_add_up(n), _TOTALS)
 
     def list_short(table: pa.Table) -> pa.Table:
-        grams, number = Grams(table, order), table.column("chunk")[0].as_py()
+        grams, number = Grams(table, order, bits), table.column("chunk")[0].as_py()
         return _listed([x for k in range(1, min(order, 2) + 1) for x in grams.distinct(k).pages(number, k, None, n_pages)])
 
     def lister(k: int):
         def list_longer(table: pa.Table, totals: pa.Table) -> pa.Table:
             if not table.num_rows:
                 return _listed([])
-            _, found, chosen = _told(table, totals, order, n_pages, k - 1)
-            return _listed(found[k].pages(table.column("chunk")[0].as_py(), k, chosen[k], n_pages))
+            grams = Grams(table, order, bits)
+            found = _told(grams, totals, [*range(2, k)], n_pages)
+            longer = grams.distinct(k)
+            return _listed(longer.pages(table.column("chunk")[0].as_py(), k, _shared(grams, found | {k: longer}, k), n_pages))
 
         return list_longer
 
+    kind = pa.list_(pa.binary())
+
     def keep(table: pa.Table, totals: pa.Table) -> pa.Table:
         facts = np.zeros(3, dtype=np.int64)
         for body, level in zip(totals.column("alone").to_pylist(), totals.column("level").to_pylist()):
             if level == 0:
                 facts += unpack(body)
-        grams, found, _ = _told(table, totals, order, n_pages, order) if table.num_rows else (None, [], None)
-        all_t, kept = [], []
-        if grams:
-            t = [d.t[d.inverse] for d in found[1:]]
-            r = [(d.t - d.e)[d.inverse] for d in found[1:]]
-            roles = table.column("role").to_pylist()
-            for role, a, b in zip(roles, grams.first[:-1].tolist(), grams.first[1:].tolist()):
-                all_t.append([pack(x[a:b]) for x in t])
-                kept.append([pack(x[a:b]) for x in r] if role == LEARNS else None)
-        none = [None] * table.num_rows
+        out: dict[str, list] = {c: [] for c in ("keys", "sizes", "counts", "learning_sizes", "kept_counts", "texts", "learners")}
+        if table.num_rows:
+            grams = Grams(table, order, bits)
+            found = _told(grams, totals, [*range(1, order + 1)], n_pages)
+            keys, roles = table.column("key").to_pylist(), np.array(table.column("role").to_pylist())
+            # A block ends with the row that fills it.
+            block = (grams.first[1:] - 1) // BLOCK_TOKENS
+            edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(roles)]
+            for a, b in zip(edges, edges[1:]):
+                tokens = slice(int(grams.first[a]), int(grams.first[b]))
+                mine = grams.role[tokens] == LEARNS
+                out["keys"].append(keys[a:b])
+                out["sizes"].append(pack(grams.size[a:b]))
+                out["counts"].append([pack(d.t[d.inverse[tokens]]) for d in found.values()])
+                out["learning_sizes"].append(pack(grams.size[a:b][roles[a:b] == LEARNS]))
+                out["kept_counts"].append([pack((d.t - d.e)[d.inverse[tokens][mine]]) for d in found.values()])
+                out["texts"].append(int((roles[a:b] != HELD_OUT).sum()))
+                out["learners"].append(int((roles[a:b] == LEARNS).sum()))
+        blocks = len(out["keys"])
+        types = {"keys": pa.list_(table.schema.field("key").type), "sizes": pa.binary(), "counts": kind, "learning_sizes": pa.binary(), "kept_counts": kind, "texts": pa.int64(), "learners": pa.int64()}
         return pa.table({
-            "key": pa.concat_arrays([*table.column("key").chunks, pa.nulls(1, table.schema.field("key").type)]),
-            "role": pa.array([*table.column("role").to_pylist(), None], pa.int32()),
-            "counts": pa.array([*all_t, None], pa.list_(pa.binary())),
-            "kept_counts": pa.array([*kept, None], pa.list_(pa.binary())),
-            **{c: pa.array([*none, int(facts[i])], pa.int64()) for i, c in enumerate(("tokens", "learning", "known"))},
+            **{c: pa.array([*values, [] if c == "keys" else None], types[c]) for c, values in out.items()},
+            **{c: pa.array([*[None] * blocks, int(facts[i])], pa.int64()) for i, c in enumerate(("tokens", "learning", "known"))},
         })
 
     totals = added(by_chunk.applyInArrow(list_short, _LISTED), 2)
     for k in range(3, order + 1):
-        listed = by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(lister(k), _LISTED)
+        # What a chunk needs to know by now: which of its shorter n-grams no other chunk has.
+        known = totals.filter(f"level BETWEEN 2 AND {k - 1}").select("chunk", "page", "level", "alone", *[F.lit(None).cast("binary").alias(c) for c in "te"])
+        listed = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(lister(k), _LISTED)
         totals = totals.unionByName(added(listed, 1))
-    kind = rows.schema["key"].dataType.simpleString()
-    return by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(keep, f"key {kind}, role int, counts array<binary>, kept_counts array<binary>, tokens long, learning long, known long")
+    key_type = rows.schema["key"].dataType.simpleString()
+    schema = f"keys array<{key_type}>, sizes binary, counts array<binary>, learning_sizes binary, kept_counts array<binary>, texts long, learners long, tokens long, learning long, known long"
+    return by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(keep, schema)
 
 
 class Model:
@@ -289,17 +319,16 @@ class Model:
         return out
 
 
-def _bodies(batch: pa.RecordBatch, column: str, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Counts of each order over all rows of a batch, whether a token opens its text, and the row of each."""
-    rows = [[unpack(b) for b in r] for r in batch.column(column).to_pylist()]
-    size = np.array([len(r[0]) for r in rows], dtype=np.int64)
+def _tokens(sizes: bytes, counts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Sizes of the rows of a block, counts of each order, and whether a token opens its row."""
+    size = unpack(sizes)
     first = np.zeros(int(size.sum()), dtype=bool)
-    first[np.concatenate(([0], np.cumsum(size)[:-1]))[: len(size)]] = True
-    return [np.concatenate([r[k] for r in rows]) for k in range(order)], first, np.repeat(np.arange(len(rows)), size)
+    first[np.cumsum(size) - size] = True
+    return size, [unpack(c) for c in counts], first
 
 
 def learn(learning: DataFrame, model: Model, texts: int, rounds: int = 12, enough: float = 1e-3) -> Model:
-    """Weights by expectation-maximisation over (kept_counts), from even ones, until none of them moves by `enough`.
+    """Weights by expectation-maximisation over (learning_sizes, kept_counts), from even ones, until none of them moves by `enough`.
 
     texts: how many texts the counts are from. A round is a job; a table of 64 weights an order goes to the driver. Weights are
     rounded to six places, so that the order in which tasks are added up leaves no trace.
@@ -310,12 +339,13 @@ def learn(learning: DataFrame, model: Model, texts: int, rounds: int = 12, enoug
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((2, order + 1, BUCKETS))
             for batch in batches:
-                if batch.num_rows:
-                    sums += model.expected(*_bodies(batch, "kept_counts", order)[:2], texts)
+                for sizes, counts in zip(batch.column("learning_sizes").to_pylist(), batch.column("kept_counts").to_pylist()):
+                    _, counts, first = _tokens(sizes, counts)
+                    sums += model.expected(counts, first, texts)
             k, b = np.nonzero(sums[1])
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(b), pa.array(sums[0, k, b]), pa.array(sums[1, k, b])], names=["k", "b", "made", "could"])
 
-        found = learning.select("kept_counts").mapInArrow(expect, "k long, b long, made double, could double")
+        found = learning.select("learning_sizes", "kept_counts").mapInArrow(expect, "k long, b long, made double, could double")
         moved = 0.0
         for k, b, made, could in found.groupBy("k", "b").agg(F.sum("made"), F.sum("could")).collect():
             # Half a token each way, and never all: what no text had where the weights were learned may come yet.
@@ -333,31 +363,29 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     Tokens are the words with A-Z in lower case, and one end; a null text has the end only. n_known of them occur in training
     texts. base_score is the log10 probability under single counts plus a half, score under the model. A null
     `training` is false; rows with a null or repeated key are texts of their own; without training texts all scores
-    are 0. Weights that no text learns stay at a half. n-grams are told apart by 64-bit hashes. Of the corpus, three
-    numbers and the weights go to the driver. docs should be a table that reads alike again.
+    are 0. Weights that no text learns stay at a half. n-grams are told apart by hashes. Of the corpus, five numbers and the
+    weights go to the driver. docs should be a table that reads alike again.
     """
-    found = saved(counted(docs, training, key, text, order, **options))
-    sums = found.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "learning", "known")], F.count_if(F.col("role") >= KEPT), F.count_if(F.col("role") == LEARNS))
+    blocks = saved(counted(docs, training, key, text, order, **options))
+    sums = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "learning", "known", "texts", "learners")])
     tokens, learning, known, texts, learners = sums.first()
     model = Model(order, tokens - learning, known)
     if learners:
-        learn(saved(found.filter(F.col("role") == LEARNS).select("kept_counts")), model, texts - learners)
+        learn(saved(blocks.filter("learners > 0").select("learning_sizes", "kept_counts")), model, texts - learners)
     model.tokens = tokens
+    names = ["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            counts, first, row = _bodies(batch, "counts", order)
-            add = lambda x: pa.array(np.bincount(row, weights=x, minlength=batch.num_rows))
-            whole = lambda x: pa.array(np.bincount(row, weights=x, minlength=batch.num_rows).astype(np.int64))
-            base = np.log10((counts[0] + 0.5) / (tokens + 0.5 * (known + 1)))
-            p = model.mixture(counts, first, texts)[2][order]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), whole(np.ones(len(row))), whole(counts[0] > 0), pa.array(np.full(batch.num_rows, tokens)), add(base), add(np.log10(p))],
-                names=["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
-
-    kind = found.schema["key"].dataType.simpleString()
-    out = found.filter("role IS NOT NULL").select("key", "counts").mapInArrow(judge, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return out.withColumnRenamed("key", key)
+            for i, (sizes, counts) in enumerate(zip(batch.column("sizes").to_pylist(), batch.column("counts").to_pylist())):
+                size, counts, first = _tokens(sizes, counts)
+                row = np.repeat(np.arange(len(size)), size)
+                of_rows = lambda x: np.bincount(row, weights=x, minlength=len(size))  # noqa: B023, E731
+                base = np.log10((counts[0] + 0.5) / (tokens + 0.5 * (known + 1)))
+                p = model.mixture(counts, first, texts)[2][order]
+                found = of_rows(counts[0] > 0).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("keys")[i].values, pa.array(size), pa.array(found), pa.array(np.full(len(size), tokens)), pa.array(of_rows(base)), pa.array(of_rows(np.log10(p)))], names=names)
+
+    kind = blocks.schema["keys"].dataType.elementType.simpleString()
+    out = blocks.filter("sizes IS NOT NULL").select("keys", "sizes", "counts")
+    return out.mapInArrow(judge, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double").withColumnRenamed("key", key)
