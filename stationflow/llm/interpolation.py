@@ -14,18 +14,20 @@ bytes a word, which is all that learning the weights and scoring read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import saved
-from .tokens import Words, mixed, pieces, window_hashes
+from .tokens import Texts, Words, mixed, pieces, window_hashes
 
 CHUNK_BYTES = 8 << 20
+#: Bytes of text that are dealt to chunks at once.
+RUN_BYTES = 16 << 20
 #: Bytes of text whose n-grams make up a page.
 PAGE_BYTES = 16 << 20
 #: Chunks and pages beyond so many go through a task one after the other.
@@ -46,6 +48,10 @@ SPARE_BITS = 24
 #: Tokens of a block, but for a longer text, which is one.
 BLOCK_TOKENS = 1 << 16
 
+#: Of compression: quick, for what is read again soon.
+LEVEL = 3
+
+_DEALT = "chunk long, keys array<{}>, roles binary, sizes binary, body binary"
 _LISTED = "chunk long, page long, level int, keys binary, t binary, e binary"
 _TOTALS = "chunk long, page long, level int, alone binary, t binary, e binary"
 
@@ -55,43 +61,66 @@ def pack(numbers: np.ndarray, raw: bool = False) -> bytes:
     width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
     planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
     plain = max(0, width - 2) if raw else 0
-    return bytes([width, plain]) + len(numbers).to_bytes(8, "little") + planes[:plain].tobytes() + zlib.compress(planes[plain:].tobytes(), 1)
+    return bytes([width, plain]) + len(numbers).to_bytes(8, "little") + planes[:plain].tobytes() + zstandard.compress(planes[plain:].tobytes(), LEVEL)
 
 
 def unpack(body: bytes) -> np.ndarray:
     width, plain = body[0], body[1]
     size = int.from_bytes(body[2:10], "little")
     at = 10 + plain * size
-    planes = np.frombuffer(body[10:at] + zlib.decompress(body[at:]), dtype=np.uint8).reshape(width, size)
+    planes = np.frombuffer(body[10:at] + zstandard.decompress(body[at:]), dtype=np.uint8).reshape(width, size)
     out = np.zeros((size, 8), dtype=np.uint8)
     out[:, :width] = planes.T
     return out.view("<u8").reshape(-1).astype(np.int64)
 
 
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, text, role, chunk) as one row for each chunk and run of rows, with the texts together and compressed."""
+    for batch, texts in pieces(batches, most=RUN_BYTES):
+        chunk, role = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "role"))
+        order = np.argsort(chunk, kind="stable")
+        edges = np.flatnonzero(np.diff(chunk[order], prepend=chunk[order[0]] - 1))
+        size, raw, begin = np.diff(texts.offsets), texts.data.tobytes(), texts.offsets.tolist()
+        parts = np.split(order, edges[1:])
+        body = [zstandard.compress(b"".join(raw[begin[i] : begin[i + 1]] for i in part.tolist()), LEVEL) for part in parts]
+        keys = pa.ListArray.from_arrays(pa.array([*edges.tolist(), len(order)], pa.int32()), batch.column("key").take(pa.array(order)))
+        columns = [pa.array(chunk[order[edges]]), keys, pa.array([role[p].astype(np.int8).tobytes() for p in parts], pa.binary()), pa.array([pack(size[p]) for p in parts], pa.binary()), pa.array(body, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "keys", "roles", "sizes", "body"])
+
+
+def unpacked(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """The texts of a chunk, in runs."""
+    for sizes, body in zip(table.column("sizes").to_pylist(), table.column("body").to_pylist()):
+        offsets = np.concatenate(([0], np.cumsum(unpack(sizes))))
+        raw = zstandard.decompress(body) if offsets[-1] else b""
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
+        yield from pieces(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]))
+
+
 class Grams:
     """The n-grams that end at each token of a chunk. gram[k] has those of k words; ahead of a text stand START words."""
 
     def __init__(self, table: pa.Table, order: int, bits: int = 64):
         gram, size = [[np.zeros(0, np.uint64)] for _ in range(order + 1)], [np.zeros(0, np.int64)]
-        for batch in table.select(["text"]).to_batches():
-            for _, texts in pieces(iter([batch])):
-                words = Words(texts, lower=True)
-                first = np.concatenate(([0], np.cumsum(words.count + order)))
-                padded = np.full(int(first[-1]), START, dtype=np.uint64)
-                padded[words.row * order + np.arange(len(words.row)) + order - 1] = words.hash
-                padded[first[1:] - 1] = END
-                token = np.ones(len(padded), dtype=bool)
-                for k in range(order - 1):
-                    token[first[:-1] + k] = False
-                at = np.flatnonzero(token)
-                for k in range(1, order + 1):
-                    gram[k].append(window_hashes(padded, k)[at - k + 1] >> np.uint64(64 - bits) if len(at) else np.zeros(0, np.uint64))
-                size.append(words.count + 1)
+        for _, texts in unpacked(table):
+            words = Words(texts, lower=True)
+            first = np.concatenate(([0], np.cumsum(words.count + order)))
+            padded = np.full(int(first[-1]), START, dtype=np.uint64)
+            padded[words.row * order + np.arange(len(words.row)) + order - 1] = words.hash
+            padded[first[1:] - 1] = END
+            token = np.ones(len(padded), dtype=bool)
+            for k in range(order - 1):
+                token[first[:-1] + k] = False
+            at = np.flatnonzero(token)
+            for k in range(1, order + 1):
+                gram[k].append(window_hashes(padded, k)[at - k + 1] >> np.uint64(64 - bits) if len(at) else np.zeros(0, np.uint64))
+            size.append(words.count + 1)
         self.gram = [np.concatenate(g) for g in gram]
         self.size = np.concatenate(size)
         self.first = np.concatenate(([0], np.cumsum(self.size)))
-        role = np.array(table.column("role").to_pylist(), dtype=np.int8)
-        self.role = np.repeat(role, self.size)
+        #: Of each row, and of each token.
+        self.roles = np.frombuffer(b"".join(table.column("roles").to_pylist()), dtype=np.int8)
+        self.role = np.repeat(self.roles, self.size)
 
     def opens(self) -> np.ndarray:
         out = np.zeros(len(self.role), dtype=bool)
@@ -217,7 +246,8 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
     bits = min(64, total.bit_length() + SPARE_BITS)
     # Equal rows are dealt out as well: the row's own number is part of the hash.
     chunk = F.pmod(F.xxhash64("key", "text", F.monotonically_increasing_id()), F.lit(n))
-    dealt = rows.withColumn("chunk", chunk).repartition(min(n, MOST_PARTITIONS), "chunk")
+    key_type = rows.schema["key"].dataType.simpleString()
+    dealt = rows.withColumn("chunk", chunk).mapInArrow(packed, _DEALT.format(key_type)).repartition(min(n, MOST_PARTITIONS), "chunk")
     by_chunk = dealt.groupBy("chunk")
 
     def added(listed: DataFrame, levels: int) -> DataFrame:
@@ -250,7 +280,7 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
         if table.num_rows:
             grams = Grams(table, order, bits)
             found = _told(grams, totals, [*range(1, order + 1)], n_pages)
-            keys, roles = table.column("key").to_pylist(), np.array(table.column("role").to_pylist())
+            keys, roles = [k for run in table.column("keys").to_pylist() for k in run], grams.roles
             # A block ends with the row that fills it.
             block = (grams.first[1:] - 1) // BLOCK_TOKENS
             edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(roles)]
@@ -265,7 +295,7 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
                 out["texts"].append(int((roles[a:b] != HELD_OUT).sum()))
                 out["learners"].append(int((roles[a:b] == LEARNS).sum()))
         blocks = len(out["keys"])
-        types = {"keys": pa.list_(table.schema.field("key").type), "sizes": pa.binary(), "counts": kind, "learning_sizes": pa.binary(), "kept_counts": kind, "texts": pa.int64(), "learners": pa.int64()}
+        types = {"keys": table.schema.field("keys").type, "sizes": pa.binary(), "counts": kind, "learning_sizes": pa.binary(), "kept_counts": kind, "texts": pa.int64(), "learners": pa.int64()}
         return pa.table({
             **{c: pa.array([*values, [] if c == "keys" else None], types[c]) for c, values in out.items()},
             **{c: pa.array([*[None] * blocks, int(facts[i])], pa.int64()) for i, c in enumerate(("tokens", "learning", "known"))},
@@ -277,7 +307,6 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
         known = totals.filter(f"level BETWEEN 2 AND {k - 1}").select("chunk", "page", "level", "alone", *[F.lit(None).cast("binary").alias(c) for c in "te"])
         listed = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(lister(k), _LISTED)
         totals = totals.unionByName(added(listed, 1))
-    key_type = rows.schema["key"].dataType.simpleString()
     schema = f"keys array<{key_type}>, sizes binary, counts array<binary>, learning_sizes binary, kept_counts array<binary>, texts long, learners long, tokens long, learning long, known long"
     return by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(keep, schema)
 

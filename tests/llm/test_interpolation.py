@@ -141,7 +141,9 @@ def test_the_model_knows_more_than_single_words(spark):
 
 def test_a_gram_alone_in_its_chunk_is_not_listed():
     """Of texts that share no two words in a row with other chunks, no third order is listed; and all of it if they do."""
-    table = pa.table({"text": [f"a{i} common b{i}" for i in range(40)], "role": [1] * 40})
+    texts = [f"a{i} common b{i}" for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"key": [*range(40)], "text": texts, "role": [1] * 40, "chunk": [0] * 40})
+    table = pa.Table.from_batches(interpolation.packed(iter([batch])))
     grams = interpolation.Grams(table, 3)
     found = {k: grams.distinct(k) for k in (1, 2, 3)}
     found[1].alone[:] = False
