@@ -14,6 +14,7 @@ bytes a word, which is all that learning the weights and scoring read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import shared_folder
 from .tokens import Texts, Words, mixed, pieces, window_hashes
 
 CHUNK_BYTES = 8 << 20
@@ -232,10 +233,10 @@ def _shared(grams: Grams, found: dict[int, Distinct], k: int) -> np.ndarray | No
 def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", order: int = 3, deleted: int = DELETED, chunk_bytes: int = CHUNK_BYTES, page_bytes: int = PAGE_BYTES) -> DataFrame:
     """Blocks of rows, with how often training texts have the n-grams that end at each of their tokens.
 
-    Returns keys (array), sizes (tokens of each row), counts (array, one entry for each length from 1, of all tokens of the block),
-    learning_sizes and kept_counts (of the rows that learn the weights, without the texts that learn), texts and
-    learners (training rows, and those that learn); tokens, learning and known add up, over all blocks, to the training tokens,
-    those of texts that learn, and the distinct ones. Numbers are packed. The last block of a chunk may be without rows.
+    Returns learns (whether its rows learn the weights), keys (array), sizes (tokens of each row), counts (array, one entry for each length from 1, of all tokens of the block),
+    learners_counts (of rows that learn: how many of these occurrences are in texts that learn) and texts (training rows); tokens, learning and
+    known add up, over all blocks, to the training tokens, those of texts that learn, and the distinct ones. Numbers are packed.
+    The last block of a chunk is without rows.
     """
     learns = F.pmod(F.xxhash64(F.col(key)), F.lit(deleted)) == 0
     role = F.when(~F.coalesce(training, F.lit(False)), HELD_OUT).when(learns, LEARNS).otherwise(KEPT)
@@ -276,28 +277,29 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
         for body, level in zip(totals.column("alone").to_pylist(), totals.column("level").to_pylist()):
             if level == 0:
                 facts += unpack(body)
-        out: dict[str, list] = {c: [] for c in ("keys", "sizes", "counts", "learning_sizes", "kept_counts", "texts", "learners")}
+        out: dict[str, list] = {c: [] for c in ("learns", "keys", "sizes", "counts", "learners_counts", "texts")}
         if table.num_rows:
             grams = Grams(table, order, bits)
             found = _told(grams, totals, [*range(1, order + 1)], n_pages)
-            keys, roles = [k for run in table.column("keys").to_pylist() for k in run], grams.roles
-            # A block ends with the row that fills it.
-            block = (grams.first[1:] - 1) // BLOCK_TOKENS
-            edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(roles)]
-            for a, b in zip(edges, edges[1:]):
-                tokens = slice(int(grams.first[a]), int(grams.first[b]))
-                mine = grams.role[tokens] == LEARNS
-                out["keys"].append(keys[a:b])
-                out["sizes"].append(pack(grams.size[a:b]))
-                out["counts"].append([pack(d.t[d.inverse[tokens]]) for d in found.values()])
-                out["learning_sizes"].append(pack(grams.size[a:b][roles[a:b] == LEARNS]))
-                out["kept_counts"].append([pack((d.t - d.e)[d.inverse[tokens][mine]]) for d in found.values()])
-                out["texts"].append(int((roles[a:b] != HELD_OUT).sum()))
-                out["learners"].append(int((roles[a:b] == LEARNS).sum()))
+            keys = [k for run in table.column("keys").to_pylist() for k in run]
+            for learns in (False, True):
+                rows, tokens = np.flatnonzero((grams.roles == LEARNS) == learns), np.flatnonzero((grams.role == LEARNS) == learns)
+                ends = np.cumsum(grams.size[rows])
+                # A block ends with the row that fills it.
+                edges = np.flatnonzero(np.diff((ends - 1) // BLOCK_TOKENS)) + 1
+                for part in np.split(np.arange(len(rows)), edges) if len(rows) else []:
+                    some = tokens[ends[part[0]] - grams.size[rows[part[0]]] : ends[part[-1]]]
+                    out["learns"].append(learns)
+                    out["keys"].append([keys[i] for i in rows[part].tolist()])
+                    out["sizes"].append(pack(grams.size[rows[part]]))
+                    out["counts"].append([pack(d.t[d.inverse[some]]) for d in found.values()])
+                    out["learners_counts"].append([pack(d.e[d.inverse[some]]) for d in found.values()] if learns else None)
+                    out["texts"].append(int((grams.roles[rows[part]] != HELD_OUT).sum()))
         blocks = len(out["keys"])
-        types = {"keys": table.schema.field("keys").type, "sizes": pa.binary(), "counts": kind, "learning_sizes": pa.binary(), "kept_counts": kind, "texts": pa.int64(), "learners": pa.int64()}
+        types = {"learns": pa.bool_(), "keys": table.schema.field("keys").type, "sizes": pa.binary(), "counts": kind, "learners_counts": kind, "texts": pa.int64()}
+        last = {"learns": False, "keys": []}
         return pa.table({
-            **{c: pa.array([*values, [] if c == "keys" else None], types[c]) for c, values in out.items()},
+            **{c: pa.array([*values, last.get(c)], types[c]) for c, values in out.items()},
             **{c: pa.array([*[None] * blocks, int(facts[i])], pa.int64()) for i, c in enumerate(("tokens", "learning", "known"))},
         })
 
@@ -307,7 +309,7 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
         known = totals.filter(f"level BETWEEN 2 AND {k - 1}").select("chunk", "page", "level", "alone", *[F.lit(None).cast("binary").alias(c) for c in "te"])
         listed = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(lister(k), _LISTED)
         totals = totals.unionByName(added(listed, 1))
-    schema = f"keys array<{key_type}>, sizes binary, counts array<binary>, learning_sizes binary, kept_counts array<binary>, texts long, learners long, tokens long, learning long, known long"
+    schema = f"learns boolean, keys array<{key_type}>, sizes binary, counts array<binary>, learners_counts array<binary>, texts long, tokens long, learning long, known long"
     return by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(keep, schema)
 
 
@@ -357,9 +359,9 @@ def _tokens(sizes: bytes, counts: list[bytes]) -> tuple[np.ndarray, list[np.ndar
 
 
 def learn(learning: DataFrame, model: Model, texts: int, rounds: int = 12, enough: float = 1e-3) -> Model:
-    """Weights by expectation-maximisation over (learning_sizes, kept_counts), from even ones, until none of them moves by `enough`.
+    """Weights by expectation-maximisation over blocks that learn, from even ones, until none of them moves by `enough`.
 
-    texts: how many texts the counts are from. A round is a job; a table of 64 weights an order goes to the driver. Weights are
+    texts: how many training texts don't learn. A round is a job; a table of 64 weights an order goes to the driver. Weights are
     rounded to six places, so that the order in which tasks are added up leaves no trace.
     """
     order = model.order
@@ -368,13 +370,13 @@ def learn(learning: DataFrame, model: Model, texts: int, rounds: int = 12, enoug
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((2, order + 1, BUCKETS))
             for batch in batches:
-                for sizes, counts in zip(batch.column("learning_sizes").to_pylist(), batch.column("kept_counts").to_pylist()):
+                for sizes, counts, learners in zip(*(batch.column(c).to_pylist() for c in ("sizes", "counts", "learners_counts"))):
                     _, counts, first = _tokens(sizes, counts)
-                    sums += model.expected(counts, first, texts)
+                    sums += model.expected([t - unpack(e) for t, e in zip(counts, learners)], first, texts)
             k, b = np.nonzero(sums[1])
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(b), pa.array(sums[0, k, b]), pa.array(sums[1, k, b])], names=["k", "b", "made", "could"])
 
-        found = learning.select("learning_sizes", "kept_counts").mapInArrow(expect, "k long, b long, made double, could double")
+        found = learning.select("sizes", "counts", "learners_counts").mapInArrow(expect, "k long, b long, made double, could double")
         moved = 0.0
         for k, b, made, could in found.groupBy("k", "b").agg(F.sum("made"), F.sum("could")).collect():
             # Half a token each way, and never all: what no text had where the weights were learned may come yet.
@@ -395,12 +397,16 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     are 0. Weights that no text learns stay at a half. n-grams are told apart by hashes. Of the corpus, five numbers and the
     weights go to the driver. docs should be a table that reads alike again.
     """
-    blocks = saved(counted(docs, training, key, text, order, **options))
-    sums = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "learning", "known", "texts", "learners")])
-    tokens, learning, known, texts, learners = sums.first()
+    found = counted(docs, training, key, text, order, **options)
+    path = f"{shared_folder(docs.sparkSession).rstrip('/')}/counts-{uuid.uuid4().hex}"
+    # Rounds of learning read the folder of the blocks that learn, and no others.
+    found.write.partitionBy("learns").parquet(path)
+    blocks = docs.sparkSession.read.schema(found.schema).parquet(path)
+    kept = F.when(~F.col("learns"), F.col("texts"))
+    tokens, learning, known, texts, kept = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "learning", "known", "texts", kept)]).first()
     model = Model(order, tokens - learning, known)
-    if learners:
-        learn(saved(blocks.filter("learners > 0").select("learning_sizes", "kept_counts")), model, texts - learners)
+    if texts > kept:
+        learn(blocks.filter("learns"), model, kept)
     model.tokens = tokens
     names = ["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
