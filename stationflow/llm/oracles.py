@@ -77,4 +77,18 @@ select a.conv_id, cast(a.depth as bigint) as depth, up.conv_id as parent_conv_id
   cast(b.saved_tokens as bigint) as saved_tokens, sha256(a.ends) as ends_sha256
 from a join b on b.depth = a.depth and b.p = a.p left join v up on up.depth = a.depth - 1 and up.p = a.p[:a.depth - 1]"""
 
-ORACLES = {"op3_jaccard_join": OP3, "op4_repeated_bytes": OP4, "op5_repeated_words": OP5, "op11_prefix_trie": OP11}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = f"""with
+d as (select row_number() over (order by doc_id) as row, doc_id, {_TERMS} as ts from documents),
+n as (select row, doc_id, len(ts) as n from d),
+f as (select count(*) filter (where n > 0) as docs, sum(n)::bigint as length from n),
+q as (select distinct item, item_id, unnest(ts) as term from (select row_number() over (order by item_id) as item, item_id, {_TERMS} as ts from benchmark)),
+p as (select row, term, count(*) as tf from (select row, unnest(ts) as term from d) where term in (select term from q) group by 1, 2),
+w as (select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1))) as bigint) as w from p, f group by term, docs),
+s as (select item, item_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::bigint as score
+      from q join p using (term) join w using (term) join n using (row), f group by 1, 2, 3)
+select item_id, cast(row_number() over (partition by item order by score desc, doc_id) as integer) as rank, doc_id, score
+from s join n using (row) where score > 0 qualify rank <= 10"""
+
+ORACLES = {"op3_jaccard_join": OP3, "op4_repeated_bytes": OP4, "op5_repeated_words": OP5, "op11_prefix_trie": OP11, "op13_search": OP13}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, curriculum, decision_list, interpolation, level_windows, licence_text, prefix_trie, repeat_bytes, set_join, simhash, url_model, weak_toxicity
+from . import bpe_table, curriculum, decision_list, interpolation, level_windows, licence_text, prefix_trie, repeat_bytes, set_join, shared_terms, simhash, url_model, weak_toxicity
 from .oracles import ORACLES
 from .shared import saved
 
@@ -105,6 +105,10 @@ def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_terms.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), most=10)
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -120,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_lm_score": op12_lm_score,
+    "op13_search": op13_search,
 }
