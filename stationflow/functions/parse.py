@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.schema import COUNT, SNAPSHOT, STATION, TIME, TIMESTAMP_FORMAT
+from stationflow.schema import APPENDED, COUNT, SNAPSHOT, STATION, TIME, TIMESTAMP_FORMAT
+
+#: How far a snapshot's time may be ahead of the time at which the log took it in.
+AHEAD = "10 minutes"
 
 
 def parse_snapshots(
@@ -50,3 +53,21 @@ def is_usable() -> Column:
 def split_malformed(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, malformed): malformed rows lack the station, the time or the count."""
     return snapshots.filter(is_usable()), snapshots.filter(~is_usable())
+
+
+def set_aside_ahead(snapshots: DataFrame, tolerance: str = AHEAD, appended: str = APPENDED) -> DataFrame:
+    """Take the time from rows that claim one more than ``tolerance`` after the log took them in, so that they count as malformed.
+
+    A row dated in the future would make all later ones of its station late. Such a row keeps what it claimed as
+    ``claimed_time``, and ``reason`` says why; other rows have what they had. A row whose own log time is unknown is
+    taken at its word. ``event_time`` and the log's time must be of one type.
+    """
+    ahead = F.coalesce(F.col(TIME) > F.col(appended) + F.expr(f"INTERVAL {tolerance}"), F.lit(False))
+    reason = F.col("reason") if "reason" in snapshots.columns else F.lit(None).cast("string")
+    return snapshots.withColumns(
+        {
+            "claimed_time": F.when(ahead, F.col(TIME)),
+            "reason": F.when(ahead, F.lit("time ahead of the log")).otherwise(reason),
+            TIME: F.when(~ahead, F.col(TIME)),
+        }
+    )

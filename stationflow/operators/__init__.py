@@ -9,6 +9,7 @@ from stationflow.operators.latest import (
 )
 from stationflow.operators.metrics import batch_metrics, observe_batch
 from stationflow.operators.preview import ordered_preview
+from stationflow.operators.repair import repairs
 from stationflow.operators.state_join import delta_vs_state, late_snapshots
 from stationflow.operators.windows import (
     current_hour,
@@ -35,6 +36,7 @@ __all__ = [
     "next_state",
     "observe_batch",
     "ordered_preview",
+    "repairs",
     "pane_totals",
     "sliding_station",
     "sliding_total",

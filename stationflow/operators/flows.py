@@ -11,9 +11,9 @@ from stationflow.operators.lag import SLICE_SECONDS, delta_lag
 from stationflow.operators.latest import dedupe_snapshots
 
 
-def usable_once(snapshots: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+def usable_once(snapshots: DataFrame, ties: Sequence[str] = (), keep_tie: str | None = None) -> DataFrame:
     """Usable rows only (station, time and count are known), one per station and instant."""
-    return dedupe_snapshots(split_malformed(snapshots)[0], ties)
+    return dedupe_snapshots(split_malformed(snapshots)[0], ties, keep_tie)
 
 
 def station_flows(

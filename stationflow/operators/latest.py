@@ -30,13 +30,19 @@ def upsert_latest(
     return latest_by(current.unionByName(batch), keys, order)
 
 
-def dedupe_snapshots(snapshots: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+def dedupe_snapshots(snapshots: DataFrame, ties: Sequence[str] = (), keep_tie: str | None = None) -> DataFrame:
     """One (station, time, count) per station and instant: the one of highest ``ties``.
 
     Without ``ties`` the highest count is kept, which is arbitrary but reproducible.
     Copies are combined in the task that reads them, so a flood of them stays cheap.
+    ``keep_tie`` names a column for the highest tie-breaker, null where there is none.
     """
-    return snapshots.groupBy(STATION, TIME).agg(_of_highest(COUNT, ties).alias(COUNT))
+    kept = [] if keep_tie is None else [(F.max(_rank(ties)) if ties else F.lit(None).cast("long")).alias(keep_tie)]
+    return snapshots.groupBy(STATION, TIME).agg(_of_highest(COUNT, ties).alias(COUNT), *kept)
+
+
+def _rank(ties: Sequence[str]) -> Column:
+    return F.col(ties[0]) if len(ties) == 1 else F.when(_any_known(ties), F.struct(*ties))
 
 
 def _of_highest(count: str, ties: Sequence[str]) -> Column:
@@ -47,8 +53,7 @@ def _of_highest(count: str, ties: Sequence[str]) -> Column:
     """
     if not ties:
         return F.max(count)
-    rank = F.col(ties[0]) if len(ties) == 1 else F.when(_any_known(ties), F.struct(*ties))
-    return F.coalesce(F.max_by(count, rank), F.max(count))
+    return F.coalesce(F.max_by(count, _rank(ties)), F.max(count))
 
 
 def _any_known(columns: Sequence[str]) -> Column:

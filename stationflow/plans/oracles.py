@@ -123,6 +123,9 @@ ORACLES: dict[str, str] = {
     "partitioned_hourly": f"with {_D}, {_HOURLY} select *, {_BUCKET} from h",
     "partitioned_total": f"with {_D}, {_SLIDING} select *, {_BUCKET} from ht",
     "stream_hourly_station": f"with {_D_S}, {_HOURLY} select * from h",
+    "stream_repaired": f"with {_D_S}, {_HOURLY} select * from h",
+    "stream_keyed": f"with {_D_S}, {_HOURLY} select * from h",
+    "stream_handover": f"with {_D_S}, {_HOURLY} select * from h",
     "stream_hourly_total": f"with {_D_S}, {_SLIDING} {_TOTALS}",
     "stream_latest": f"""with {_SN_S} select event_id as "offset", "stationId", bikes as "parkingBikeTotCnt", event_time
       from sn qualify row_number() over (partition by "stationId" order by event_time desc, event_id desc) = 1""",

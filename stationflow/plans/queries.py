@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.functions import parse_snapshots, split_malformed
 from stationflow.operators import (
@@ -33,12 +34,16 @@ from stationflow.schema import COUNT, STATION, TIME, state_schema
 from stationflow.sinks import BUCKET, HOURLY_SUMMARY, TOTAL_HOURLY_STATS, write_bucketed
 from stationflow.sources import read_envelopes
 from stationflow.streaming import (
+    ROCKSDB,
     JobTables,
     VersionedTable,
+    seed_hourly_job,
     start_hourly_job,
+    start_keyed_hourly_job,
     start_latest_job,
     start_sliding_total_job,
 )
+from stationflow.streaming.jobs import latest_table
 
 #: Snapshots before this instant stand for what earlier batches left behind.
 CUT = "2024-01-16 00:00:00"
@@ -48,7 +53,7 @@ AS_OF = "2024-01-15 10:30:00"
 
 ONCE = {"availableNow": True}
 
-#: Where the feed of the streaming queries is cut into files, one a micro-batch.
+#: Where the feed of the streaming queries is cut into parts, one a micro-batch.
 PARTS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-23 00:00:00"]
 LATE_BEFORE = "2024-01-03 00:00:00"
 
@@ -74,32 +79,49 @@ def _flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta_lag(snapshots(spark, sf_dir), TIES)
 
 
-def _in_parts(rows: DataFrame, time: str, folder: str, last: DataFrame | None = None) -> None:
-    """Write rows as files that follow each other in time, as a log's archive would; `last` comes with the last."""
+def _parts(rows: DataFrame, time: str) -> list[DataFrame]:
+    """Rows cut at the instants of PARTS; those without a time come first."""
     edges = [None, *PARTS, None]
+    out = []
     for low, high in zip(edges, edges[1:]):
-        part = rows if low is None else rows.filter(F.col(time) >= F.lit(low).cast("timestamp_ntz"))
-        part = part if high is None else part.filter(F.col(time) < F.lit(high).cast("timestamp_ntz"))
-        if high is None and last is not None:
-            part = part.unionByName(last)
-        part.coalesce(1).write.mode("append").parquet(folder)
+        after = F.col(time).isNull() if low is None else F.lit(False)
+        inside = F.lit(True) if low is None else F.col(time) >= _instant(low)
+        out.append(rows.filter(after | (inside if high is None else inside & (F.col(time) < _instant(high)))))
+    return out
 
 
-def _feed(spark: SparkSession, sf_dir: str, root: str, late: bool = False) -> DataFrame:
-    """The events as a stream of snapshots: JSON envelopes read one file a micro-batch, and parsed.
+def _deliver(parts: list[DataFrame], folder: str, start: Callable[[], StreamingQuery]) -> None:
+    """Add the parts to the feed one after the other, each as the files that Spark makes of it, and let the job handle each: a
+    micro-batch a part, and a restart between them."""
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        start().awaitTermination()
 
-    With `late`, the last file also has the first days of every tenth station once more.
-    """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    again = events.filter((F.col("user_id") % 10 == 0) & (F.col("ts") < _instant(LATE_BEFORE)))
 
-    def enveloped(rows: DataFrame) -> DataFrame:
-        at = [F.lit("events").alias("topic"), F.lit(0).alias("partition")]
-        return as_envelopes(rows.drop("value")).join(rows.select(F.col("event_id").alias("offset"), "ts"), "offset").select("value", *at, "offset", "ts")
+def _late(rows: DataFrame) -> Column:
+    """The first days of every tenth station."""
+    return F.coalesce((F.col("user_id") % 10 == 0) & (F.col("ts") < _instant(LATE_BEFORE)), F.lit(False))
 
-    _in_parts(enveloped(events), "ts", f"{root}/feed", enveloped(again) if late else None)
-    stream = read_envelopes(spark, "parquet", f"{root}/feed", position=True, options={"maxFilesPerTrigger": "1"})
-    return parse_snapshots(stream).select("offset", STATION, COUNT, F.col(TIME).cast("timestamp_ntz").alias(TIME))
+
+def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a log's archive would have them, with their own time and station besides."""
+    rows = as_envelopes(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts", "user_id")
+    return rows.select("value", F.lit("events").alias("topic"), F.lit(0).alias("partition"), "offset", "ts", "user_id")
+
+
+def _feed(spark: SparkSession, sf_dir: str, again: bool = False, late: bool = False) -> list[DataFrame]:
+    """The parts of the feed. With `again`, the last one also has the first days of every tenth station once more; with
+    `late`, it has them instead of the first."""
+    rows = _envelopes(spark, sf_dir)
+    parts = _parts(rows.filter(~_late(rows)) if late else rows, "ts")
+    if again or late:
+        parts[-1] = parts[-1].unionByName(rows.filter(_late(rows)))
+    return parts
+
+
+def _snapshots_of(spark: SparkSession, folder: str, streaming: bool = True) -> DataFrame:
+    parsed = parse_snapshots(read_envelopes(spark, "parquet", folder, streaming, position=True))
+    return parsed.select("offset", STATION, COUNT, F.col(TIME).cast("timestamp_ntz").alias(TIME))
 
 
 def _mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,21 +272,27 @@ def q_partitioned_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_bucketed(spark, root, totals.schema)
 
 
-def _run_hourly_job(spark: SparkSession, sf_dir: str, late: bool = False) -> JobTables:
+def _run_hourly_job(spark: SparkSession, sf_dir: str, again: bool = False, late: bool = False, **options) -> JobTables:
     root = scratch_folder(spark, "hourly-job")
     tables = JobTables(spark, f"{root}/job")
-    stream = _feed(spark, sf_dir, root, late)
-    start_hourly_job(stream, tables.root.path, ["offset"], trigger=ONCE).awaitTermination()
+
+    def start() -> StreamingQuery:
+        return start_hourly_job(_snapshots_of(spark, f"{root}/feed"), tables.root.path, ["offset"], trigger=ONCE, **options)
+
+    _deliver(_feed(spark, sf_dir, again, late), f"{root}/feed", start)
     return tables
 
 
-def q_stream_hourly_station(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark = writing_session(spark)
-    tables = _run_hourly_job(spark, sf_dir)
+def _published_hours(spark: SparkSession, sf_dir: str, tables: JobTables) -> DataFrame:
     schema = hourly_tumbling(_flows(spark, sf_dir)).schema
     return _read_bucketed(spark, tables.path(HOURLY_SUMMARY), schema).drop(*BUCKET)
 
 
+def q_stream_hourly_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = writing_session(spark)
+    return _published_hours(spark, sf_dir, _run_hourly_job(spark, sf_dir))
+
+
 def q_stream_hourly_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = writing_session(spark)
     tables = _run_hourly_job(spark, sf_dir)
@@ -272,10 +300,42 @@ def q_stream_hourly_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_bucketed(spark, tables.path(TOTAL_HOURLY_STATS), schema).drop(*BUCKET)
 
 
+def q_stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly totals of a feed whose last part brings the first days of some stations, which are put where they belong."""
+    spark = writing_session(spark)
+    return _published_hours(spark, sf_dir, _run_hourly_job(spark, sf_dir, late=True, repair=True, state_buckets=16, fold_after=2))
+
+
+def q_stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly totals with the state of each station in Spark's own store."""
+    spark = writing_session(spark)
+    for name, value in ROCKSDB.items():
+        spark.conf.set(name, value)
+    root = scratch_folder(spark, "keyed-job")
+    tables = JobTables(spark, f"{root}/job")
+    start = lambda: start_keyed_hourly_job(_snapshots_of(spark, f"{root}/feed"), tables.root.path, ["offset"], ONCE)
+    _deliver(_feed(spark, sf_dir), f"{root}/feed", start)
+    return _published_hours(spark, sf_dir, tables)
+
+
+def q_stream_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly totals of a back-fill of the first half of the feed and a stream of the rest."""
+    spark = writing_session(spark)
+    root = scratch_folder(spark, "handover")
+    tables = JobTables(spark, f"{root}/job")
+    parts = _feed(spark, sf_dir)
+    for part in parts[:2]:
+        part.write.mode("append").parquet(f"{root}/archive")
+    seed_hourly_job(_snapshots_of(spark, f"{root}/archive", streaming=False), tables.root.path, ["offset"])
+    start = lambda: start_hourly_job(_snapshots_of(spark, f"{root}/feed"), tables.root.path, ["offset"], trigger=ONCE)
+    _deliver(parts[2:], f"{root}/feed", start)
+    return _published_hours(spark, sf_dir, tables)
+
+
 def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the hourly job sets aside of a feed whose last part repeats the first days of some stations."""
     spark = writing_session(spark)
-    tables = _run_hourly_job(spark, sf_dir, late=True)
+    tables = _run_hourly_job(spark, sf_dir, again=True)
     schema = f"{STATION} string, {TIME} timestamp_ntz, {COUNT} int, outcome string, epoch long"
     arrivals = spark.read.schema(schema).parquet(tables.path("arrivals"))
     return arrivals.filter("outcome = 'late'").select("epoch", STATION, TIME, COUNT)
@@ -284,9 +344,10 @@ def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = writing_session(spark)
     root = scratch_folder(spark, "latest-job")
-    stream = _feed(spark, sf_dir, root, late=True)
-    start_latest_job(stream, f"{root}/job", order=[TIME, "offset"], trigger=ONCE).awaitTermination()
-    return VersionedTable(spark, f"{root}/job/latest", stream.schema).load()
+    stream = lambda: _snapshots_of(spark, f"{root}/feed")
+    start = lambda: start_latest_job(stream(), f"{root}/job", order=[TIME, "offset"], trigger=ONCE, buckets=8)
+    _deliver(_feed(spark, sf_dir, again=True), f"{root}/feed", start)
+    return latest_table(JobTables(spark, f"{root}/job"), stream().schema, buckets=8).load()
 
 
 def q_stream_sliding_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,11 +356,14 @@ def q_stream_sliding_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = writing_session(spark)
     root = scratch_folder(spark, "sliding-job")
     flows = _flows(spark, sf_dir).select(TIME, "rental", "return")
-    _in_parts(flows, TIME, f"{root}/flows")
-    stream = spark.readStream.schema(flows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/flows")
-    zoned = stream.select(F.col(TIME).cast("timestamp").alias(TIME), "rental", "return")
-    start_sliding_total_job(zoned, f"{root}/job", trigger=ONCE).awaitTermination()
-    totals = _read_bucketed(spark, f"{root}/job/{TOTAL_HOURLY_STATS}", sliding_total(zoned).schema)
+    zoned = [F.col(TIME).cast("timestamp").alias(TIME), "rental", "return"]
+
+    def start() -> StreamingQuery:
+        stream = spark.readStream.schema(flows.schema).parquet(f"{root}/flows")
+        return start_sliding_total_job(stream.select(*zoned), f"{root}/job", trigger=ONCE)
+
+    _deliver(_parts(flows, TIME), f"{root}/flows", start)
+    totals = _read_bucketed(spark, f"{root}/job/{TOTAL_HOURLY_STATS}", sliding_total(flows.select(*zoned)).schema)
     zoneless = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start", "end")]
     return totals.select(*zoneless, "total_hourly_rental", "total_hourly_return")
 

@@ -59,8 +59,8 @@ def broken_envelopes(events: DataFrame) -> DataFrame:
     return rows.withColumn("value", F.when(F.col("offset") % 7 == 0, no_time).otherwise(F.col("value")))
 
 
-def as_envelopes(events: DataFrame) -> DataFrame:
-    """Events as the JSON text a station feed would send, with a log offset."""
+def as_envelopes(events: DataFrame, *keep: str) -> DataFrame:
+    """Events as the JSON text a station feed would send, with a log offset and the columns to keep."""
     bikes = F.from_json("props", PROPS).getField("k")
     document = F.to_json(
         F.struct(
@@ -74,4 +74,4 @@ def as_envelopes(events: DataFrame) -> DataFrame:
             F.date_format("ts", TIMESTAMP_FORMAT).alias("timestamp"),
         )
     )
-    return events.select(F.col("event_id").alias("offset"), document.alias("value"))
+    return events.select(F.col("event_id").alias("offset"), document.alias("value"), *keep)

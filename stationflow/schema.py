@@ -8,6 +8,8 @@ STATION = "stationId"
 COUNT = "parkingBikeTotCnt"
 TIME = "event_time"
 PREVIOUS = "previous_parkingBikeTotCnt"
+#: When the log took an envelope in.
+APPENDED = "append_time"
 
 # The feed's field names and types, and its timestamp text format.
 SNAPSHOT = T.StructType(

@@ -1,3 +1,3 @@
-from stationflow.sources.envelopes import read_envelopes
+from stationflow.sources.envelopes import next_offsets, once_per_position, read_envelopes
 
-__all__ = ["read_envelopes"]
+__all__ = ["next_offsets", "once_per_position", "read_envelopes"]
