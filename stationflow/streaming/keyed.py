@@ -25,7 +25,8 @@ if TYPE_CHECKING:
 
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
-_AT = "_at"
+#: Names that begin with an underscore don't reach the processor.
+_AT = "at_micros"
 
 
 def _micros(rows: DataFrame) -> Column:
@@ -102,8 +103,11 @@ def start_keyed_hourly_job(snapshots: DataFrame, root: str, ties: Sequence[str]
     """Keep ``hourly_summary`` and ``total_hourly_stats`` under ``root`` up to date, with no state table of its own.
 
     Late rows are in ``flows`` with ``late`` set, and don't count. An epoch that is handled again writes what it wrote before.
-    The state is in the query's checkpoint: a checkpoint that is lost begins anew, and so must the tables.
+    The state is in the query's checkpoint: a checkpoint that is lost begins anew, and so must the tables. ``expiry_ms`` needs a
+    trigger that goes on: with timers of processing time Spark always sees one more batch to run, so ``availableNow`` would never end.
     """
+    if expiry_ms is not None and trigger and "availableNow" in trigger:
+        raise ValueError("a state that expires by processing time needs a trigger that goes on")
     tables = JobTables(snapshots.sparkSession, root)
 
     def handle(batch: DataFrame, epoch: int) -> None:

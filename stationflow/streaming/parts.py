@@ -50,10 +50,10 @@ class DayParts:
         return sorted(date.fromisoformat(n.split("=")[1]) for n in names if n.startswith("event_date=") and not n.endswith("__"))
 
     def _epochs(self, day: date, epoch: int) -> tuple[int, list[int]]:
-        """(newest folded version below ``epoch``, or UNFOLDED; epochs of the parts after it, up to ``epoch``)"""
+        """(newest folded version up to ``epoch``, or UNFOLDED; epochs of the parts after it, up to ``epoch``)"""
         name = f"event_date={day}"
         versions = [int(n.split("=")[1]) for n in self.folded.names(name) if n.startswith("upto=")]
-        done = max((v for v in versions if v < epoch and self.folded.exists(name, f"upto={v}", "_SUCCESS")), default=UNFOLDED)
+        done = max((v for v in versions if v <= epoch and self.folded.exists(name, f"upto={v}", "_SUCCESS")), default=UNFOLDED)
         parts = [int(n.split("=")[1]) for n in self.parts.names(name) if n.startswith("epoch=")]
         return done, sorted(e for e in parts if done < e <= epoch)
 

@@ -1,0 +1,155 @@
+"""Times ahead of the log, envelopes delivered twice, state in Spark's store, and going on from a back-fill."""
+
+from __future__ import annotations
+
+import json
+
+import pandas as pd
+import pytest
+from frames import at, rows, snapshots
+
+from pyspark.sql import functions as F
+
+from stationflow.functions import parse_snapshots, set_aside_ahead
+from stationflow.operators import hourly_tumbling, sliding_total, station_flows
+from stationflow.sources import next_offsets, once_per_position, read_envelopes
+from stationflow.streaming import ROCKSDB, seed_hourly_job, start_hourly_job, start_keyed_hourly_job
+from stationflow.streaming.jobs import handle_hourly_batch
+from stationflow.streaming.keyed import StationSteps
+
+ONCE = {"availableNow": True}
+HOURLY = ("start", "end", "stationId", "total_rental", "total_return")
+TOTALS = ("start", "end", "total_hourly_rental", "total_hourly_return")
+FEED = [[("A", "10:00", 5), ("B", "10:05", 2), ("A", "10:20", 1)], [("A", "10:40", 7), ("C", "10:50", 3)], [("A", "11:10", 2), ("A", "10:30", 9)]]
+
+
+def logged(spark, data, first=0):
+    """Snapshots with the time at which the log took them: a minute after their own, or noon."""
+    frame = snapshots(spark, *data)
+    noon = F.lit("2024-07-01 12:00:00").cast("timestamp_ntz")
+    return frame.withColumn("append_time", F.when(F.col("event_time") < noon, F.col("event_time") + F.expr("INTERVAL 1 MINUTE")).otherwise(noon))
+
+
+def test_a_row_of_the_future_is_malformed_and_poisons_nothing(spark, root):
+    batches = [[("A", "10:00", 5), ("A", "2099-01-01 00:00", 50), ("A", "12:05", 6)], [("A", "12:30", 1), ("B", "10:30", None)]]
+    for epoch, batch in enumerate(batches):
+        handle_hourly_batch(logged(spark, batch), epoch, root, ["offset"], ahead="1 hour")
+    malformed = spark.read.parquet(f"{root}/malformed")
+    assert rows(malformed, "reason", "claimed_time", "epoch") == [("time ahead of the log", at("2099-01-01 00:00"), 0), (None, None, 1)]
+    want = hourly_tumbling(station_flows(snapshots(spark, ("A", "10:00", 5), ("A", "12:05", 6), ("A", "12:30", 1))))
+    assert rows(spark.read.parquet(f"{root}/hourly_summary"), *HOURLY) == rows(want, *HOURLY)
+
+
+def test_without_a_log_time_a_row_is_taken_at_its_word(spark):
+    frame = logged(spark, [("A", "2099-01-01 00:00", 5)]).withColumns({"append_time": F.lit(None).cast("timestamp_ntz"), "reason": F.lit("x")})
+    assert rows(set_aside_ahead(frame), "event_time", "claimed_time", "reason") == [(at("2099-01-01 00:00"), None, "x")]
+
+
+def write_log(spark, folder, data, first):
+    """One file of envelopes, as an archive of a log has them."""
+    out = []
+    for i, (station, time, count) in enumerate(data):
+        doc = json.dumps({"stationId": station, "parkingBikeTotCnt": count, "timestamp": at(time).strftime("%Y-%m-%d %H:%M:%S")})
+        out.append((doc, "bikes", (first + i) % 2, first + i, at(time)))
+    frame = spark.createDataFrame(out, "value string, topic string, partition int, offset long, append_time timestamp_ntz")
+    frame.withColumn("append_time", F.col("append_time").cast("timestamp")).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_what_a_log_delivers_again_counts_once(spark, root):
+    for job in ("plain", "again"):
+        def start(job=job):
+            envelopes = read_envelopes(spark, "parquet", f"{root}/{job}", position=True, appended=True)
+            stream = parse_snapshots(once_per_position(envelopes) if job == "again" else envelopes)
+            start_hourly_job(stream, f"{root}/job-{job}", ["partition", "offset"], trigger=ONCE).awaitTermination()
+
+        write_log(spark, f"{root}/{job}", FEED[0], 0)
+        start()
+        write_log(spark, f"{root}/{job}", FEED[1], 3)
+        if job == "again":
+            write_log(spark, f"{root}/{job}", FEED[0], 0)
+            write_log(spark, f"{root}/{job}", FEED[1], 3)
+        start()
+    tables = lambda job: (rows(spark.read.parquet(f"{root}/job-{job}/arrivals").drop("epoch"), "*"), spark.read.parquet(f"{root}/job-{job}/metrics").agg(F.sum("total"), F.sum("parsed")).first())
+    assert tables("again") == tables("plain")
+    assert tables("plain")[1][0] == 5
+
+
+def test_state_in_sparks_own_store(spark, root):
+    session = spark.newSession()
+    for name, value in ROCKSDB.items():
+        session.conf.set(name, value)
+    parts = [[("A", "10:00", 5), ("B", "10:05", 2), ("A", "10:20", 1), ("A", "10:20", 4), (None, "10:21", 1), ("D", "10:00", 1)],
+             [("A", "10:40", 7), ("A", "10:30", 3)], [("C", "11:10", 2), ("A", "10:10", 9), ("B", "11:00", 8)]]
+    touched = []
+    for i, part in enumerate(parts):
+        frame = snapshots(session, *part)
+        frame.withColumn("offset", F.col("offset") + 10 * i).write.mode("append").parquet(f"{root}/feed")
+        stream = session.readStream.schema(frame.schema).parquet(f"{root}/feed")
+        query = start_keyed_hourly_job(stream, f"{root}/job", ["offset"], ONCE)
+        query.awaitTermination()
+        touched.append([p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]])
+    flows = station_flows(snapshots(spark, *parts[0], *parts[1], *parts[2][::2]), ["offset"])
+    assert rows(session.read.parquet(f"{root}/job/hourly_summary"), *HOURLY) == rows(hourly_tumbling(flows), *HOURLY)
+    assert rows(session.read.parquet(f"{root}/job/total_hourly_stats"), *TOTALS) == rows(sliding_total(flows), *TOTALS)
+    assert rows(session.read.parquet(f"{root}/job/flows").filter("late"), "event_time", "prev_count") == [(at("10:10"), None)]
+    # The state that a batch writes is that of its stations, whatever others there are.
+    assert touched == [[3], [1], [2]]
+    with pytest.raises(ValueError, match="trigger"):
+        start_keyed_hourly_job(stream, f"{root}/job", ["offset"], ONCE, expiry_ms=1000)
+
+
+class Handle:
+    """Stands in for Spark's handle of one key."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+    update = lambda self, value: setattr(self, "value", value)
+    clear = lambda self: setattr(self, "value", None)
+    listTimers = lambda self: list(self.timers)
+    deleteTimer = lambda self, at: self.timers.remove(at)
+    registerTimer = lambda self, at: self.timers.append(at)
+
+
+class Clock:
+    now = 1000
+    getCurrentProcessingTimeInMs = lambda self: self.now
+
+
+def test_a_station_that_falls_silent_is_forgotten():
+    handle, clock = Handle(), Clock()
+    steps = StationSteps([], 500)
+    steps.init(handle)
+    rows_of = lambda *data: iter([pd.DataFrame(data, columns=["stationId", "at_micros", "parkingBikeTotCnt"])])
+    (out,) = steps.handleInputRows(("A",), rows_of(("A", 5, 3), ("A", 2, 9)), clock)
+    assert out.prev_count.tolist()[1] == 9 and handle.value == (5, 3) and handle.timers == [1500]
+    clock.now = 1200
+    (out,) = steps.handleInputRows(("A",), rows_of(("A", 4, 3), ("A", 7, 1)), clock)
+    assert out.late.tolist() == [True, False] and out.prev_count.tolist()[1] == 3 and handle.timers == [1700]
+    assert list(steps.handleExpiredTimer(("A",), clock, None)) == [] and handle.value is None
+    (out,) = steps.handleInputRows(("A",), rows_of(("A", 4, 3)), clock)
+    assert out.late.tolist() == [False] and out.prev_count.isna().all()
+
+
+def test_a_stream_goes_on_from_a_back_fill(spark, root):
+    archive = snapshots(spark, *FEED[0], *FEED[1], (None, "10:00", 1))
+    seed_hourly_job(archive, root, ["offset"], repair=True, state_buckets=2)
+    with pytest.raises(ValueError, match="seeded"):
+        seed_hourly_job(archive, root, ["offset"])
+    rest = snapshots(spark, *FEED[2]).withColumn("offset", F.col("offset") + 100)
+    for _ in range(2):
+        handle_hourly_batch(rest, 0, root, ["offset"], repair=True, state_buckets=2, fold_after=0)
+    flows = station_flows(snapshots(spark, *[r for part in FEED for r in part]), ["offset"])
+    assert rows(spark.read.parquet(f"{root}/hourly_summary"), *HOURLY) == rows(hourly_tumbling(flows), *HOURLY)
+    assert rows(spark.read.parquet(f"{root}/total_hourly_stats"), *TOTALS) == rows(sliding_total(flows), *TOTALS)
+    assert spark.read.parquet(f"{root}/malformed/epoch=-1").count() == 1
+
+
+def test_where_the_log_goes_on(spark):
+    log = spark.createDataFrame([("a", 0, 4), ("a", 0, 9), ("a", 1, 2), ("b", 0, 7), (None, 0, 99)], "topic string, partition int, offset long")
+    assert json.loads(next_offsets(log)) == {"a": {"0": 10, "1": 3}, "b": {"0": 8}}
