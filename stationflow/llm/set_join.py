@@ -11,7 +11,8 @@ pairs that share fewer are dropped before any sets are compared.
 
 Skipping answers: a set is compared with one of its candidates; what it shares with the others follows, within
 bounds, from what that one shares with them, which is computed once for all sets that are like it. Only where
-bounds leave it open are two sets compared. Pairs of sets that are connected already are skipped.
+bounds leave it open are two sets compared. Each set is compared with the least of its candidates first; pairs of sets that are connected
+already are skipped.
 
 A list with more than `most` entries is not read. A set finds all its links if few enough of its lists are that
 long. If not, the set is looked up by segments as well: shingles are dealt into more segments than linked sets can
@@ -37,6 +38,8 @@ from .tokens import Words, mixed, pieces, window_hashes
 MOST = 256
 #: So many keys of sets to compare, eight bytes each, are broadcast.
 FEW_KEYS = 500_000
+#: So often each set is compared with the least of its unconnected candidates, before it is with all.
+STAR_ROUNDS = 2
 _ONCE, _SOME, _MANY = 0, 1, 2
 _BITS = 256
 
@@ -199,8 +202,8 @@ def _pairs(a: np.ndarray, b: np.ndarray, shared: np.ndarray, need: np.ndarray) -
 
 
 def _pair_pages(page: int, pairs: np.ndarray, n: int) -> pa.Table:
-    """Pairs in pages by what both keys hash to: a pair that several pages have found is added up in one."""
-    names = mixed(pairs["a"].view(np.uint64) + mixed(pairs["b"].view(np.uint64)))
+    """Pairs in pages by what the greater key hashes to: all that a key has with lesser ones are added up in one."""
+    names = mixed(pairs["b"].view(np.uint64))
     order = paged(names, n)
     table = write_pages(page, names[order], np.ascontiguousarray(pairs[order]), n)
     none = pa.nulls(table.num_rows, pa.int64())
@@ -209,13 +212,95 @@ def _pair_pages(page: int, pairs: np.ndarray, n: int) -> pa.Table:
 
 
 def _add_pairs(table: pa.Table) -> pa.Table:
-    """Pairs that are in as many lists together as linked sets must be."""
+    """Pairs that are in as many lists together as linked sets must be: a star (see `_star`) and the others."""
     pairs = np.concatenate([np.frombuffer(x, dtype=PAIR) for x in table.column("values").to_pylist()])
-    pairs = pairs[np.lexsort((pairs["b"], pairs["a"]))]
+    pairs = pairs[np.lexsort((pairs["a"], pairs["b"]))]
     begin = np.flatnonzero(np.concatenate(([True], (pairs["a"][1:] != pairs["a"][:-1]) | (pairs["b"][1:] != pairs["b"][:-1]))))
     shared, need = np.add.reduceat(pairs["shared"], begin), np.minimum.reduceat(pairs["need"], begin)
     enough = begin[shared >= need]
-    return pa.table({"a": pairs["a"][enough], "b": pairs["b"][enough]})
+    return _star(table.column("page")[0].as_py(), pairs["a"][enough], pairs["b"][enough])
+
+
+#: Of the pairs of a page: one for each greater key, and all others together.
+STAR = "a long, b long, page long, others binary"
+
+
+def _star(page: int, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    """Pairs in the order of b, then a. Each b with its least a, a row each; the others as they are, in one row."""
+    least = np.ones(len(b), dtype=bool)
+    least[1:] = b[1:] != b[:-1]
+    others = np.stack([a[~least], b[~least]], axis=1).astype("<i8").tobytes()
+    n = int(least.sum())
+    return pa.table({
+        "a": pa.array([*a[least].tolist(), None], pa.int64()),
+        "b": pa.array([*b[least].tolist(), None], pa.int64()),
+        "page": pa.array([page] * (n + 1), pa.int64()),
+        "others": pa.array([*[None] * n, others], pa.binary()),
+    })
+
+
+def spread_others(stars: DataFrame) -> DataFrame:
+    """The other pairs as rows (a, b)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column("others").to_pylist():
+                pairs = np.frombuffer(body, "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return stars.filter("others IS NOT NULL").select("others").mapInArrow(rows, "a long, b long")
+
+
+def _labelled(labels: pa.Table, keys: np.ndarray) -> np.ndarray:
+    """The component of each key: itself where it has no label."""
+    key, component = (labels.column(c).to_numpy() for c in ("key", "component"))
+    if not len(key):
+        return keys.copy()
+    order = np.argsort(key)
+    at = np.minimum(np.searchsorted(key[order], keys), len(key) - 1)
+    return np.where(key[order][at] == keys, component[order][at], keys)
+
+
+def _pages_of(keys: np.ndarray, n: int) -> np.ndarray:
+    return (mixed(keys.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int64)
+
+
+def unconnected(stars: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """Of the other pairs, those whose ends are in different components, as STAR again. Components (node, component) go to
+    the pages of their nodes: there pairs learn that of their greater key first, then that of the lesser one."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            page = _pages_of(batch.column("node").to_numpy(), n)
+            yield pa.RecordBatch.from_arrays([pa.array(page), batch.column("node"), batch.column("component")], names=["page", "key", "component"])
+
+    def in_pages(rows: np.ndarray, keys: np.ndarray) -> pa.Table:
+        page = _pages_of(keys, n)
+        order = np.argsort(page, kind="stable")
+        edges = np.flatnonzero(np.diff(page[order], prepend=-1))
+        parts = np.split(rows[order], edges[1:]) if len(order) else []
+        return pa.table({"page": pa.array(page[order][edges], pa.int64()), "others": pa.array([x.astype("<i8").tobytes() for x in parts], pa.binary())})
+
+    def learn_greater(pairs: pa.Table, labels: pa.Table) -> pa.Table:
+        rows = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(x, "<i8") for x in pairs.column("others").to_pylist()]]).reshape(-1, 2)
+        rows = np.concatenate([rows, _labelled(labels, rows[:, 1])[:, None]], axis=1)
+        return in_pages(rows, rows[:, 0])
+
+    def learn_lesser(pairs: pa.Table, labels: pa.Table) -> pa.Table:
+        rows = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(x, "<i8") for x in pairs.column("others").to_pylist()]]).reshape(-1, 3)
+        rows = rows[_labelled(labels, rows[:, 0]) != rows[:, 2]][:, :2]
+        return in_pages(rows, rows[:, 1])
+
+    def star(pairs: pa.Table) -> pa.Table:
+        rows = np.concatenate([np.frombuffer(x, "<i8") for x in pairs.column("others").to_pylist()]).reshape(-1, 2)
+        rows = rows[np.lexsort((rows[:, 0], rows[:, 1]))]
+        return _star(pairs.column("page")[0].as_py(), rows[:, 0], rows[:, 1])
+
+    labels = found.select("node", "component").mapInArrow(place, "page long, key long, component long").groupBy("page")
+    moved = "page long, others binary"
+    known = stars.filter("others IS NOT NULL").select("page", "others").groupBy("page").cogroup(labels).applyInArrow(learn_greater, moved)
+    apart = known.groupBy("page").cogroup(labels).applyInArrow(learn_lesser, moved)
+    return apart.groupBy("page").applyInArrow(star, STAR)
 
 
 def _read_lists(percent: int, most: int, n: int):
@@ -358,7 +443,7 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     codes = answered(asked, 0, np.uint32, _how_often(most))
     entered = by_chunk.cogroup(codes.unionByName(chosen).groupBy("chunk")).applyInArrow(enter, "chunk long, page long, values binary")
     read = saved(entered.groupBy("page").applyInArrow(_read_lists(percent, most, n), READ))
-    pairs = saved(read.filter("kind = 0").select("page", "values").groupBy("page").applyInArrow(_add_pairs, "a long, b long"))
+    stars = saved(read.filter("kind = 0").select("page", "values").groupBy("page").applyInArrow(_add_pairs, STAR))
 
     def send(table: pa.Table, requests: pa.Table) -> pa.Table:
         """Sets that other chunks ask for: level 1, page the key, answer the chunk to send it to."""
@@ -406,10 +491,20 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
         wanted = placed.select(F.col("b_chunk").alias("chunk"), F.col("b").alias("page"), F.lit(3).alias("level"), _bytes("a").alias("answer"))
         return saved(by_chunk.cogroup(sent.unionByName(wanted).groupBy("chunk")).applyInArrow(compare, "a long, b long"))
 
-    links = linked(pairs)
-    found = components(links)
+    # Each set is compared with the least of its candidates, then only with those that this leaves unconnected: a group of
+    # copies of each other costs a pair each. After some rounds all that is left is compared.
+    links, found = None, None
+    for _ in range(STAR_ROUNDS):
+        some = linked(stars.filter("a IS NOT NULL").select("a", "b"))
+        links = some if links is None else links.unionByName(some)
+        found = components(links)
+        stars = saved(unconnected(stars, found, n))
+    left = saved(stars.filter("a IS NOT NULL").select("a", "b").unionByName(spread_others(stars)))
+    if not left.isEmpty():
+        links = links.unionByName(linked(left))
+        found = components(links)
     # Of lists too long to be read, what their least sets have left unconnected.
-    rest = saved(_unconnected_of_lists(read.filter("kind = 1"), found, percent).join(pairs, ["a", "b"], "left_anti").distinct())
+    rest = saved(_unconnected_of_lists(read.filter("kind = 1"), found, percent).join(left, ["a", "b"], "left_anti").distinct())
     if not rest.isEmpty():
         found = components(links.unionByName(linked(rest)))
     out = named.join(classes.select("n", "one", "two", "lead"), ["n", "one", "two"], "left")
