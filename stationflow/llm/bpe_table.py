@@ -23,11 +23,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .interpolation import DEALT, MOST_PARTITIONS, packed, unpacked
+
 # How byte-level BPE splits a text, and how it writes bytes as characters.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 6 << 20
 _GATHER = 1 << 20
 _BLOCK = 2048
 
@@ -143,20 +145,29 @@ _IDS = "chunk long, page long, ids binary, counts binary"
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Ids of every text: (key, ids binary), ids little-endian unsigned 32-bit, one row per row of docs.
 
-    A null or empty text has no ids. Rows that repeat are encoded each. path: a byte-level BPE file
+    A null or empty text has no ids. Rows that repeat are encoded each; docs should be a table that reads alike again. path: a byte-level BPE file
     that driver and executors can read. One number (the bytes of text) goes to the driver.
     """
     from pyspark.sql.types import BinaryType, StructField, StructType
 
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(0).alias("role"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // chunk_bytes))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(n))).repartition(n, "chunk")
+    # Equal rows are dealt out as well: the row's own number is part of the hash.
+    chunk = F.pmod(F.xxhash64("key", "text", F.monotonically_increasing_id()), F.lit(n))
+    runs = rows.withColumn("chunk", chunk).mapInArrow(packed, DEALT.format(docs.schema[key].dataType.simpleString()))
+    dealt = runs.repartition(min(n, MOST_PARTITIONS), "chunk")
+
+    def texts(table: pa.Table) -> Iterator[str]:
+        for _, run in unpacked(table):
+            raw, offsets = run.data.tobytes(), run.offsets.tolist()
+            for a, b in zip(offsets, offsets[1:]):
+                yield raw[a:b].decode()
 
     def list_words(table: pa.Table) -> pa.Table:
         split, found = vocabulary(path).split, set()
-        for value in table.column("text"):
-            found.update(split(value.as_py()))
+        for value in texts(table):
+            found.update(split(value))
         pages = _pages(list(found), n)
         del found
         packed = [_pack(listed) for _, listed in pages]
@@ -183,7 +194,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def join_back(left: pa.Table, right: pa.Table) -> pa.Table:
         places, split = _Places(), vocabulary(path).split
-        at = [np.fromiter(map(places.__getitem__, split(value.as_py())), dtype=np.int32) for value in left.column("text")]
+        at = [np.fromiter(map(places.__getitem__, split(value)), dtype=np.int32) for value in texts(left)]
         right = right.sort_by("page")
         ids, counts = (np.concatenate([np.zeros(0, np.uint32), *map(_unpack_numbers, right.column(c).to_pylist())]) for c in ("ids", "counts"))
         counts = counts.astype(np.int64)
@@ -192,7 +203,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         count[order] = counts
         begin[order] = np.concatenate(([0], np.cumsum(counts)[:-1])) if len(counts) else counts
         out = [ids[spread(begin[a], count[a])].tobytes() for a in at]
-        return pa.table({key: left.column("key"), "ids": pa.array(out, pa.binary())})
+        keys = pa.concat_arrays([run.values for run in left.column("keys")]) if left.num_rows else pa.array([], left.schema.field("keys").type.value_type)
+        return pa.table({key: keys, "ids": pa.array(out, pa.binary())})
 
     # Both uses of `dealt` take all its columns, so that Spark sees one shuffle and reuses it.
     pages = dealt.groupBy("chunk").applyInArrow(list_words, _PAGES)

@@ -52,7 +52,7 @@ BLOCK_TOKENS = 1 << 16
 #: Of compression: quick, for what is read again soon.
 LEVEL = 3
 
-_DEALT = "chunk long, keys array<{}>, roles binary, sizes binary, body binary"
+DEALT = "chunk long, keys array<{}>, roles binary, sizes binary, body binary"
 _LISTED = "chunk long, page long, level int, keys binary, t binary, e binary"
 _TOTALS = "chunk long, page long, level int, alone binary, t binary, e binary"
 
@@ -248,7 +248,7 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
     # Equal rows are dealt out as well: the row's own number is part of the hash.
     chunk = F.pmod(F.xxhash64("key", "text", F.monotonically_increasing_id()), F.lit(n))
     key_type = rows.schema["key"].dataType.simpleString()
-    dealt = rows.withColumn("chunk", chunk).mapInArrow(packed, _DEALT.format(key_type)).repartition(min(n, MOST_PARTITIONS), "chunk")
+    dealt = rows.withColumn("chunk", chunk).mapInArrow(packed, DEALT.format(key_type)).repartition(min(n, MOST_PARTITIONS), "chunk")
     by_chunk = dealt.groupBy("chunk")
 
     def added(listed: DataFrame, levels: int) -> DataFrame:

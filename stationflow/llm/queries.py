@@ -15,6 +15,16 @@ from .shared import saved
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
+
+def tokenizer(name: str) -> str:
+    """A vocabulary file: in the folder that TOKENIZERS_DIR names, or where the installed package has it."""
+    if "TOKENIZERS_DIR" in os.environ:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 #: Of the sources of weight 1, 2 and 3: from more to less, even, from less to more. Each integral is the weight.
 SCHEDULES = [
     [(0.0, 1.5), (1.0, 0.5)],
@@ -63,7 +73,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = tokenizer("byte_bpe_50k.json")
     return bpe_table.digests(bpe_table.decode(bpe_table.encode(table(spark, sf_dir, "documents"), path), path))
 
 
