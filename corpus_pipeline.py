@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm import bpe_table, curriculum, decision_list, repeat_bytes, set_join
-from stationflow.llm.queries import SCHEDULES, TOKENIZERS, table
+from stationflow.llm.queries import SCHEDULES, table, tokenizer
 from stationflow.llm.shared import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -59,9 +59,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with digests of the ids and of what they decode to."""
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
-    # Workers that ran the stages before keep some memory: smaller chunks, at a little more disk.
-    decoded = bpe_table.decode(bpe_table.encode(docs, path, chunk_bytes=6 << 20), path)
+    path = tokenizer("byte_bpe_50k.json")
+    decoded = bpe_table.decode(bpe_table.encode(docs, path), path)
     return bpe_table.digests(decoded, "ids")
 
 
