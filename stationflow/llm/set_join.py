@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import CHUNK_BYTES, PAGE, answered, chunked, paged, read_answers, write_pages
+from .chunks import PAGE, answered, chunked, paged, read_answers, write_pages
 from .components import components
 from .shared import saved
 from .tokens import Words, mixed, pieces, window_hashes
 
+#: Bytes of text of a chunk: what a task makes of it is many times that.
+CHUNK_BYTES = 4 << 20
 #: Entries of an index list from which on it isn't read.
 MOST = 256
 #: So many keys of sets to compare, eight bytes each, are broadcast.
