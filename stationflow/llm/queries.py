@@ -59,7 +59,7 @@ def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = level_windows.remove_repeats(table(spark, sf_dir, "documents"), length=20, first=10)
+    out = level_windows.remove_repeats(table(spark, sf_dir, "documents"), length=20, first=5)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
