@@ -106,9 +106,9 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """Fingerprint every text and an edited form of it: the last quarter of its characters replaced by as many of the first
     ones (or all) of the next document, by ascending key; the last is followed by the first.
 
-    Returns key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. A null text is
-    empty. Keys are integers; a null key comes first, and stands for one document. Where a key repeats, equal rows
-    give one row, and the document's text for those ahead of it is the smallest one.
+    Returns key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row. A null text
+    is empty. Keys are integers; a null key comes first, and stands for one document. Where a key repeats, each row
+    is followed by the next key, equal rows give equal ones, and the document's text for those ahead of it is the smallest one.
     """
     lowest = -(2**63)
     rows = docs.select(F.coalesce(F.col(key), F.lit(lowest)).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -124,9 +124,11 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     both = rows.join(heads.hint("merge"), "id").select("id", F.xxhash64("text").alias("name"), n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     facts = both.select("id", "name", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     kinds = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("x")
-    prints = fingerprints(both.select("id", "name", kinds).select("id", "name", "x.kind", "x.text"), ["id", "name", "kind"])
+    # Equal rows are counted each by itself, as fingerprints takes rows of equal keys together; the number leaves no trace.
+    numbered = both.withColumn("row", F.monotonically_increasing_id()).select("id", "name", "row", kinds)
+    prints = fingerprints(numbered.select("id", "name", "row", "x.kind", "x.text"), ["id", "name", "row", "kind"])
     prints = prints.groupBy("id", "name").agg(*[F.max(F.when(F.col("kind") == i, F.col("fingerprint"))).alias(c) for i, c in enumerate(("fingerprint", "edited_fingerprint"))])
-    out = saved(facts.distinct().join(prints, ["id", "name"]))
+    out = saved(facts.join(prints, ["id", "name"]))
     theirs = out.groupBy("id").agg(F.min(F.struct("name", "fingerprint"))["fingerprint"].alias("next_fingerprint")).withColumnRenamed("id", "next")
     out = out.join(order, "id").join(theirs, "next")
     return out.select(
