@@ -3,7 +3,8 @@
 Many voters look at a text: each entry of a lexicon of words and stems mined from labelled rows, and fixed patterns. A voter says toxic,
 clean or nothing. A generative label model takes the true class as hidden and estimates, by expectation
 maximisation, how often each voter says what for each class; it measures how voters go together within
-a class and weighs those that repeat others less. A given label is one more voter. Its posterior labels train a
+a class and weighs those that repeat others less. Given labels
+mine the lexicon and say how many texts are toxic; they don't vote. The model's posterior labels train a
 linear classifier over words and stems of a text, which is what scores the corpus.
 """
 
@@ -98,8 +99,8 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     @classmethod
-    def fit(cls, votes: np.ndarray, start: np.ndarray, trusted: dict[int, float], rounds: int = 25) -> LabelModel:
-        """start: first guess of each row's probability to be toxic. trusted: voters whose accuracy is given, not estimated.
+    def fit(cls, votes: np.ndarray, start: np.ndarray, prior: float | None = None, rounds: int = 25) -> LabelModel:
+        """start: first guess of each row's probability to be toxic. prior: the share of toxic rows, estimated as well if not given.
 
         How voters go together is measured around the first guess: around later ones, voters that
         repeat each other would explain themselves by the hidden class.
@@ -109,8 +110,6 @@ class LabelModel:
         def estimate(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             by_class = np.stack([1 - p, p])
             rates = (np.einsum("yn,njv->jyv", by_class, said) + 0.1) / (by_class.sum(axis=1)[None, :, None] + 0.3)
-            for j, accuracy in trusted.items():
-                rates[j] = [[accuracy, 1e-6, 1 - accuracy], [1 - accuracy, 1e-6, accuracy]]
             return by_class, rates
 
         by_class, rates = estimate(start)
@@ -121,11 +120,10 @@ class LabelModel:
         spread = np.sqrt((rest**2).mean(axis=0) + 1e-6)
         together = np.clip(rest.T @ rest / len(votes) / np.outer(spread, spread), 0, 1)
         np.fill_diagonal(together, 0)
-        together[list(trusted)] = 0
         weight = 1 / (1 + np.where(together > 0.05, together, 0).sum(axis=1))
         model, p = cls(0.5, rates, weight), start
         for _ in range(rounds):
-            model = cls(float(np.clip(p.mean(), 1e-3, 1 - 1e-3)), estimate(p)[1], weight)
+            model = cls(float(np.clip(p.mean() if prior is None else prior, 1e-3, 1 - 1e-3)), estimate(p)[1], weight)
             p = model.posterior(votes)
         return model
 
@@ -217,15 +215,27 @@ def mine(sample: DataFrame, size: int, least_chi: float = 20.0) -> list[tuple[st
     return [(r["feature"], r["above"], r["for"]) for r in top.orderBy(F.desc("chi"), "feature", "above").limit(size).collect()]
 
 
+def lexicon_of(mined: list[tuple[str, int, bool]], size: int) -> dict[str, int]:
+    """The first mined features that speak for 1, each with the count that tells most. One that a feature ahead of it
+    covers, or that covers such a one, as stems do, would only repeat its vote."""
+    out: dict[str, int] = {}
+    covers = lambda a, b: a.endswith("*") and b.startswith(a[:-1])
+    for f, above, speaks_for in mined:
+        if len(out) < size and speaks_for and not any(covers(f, g) or covers(g, f) for g in out):
+            out[f] = above
+    return out
+
+
 def held_out(key: str = "doc_id"):
     """Every fifth document, by checksum of its id: labels of these are never used."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = 8_000, max_features: int = 2_000, lexicon: int = 96, label_accuracy: float = 0.98) -> Classifier:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = 8_000, max_features: int = 2_000, lexicon: int = 96) -> Classifier:
     """Learn from labelled documents that aren't held out; at most max_rows of them, those of the smallest key hashes.
 
-    The first `lexicon` mined features that speak for 1 are the lexicon's voters. What reaches the driver are at most
+    The lexicon's voters are at most `lexicon` mined features (see lexicon_of); the label model starts from
+    whether any of them speaks, and learns of the given labels only their mean. What reaches the driver are at most
     max_features features, and votes and hits of those rows. Labels other than 0 and 1 are ignored; without
     labels of both kinds the classifier scores every text low.
     """
@@ -253,14 +263,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Classifier([], np.zeros((0, LEVELS)), -5.0)
     row, feature, count = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists), np.concatenate(counts)
     place = {f: i for i, f in enumerate(features)}
-    voters = [(place[f], above) for f, above, speaks_for in mined if speaks_for][:lexicon]
-    votes = np.zeros((len(lists), len(voters) + 2 + len(PATTERNS)), dtype=np.int8)
+    voters = [(place[f], above) for f, above in lexicon_of(mined, lexicon).items()]
+    votes = np.zeros((len(lists), len(voters) + 1 + len(PATTERNS)), dtype=np.int8)
     for j, (f, above) in enumerate(voters):
         votes[row[(feature == f) & (count > above)], j] = 1
-    votes[:, len(voters)] = np.where(votes[:, : len(voters)].any(axis=1), 0, -1)
-    votes[:, len(voters) + 1] = np.where(gold == 1, 1, -1)
-    votes[:, len(voters) + 2 :] = np.stack([np.frombuffer(v, dtype=np.int8) for v in table.column("votes").to_pylist()])
-    model = LabelModel.fit(votes, np.where(gold == 1, label_accuracy, 1 - label_accuracy), {len(voters) + 1: label_accuracy})
+    spoken = votes[:, : len(voters)].any(axis=1)
+    votes[:, len(voters)] = np.where(spoken, 0, -1)
+    votes[:, len(voters) + 1 :] = np.stack([np.frombuffer(v, dtype=np.int8) for v in table.column("votes").to_pylist()])
+    model = LabelModel.fit(votes, np.where(spoken, 0.9, 0.02), float(gold.mean()))
     return train(features, row, feature, count, model.posterior(votes))
 
 

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 from cases import SCHEMA, corpus, frame
+from pyspark.sql import functions as F
 
 from stationflow.llm import bpe_table, licence_text, simhash, url_model, weak_toxicity
 from stationflow.llm.queries import RULES, TOKENIZERS
@@ -58,13 +59,25 @@ def test_edits_and_fingerprints(spark):
     assert all(r["near_edited"] == pytest.approx(like(r["fingerprint"], r["edited_fingerprint"])) for r in got.values())
 
 
+def test_fingerprints_of_null_ids_and_repeated_rows(spark):
+    """Every row is there, and equal rows of full blocks overflow nothing. A clashing column and no rows at all are fine."""
+    long = " ".join(["aaaaaaaaaaaa"] * 3000)
+    rows = [(1, "a b c d"), (1, "a b c d"), (1, "other words"), (None, "x y"), (None, None), (3, long), (3, long), (3, long), (3, long)]
+    df = frame(spark, rows).withColumn("id", F.lit("clash")).withColumn("name", F.lit(1)).withColumn("fingerprint", F.lit(0))
+    got = simhash.compare_with_edits(df).collect()
+    size = lambda t: len(t or "")
+    assert sorted((r["doc_id"] or 0, r["n_chars"]) for r in got) == sorted((d or 0, size(t)) for d, t in rows)
+    alone = {t: simhash.fingerprints(frame(spark, [(1, t)]), ["doc_id"]).first()["fingerprint"] for t in {t for _, t in rows}}
+    want = sorted((d or 0, size(t), alone[t]) for d, t in rows)
+    assert sorted((r["doc_id"] or 0, r["n_chars"], r["fingerprint"]) for r in got) == want
+    assert simhash.compare_with_edits(df.limit(0)).count() == 0
+
+
 def test_fingerprint_counts_every_word_of_a_long_text(spark):
     """More words than a block has, by adding up votes in Python."""
     rng = random.Random(1)
     text = " ".join(rng.choice(["alpha", "be", "gammagammagammagamma", "d"]) for _ in range(9000))
     df = frame(spark, [(1, text)])
-    from pyspark.sql import functions as F
-
     hashes = {r["w"]: (r["a"], r["b"]) for r in df.select(F.explode(F.array_distinct(F.split("text", " "))).alias("w")).select("w", F.xxhash64("w").alias("a"), F.xxhash64("w", F.lit(1)).alias("b")).collect()}
     votes = np.zeros(128)
     for w in text.split(" "):
@@ -77,8 +90,6 @@ def test_fingerprint_counts_every_word_of_a_long_text(spark):
 
 def test_fingerprint_of_one_long_word_many_times(spark):
     """Every vote of a block goes to the same bits: the fingerprint is the word's hash. Several words, as some fill each lane."""
-    from pyspark.sql import functions as F
-
     rows = [(i, " ".join([w] * 10_000)) for i, w in enumerate(("aaaaaaaaaaaa", "0x0000000000", "spamspamspamspam", "bbbbbbbbbbbb", "cccccccccccc"))]
     df = frame(spark, rows)
     hashes = df.select("doc_id", F.split("text", " ")[0].alias("w")).select("doc_id", F.xxhash64("w").alias("a"), F.xxhash64("w", F.lit(1)).alias("b")).collect()
@@ -138,8 +149,6 @@ def test_toxicity_is_learned_without_held_out_labels(spark):
     truth = {d: t for d, _, t in labels}
     assert np.mean([got[d]["predicted"] == truth[d] for d in held]) > 0.95
     assert got[10_000]["score"] == got[10_001]["score"] < 0.5
-    from pyspark.sql import functions as F
-
     flipped = table.withColumn("toxic", F.when(weak_toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = weak_toxicity.fit(docs, flipped)
     assert again.features == model.features and np.allclose(again.weights, model.weights)
@@ -160,7 +169,7 @@ def test_label_model_discounts_voters_that_repeat_each_other():
     votes = np.column_stack([weak, weak, weak, weak, vote(0.9), vote(0.85)]).astype(np.int8)
     votes[:, 4][rng.random(4000) < 0.3] = 0
     start = np.where(votes[:, 5] == 1, 0.85, 0.15)
-    model = weak_toxicity.LabelModel.fit(votes, start, {5: 0.85})
+    model = weak_toxicity.LabelModel.fit(votes, start, 0.3)
     assert model.rates[4, 1, 2] / model.rates[4, 0, 2] > 4
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.88
 
@@ -241,3 +250,43 @@ def test_licences_of_other_versions_and_variants_are_unknown(spark):
     got = {r["doc_id"]: r["families"] for r in licence_text.of_documents(df, licence_text.scan(df, licence_text.fit(df))).collect()}
     assert [got[i] for i in range(len(others))] == [["unknown"]] * len(others)
     assert [got[len(others) + i] for i in range(len(same))] == [[f] for f in same.values()]
+
+
+def test_licences_of_null_and_repeated_ids(spark):
+    """A row's result is that of its own text."""
+    gpl, mit = licence_text.NOTICES["GPL-3.0"][0], licence_text.NOTICES["MIT"][0]
+    rows = [(10**6 + i, t) for i, (_, t) in enumerate(corpus(8, 60))]
+    odd = [(None, gpl), (None, None), (None, mit), (7, gpl), (7, None), (7, "plain words only"), (8, mit + "\n" + mit), (8, mit + "\n" + mit), (8, mit + "\n" + mit)]
+    df = frame(spark, [*rows, *odd]).withColumn("at", F.lit(1)).withColumn("family", F.lit("x"))
+    model = licence_text.fit(df)
+    got = licence_text.of_documents(df, licence_text.scan(df, model)).collect()
+    assert len(got) == len(rows) + len(odd)
+    found = [(r["doc_id"], r["families"], r["n_notices"]) for r in got if r["doc_id"] in (None, 7, 8)]
+    # One row of the corpus has the id None by no chance: ids there are moved by 10**6.
+    want = [(None, ["GPL-3.0"], 1), (None, ["MIT"], 1), (None, [], 0), (7, ["GPL-3.0"], 1), (7, [], 0), (7, [], 0), *[(8, ["MIT"], 2)] * 3]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+    assert licence_text.of_documents(df.limit(0), licence_text.scan(df.limit(0), model)).count() == 0
+
+
+@pytest.mark.parametrize("line", ["gnu lesser general public license version 2", "cc by sa 4", "affero general", "no derivatives", "share alike 3", "a clause 3 clause", "lgpl v3", "plain words", "", "by nc nd", "non commercial noderivs"])
+def test_cheap_tests_of_lines_lose_no_version_or_variant(spark, line):
+    df = spark.createDataFrame([(line,)], "line string")
+    plain = F.concat(F.regexp_extract_all("line", F.lit(licence_text.VERSION), F.lit(1)), F.regexp_extract_all("line", F.lit(licence_text.CLAUSES), F.lit(1)))
+    r = df.select(plain.alias("a"), licence_text.versions_of(F.col("line")).alias("b"), F.regexp_extract_all("line", F.lit(licence_text.VARIANT), F.lit(1)).alias("c"), licence_text.variants_of(F.col("line")).alias("d")).first()
+    assert r["a"] == r["b"] and r["c"] == r["d"]
+
+
+def test_labels_only_mine_and_set_the_prior():
+    """The label model is given votes and a share, nothing else: rows of equal votes get equal posteriors."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(2000) < 0.2
+    votes = np.column_stack([np.where(truth & (rng.random(2000) < a), 1, 0) for a in (0.6, 0.7, 0.5)] + [np.where(rng.random(2000) < 0.1, -1, 0)]).astype(np.int8)
+    spoken = votes[:, :3].any(axis=1)
+    votes = np.column_stack([votes, np.where(spoken, 0, -1)]).astype(np.int8)
+    model = weak_toxicity.LabelModel.fit(votes, np.where(spoken, 0.9, 0.02), 0.2)
+    p = model.posterior(votes)
+    by_votes = {}
+    for v, x in zip(map(tuple, votes.tolist()), p.tolist()):
+        by_votes.setdefault(v, set()).add(round(x, 9))
+    assert all(len(x) == 1 for x in by_votes.values())
+    assert ((p > 0.5) == truth).mean() > 0.9
