@@ -99,17 +99,21 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     @classmethod
-    def fit(cls, votes: np.ndarray, start: np.ndarray, prior: float | None = None, rounds: int = 25) -> LabelModel:
-        """start: first guess of each row's probability to be toxic. prior: the share of toxic rows, estimated as well if not given.
+    def fit(cls, votes: np.ndarray, start: np.ndarray, trusted: dict[int, float] | None = None, rounds: int = 25, prior: float | None = None) -> LabelModel:
+        """start: first guess of each row's probability to be toxic. trusted: voters whose accuracy is given, not estimated (`fit`
+        names none). prior: the share of toxic rows, estimated as well if not given.
 
         How voters go together is measured around the first guess: around later ones, voters that
         repeat each other would explain themselves by the hidden class.
         """
+        trusted = trusted or {}
         said = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(np.float64)
 
         def estimate(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             by_class = np.stack([1 - p, p])
             rates = (np.einsum("yn,njv->jyv", by_class, said) + 0.1) / (by_class.sum(axis=1)[None, :, None] + 0.3)
+            for j, accuracy in trusted.items():
+                rates[j] = [[accuracy, 1e-6, 1 - accuracy], [1 - accuracy, 1e-6, accuracy]]
             return by_class, rates
 
         by_class, rates = estimate(start)
@@ -120,6 +124,7 @@ class LabelModel:
         spread = np.sqrt((rest**2).mean(axis=0) + 1e-6)
         together = np.clip(rest.T @ rest / len(votes) / np.outer(spread, spread), 0, 1)
         np.fill_diagonal(together, 0)
+        together[list(trusted)] = 0
         weight = 1 / (1 + np.where(together > 0.05, together, 0).sum(axis=1))
         model, p = cls(0.5, rates, weight), start
         for _ in range(rounds):
@@ -270,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     spoken = votes[:, : len(voters)].any(axis=1)
     votes[:, len(voters)] = np.where(spoken, 0, -1)
     votes[:, len(voters) + 1 :] = np.stack([np.frombuffer(v, dtype=np.int8) for v in table.column("votes").to_pylist()])
-    model = LabelModel.fit(votes, np.where(spoken, 0.9, 0.02), float(gold.mean()))
+    model = LabelModel.fit(votes, np.where(spoken, 0.9, 0.02), prior=float(gold.mean()))
     return train(features, row, feature, count, model.posterior(votes))
 
 

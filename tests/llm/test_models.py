@@ -169,7 +169,7 @@ def test_label_model_discounts_voters_that_repeat_each_other():
     votes = np.column_stack([weak, weak, weak, weak, vote(0.9), vote(0.85)]).astype(np.int8)
     votes[:, 4][rng.random(4000) < 0.3] = 0
     start = np.where(votes[:, 5] == 1, 0.85, 0.15)
-    model = weak_toxicity.LabelModel.fit(votes, start, 0.3)
+    model = weak_toxicity.LabelModel.fit(votes, start, {5: 0.85})
     assert model.rates[4, 1, 2] / model.rates[4, 0, 2] > 4
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.88
 
@@ -283,7 +283,7 @@ def test_labels_only_mine_and_set_the_prior():
     votes = np.column_stack([np.where(truth & (rng.random(2000) < a), 1, 0) for a in (0.6, 0.7, 0.5)] + [np.where(rng.random(2000) < 0.1, -1, 0)]).astype(np.int8)
     spoken = votes[:, :3].any(axis=1)
     votes = np.column_stack([votes, np.where(spoken, 0, -1)]).astype(np.int8)
-    model = weak_toxicity.LabelModel.fit(votes, np.where(spoken, 0.9, 0.02), 0.2)
+    model = weak_toxicity.LabelModel.fit(votes, np.where(spoken, 0.9, 0.02), prior=0.2)
     p = model.posterior(votes)
     by_votes = {}
     for v, x in zip(map(tuple, votes.tolist()), p.tolist()):
