@@ -26,7 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import PAGE, answered, chunked, paged, read_answers, write_pages
@@ -40,6 +41,8 @@ CHUNK_BYTES = 4 << 20
 MOST = 256
 #: So many keys of sets to compare, eight bytes each, are broadcast.
 FEW_KEYS = 500_000
+#: Bytes of sets that others are compared with in one task.
+ROOM_BYTES = 8 << 20
 #: So often each set is compared with the least of its unconnected candidates, before it is with all.
 STAR_ROUNDS = 1
 _ONCE, _SOME, _MANY = 0, 1, 2
@@ -95,16 +98,25 @@ def most_different(size: np.ndarray, percent: int) -> np.ndarray:
     return size * (100 - percent) // (100 + percent)
 
 
-def _texts(table: pa.Table, chosen: dict[int, int] | set[int], shingle: int, lower: bool) -> Iterator[tuple[list[int], Sets]]:
-    """Sets of the rows of a chunk whose key is chosen; of rows with a key in common, of the one with the least text."""
-    texts: dict[int, str] = {}
-    for key, text in zip(table.column("key").to_pylist(), table.column("text").to_pylist()):
-        if key in chosen and (key not in texts or text < texts[key]):
-            texts[key] = text
-    keys = sorted(texts)
-    batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([texts[k] for k in keys], pa.large_string())], names=["key", "text"])
-    for part, run in pieces(iter([batch])):
-        yield part.column("key").to_pylist(), Sets(Words(run, lower), run.rows, shingle)
+def _texts(table: pa.Table, told: pa.Table, shingle: int, lower: bool) -> Iterator[tuple[list[int], Sets]]:
+    """Classes and sets of the rows of a chunk that lead a class: told has their names, and the class as page, at level -1."""
+    led = told.filter(pc.equal(told.column("level"), -1))
+    names = pa.array([int.from_bytes(x, "little", signed=True) for x in led.column("answer").to_pylist()], pa.int64())
+    at = pc.index_in(table.column("name"), value_set=names)
+    table = pa.table({"class": led.column("page").take(at), "text": table.column("text")}).filter(pc.is_valid(at))
+    for part, run in pieces(iter(table.combine_chunks().to_batches())):
+        yield part.column("class").to_pylist(), Sets(Words(run, lower), run.rows, shingle)
+
+
+def _once(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+    """Of the rows of a task that are equal in some columns the first."""
+    seen: set[tuple[int, ...]] = set()
+    for batch in batches:
+        new = []
+        for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+            new.append(row not in seen)
+            seen.add(row)
+        yield batch.filter(pa.array(new, pa.bool_()))
 
 
 class _Looked:
@@ -384,35 +396,40 @@ class _Links:
         return out
 
 
-def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90, lower: bool = True, most: int = MOST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(key, n_shingles, component_id) of every row: texts are linked if their sets share `percent` or more of their union,
-    and a component is all that links reach, named by its least key.
-
-    Sets are of distinct runs of `shingle` words, A-Z in lower case; a text of fewer words is one run as a whole. An
-    empty or null text has no shingles and links with nothing. Equal sets are linked. Keys are integers; a row with a
-    null key gets n_shingles and a null component. Rows with a key in common are each looked up by their own set, and
-    are connected where they lead a class. Shingles are compared by 64-bit hashes.
-    """
+def _named(docs: DataFrame, key: str, text: str, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """Rows (key, text, chunk) with a name: chunk and name together tell a row from all that differ in key or text."""
     rows, n = chunked(docs, key, text, chunk_bytes)
-    by_chunk = rows.repartition(n, "chunk").groupBy("chunk")
+    return rows.withColumn("name", _name("key", "text")), n
+
+
+def _name(key: Column | str, text: Column | str) -> Column:
+    return F.xxhash64(F.lit("name"), text, key)
+
+
+def _join(docs: DataFrame, key: str, text: str, shingle: int, percent: int, lower: bool, most: int, chunk_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Rows (key, chunk, name, n, one, two), a set's classes (n, one, two, class, key, chunk, name), links (a, b) that
+    connect them, and the number of chunks. A class is led by one row; key is the least of its rows."""
+    rows, n = _named(docs, key, text, chunk_bytes)
 
     def name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, run in pieces(batches):
             sets = Sets(Words(run, lower), run.rows, shingle)
             one, two = sets.names()
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("chunk"), pa.array(sets.size, pa.int64()), pa.array(one), pa.array(two)], names=["key", "chunk", "n", "one", "two"])
-
-    named = saved(rows.mapInArrow(name_sets, "key long, chunk long, n long, one long, two long"))
-    classes = named.filter("n > 0 AND key IS NOT NULL").groupBy("n", "one", "two").agg(F.min(F.struct("key", "chunk")).alias("lead"))
-    classes = saved(classes.select("n", "one", "two", F.col("lead.key").alias("lead"), F.col("lead.chunk").alias("chunk")))
-    leads = classes.groupBy("lead").agg(F.min("chunk").alias("chunk"))
-    # What a chunk is told: its leads at level -1, answers at level 0, requests at level 1, sets at level 2.
-    told = "chunk long, page long, level int, answer binary"
-    chosen = leads.select("chunk", F.col("lead").alias("page"), F.lit(-1).alias("level"), F.lit(None).cast("binary").alias("answer"))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("key", "chunk", "name")], pa.array(sets.size, pa.int64()), pa.array(one), pa.array(two)], names=["key", "chunk", "name", "n", "one", "two"])
+
+    named = saved(rows.mapInArrow(name_sets, "key long, chunk long, name long, n long, one long, two long"))
+    classes = named.filter("n > 0").groupBy("n", "one", "two").agg(F.min(F.struct("name", "chunk")).alias("lead"), F.min("key").alias("key"))
+    # The number is given once: from here on it is read from where it was written.
+    classes = saved(classes.select("n", "one", "two", F.monotonically_increasing_id().alias("class"), "key", "lead.chunk", "lead.name"))
+    # Equal rows, however many, go to their chunk once a task; there one is left.
+    once = lambda batches: _once(batches, "chunk", "name")
+    texts = rows.filter("text <> ''").select("chunk", "name", "text").mapInArrow(once, "chunk long, name long, text string")
+    by_chunk = texts.repartition(n, "chunk").dropDuplicates(["chunk", "name"]).groupBy("chunk")
+    # What a chunk is told: the rows that lead classes at level -1, answers at level 0.
+    chosen = classes.select("chunk", F.col("class").alias("page"), F.lit(-1).alias("level"), _bytes("name").alias("answer"))
 
     def looked(table: pa.Table, answers: pa.Table) -> list[_Looked]:
-        mine = {p for p, level in zip(answers.column("page").to_pylist(), answers.column("level").to_pylist()) if level == -1}
-        return [_Looked(keys, sets, percent) for keys, sets in _texts(table, mine, shingle, lower)]
+        return [_Looked(keys, sets, percent) for keys, sets in _texts(table, answers, shingle, lower)]
 
     def shingles_of(parts: list[_Looked]) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = np.unique(np.concatenate([p.hashes for p in parts]) if parts else np.zeros(0, np.uint64), return_counts=True)
@@ -447,51 +464,42 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     read = saved(entered.groupBy("page").applyInArrow(_read_lists(percent, most, n), READ))
     stars = saved(read.filter("kind = 0").select("page", "values").groupBy("page").applyInArrow(_add_pairs, STAR))
 
-    def send(table: pa.Table, requests: pa.Table) -> pa.Table:
-        """Sets that other chunks ask for: level 1, page the key, answer the chunk to send it to."""
-        to: dict[int, list[int]] = {}
-        for k, answer in zip(requests.column("page").to_pylist(), requests.column("answer").to_pylist()):
-            to.setdefault(k, []).append(int.from_bytes(answer, "little"))
-        out: dict[str, list] = {"chunk": [], "page": [], "level": [], "answer": []}
-        for keys, sets in _texts(table, to.keys(), shingle, lower):
-            for row, k in enumerate(keys):
-                body = sets.hashes[sets.first[row] : sets.first[row + 1]].tobytes()
-                for chunk in to[k]:
-                    out["chunk"].append(chunk)
-                    out["page"].append(k)
-                    out["level"].append(2)
-                    out["answer"].append(body)
-        return pa.table({"chunk": pa.array(out["chunk"], pa.int64()), "page": pa.array(out["page"], pa.int64()), "level": pa.array(out["level"], pa.int32()), "answer": pa.array(out["answer"], pa.binary())})
-
-    def compare(table: pa.Table, sent: pa.Table) -> pa.Table:
-        """Compare pairs (level 3: page the key here, answer the key sent) by their sets."""
-        theirs, wanted = {}, {}
-        for page, level, answer in zip(*(sent.column(c).to_pylist() for c in ("page", "level", "answer"))):
-            if level == 2:
-                theirs[page] = np.frombuffer(answer, dtype=np.uint64)
+    def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, run in pieces(_once(batches, "class")):
+            sets = Sets(Words(run, lower), run.rows, shingle)
+            bodies = [sets.hashes[x:y].tobytes() for x, y in zip(sets.first[:-1].tolist(), sets.first[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(bodies, pa.binary())], names=["class", "body"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        """Compare the pairs of a room (class and other) by the sets in it (class and body)."""
+        sets, wanted = {}, {}
+        for k, other, body in zip(*(table.column(c).to_pylist() for c in ("class", "other", "body"))):
+            if body is None:
+                wanted.setdefault(k, []).append(other)
             else:
-                wanted.setdefault(page, []).append(int.from_bytes(answer, "little", signed=True))
-        for keys, sets in _texts(table, wanted.keys(), shingle, lower):
-            for row, k in enumerate(keys):
-                theirs[k] = sets.hashes[sets.first[row] : sets.first[row + 1]]
-        links = _Links(theirs, percent)
+                sets[k] = np.frombuffer(body, dtype=np.uint64)
+        links = _Links(sets, percent)
         out = [link for k in sorted(wanted) for link in links.answer(k, sorted(wanted[k]))]
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     def linked(some: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that are linked. The set of a goes to the chunk of b, once."""
-        keys = saved(some.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-        # Few keys are sent to where the texts are, so that no other text is shuffled; else all texts are.
-        few = keys.count() <= FEW_KEYS
-        texts = rows.join(F.broadcast(keys), "key", "left_semi").select(*rows.columns) if few else rows
-        by_chunk = texts.repartition(n, "chunk").groupBy("chunk")
-        at = leads.select(F.col("lead").alias("a"), F.col("chunk").alias("a_chunk"))
-        placed = some.join(at, "a").join(at.toDF("b", "b_chunk"), "b")
-        requests = placed.select(F.col("a_chunk").alias("chunk"), F.col("a").alias("page"), F.lit(1).alias("level"), F.col("b_chunk")).distinct()
-        requests = requests.select("chunk", "page", "level", _bytes("b_chunk").alias("answer"))
-        sent = by_chunk.cogroup(requests.groupBy("chunk")).applyInArrow(send, told)
-        wanted = placed.select(F.col("b_chunk").alias("chunk"), F.col("b").alias("page"), F.lit(3).alias("level"), _bytes("a").alias("answer"))
-        return saved(by_chunk.cogroup(sent.unionByName(wanted).groupBy("chunk")).applyInArrow(compare, "a long, b long"))
+        """Those of the pairs (a, b) that are linked. The greater classes of a chunk are compared with lesser ones in rooms, as
+        many as the sets of the lesser ones fill; a set goes to a room once."""
+        at = classes.select("class", F.col("n").alias("size"), "chunk")
+        placed = saved(some.join(at.select(F.col("class").alias("b"), "chunk"), "b"))
+        asks = saved(placed.select("a", "chunk").distinct().join(at.select(F.col("class").alias("a"), "size"), "a"))
+        rooms = asks.groupBy("chunk").agg(F.ceil(F.sum("size") * 8 / ROOM_BYTES).alias("rooms"))
+        into = lambda df: df.join(rooms, "chunk").withColumn("room", F.pmod(F.xxhash64("a"), "rooms"))
+        placed = into(placed)
+        needs = into(asks).select(F.col("a").alias("class"), "chunk", "room").unionByName(placed.select(F.col("b").alias("class"), "chunk", "room")).distinct()
+        sites = saved(some.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "chunk", "name"), "class"))
+        # A few are sent to where the texts are, so that no text is shuffled; else texts and names meet by hash.
+        few = sites.count() <= FEW_KEYS
+        bodies = rows.join(F.broadcast(sites), ["chunk", "name"]) if few else texts.join(sites, ["chunk", "name"])
+        bodies = bodies.select("class", "text").mapInArrow(make_sets, "class long, body binary")
+        sent = needs.join(bodies.dropDuplicates(["class"]), "class").select("chunk", "room", "class", F.lit(None).cast("long").alias("other"), "body")
+        wanted = placed.select("chunk", "room", F.col("b").alias("class"), F.col("a").alias("other"), F.lit(None).cast("binary").alias("body"))
+        return saved(sent.unionByName(wanted).groupBy("chunk", "room").applyInArrow(compare, "a long, b long"))
 
     # Each set is compared with the least of its candidates, then only with those that this leaves unconnected: a group of
     # copies of each other costs a pair each. After some rounds all that is left is compared.
@@ -508,11 +516,57 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     # Of lists too long to be read, what their least sets have left unconnected.
     rest = saved(_unconnected_of_lists(read.filter("kind = 1"), found, percent).join(left, ["a", "b"], "left_anti").distinct())
     if not rest.isEmpty():
-        found = components(links.unionByName(linked(rest)))
-    out = named.join(classes.select("n", "one", "two", "lead"), ["n", "one", "two"], "left")
-    out = out.join(found.select(F.col("node").alias("lead"), "component"), "lead", "left")
-    component = F.when(F.col("key").isNotNull(), F.coalesce("component", "lead", "key"))
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+        links = links.unionByName(linked(rest))
+    return named, classes, links, n
+
+
+def _same_key(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) of classes that hold rows of one key: each with the least of them."""
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("n", "one", "two") for f in (F.min, F.max)]
+    several = named.filter("n > 0 AND key IS NOT NULL").groupBy("key").agg(*ends)
+    several = several.filter("min_n < max_n OR min_one < max_one OR min_two < max_two").select("key")
+    held = named.filter("n > 0").join(several, "key").join(classes.select("n", "one", "two", "class"), ["n", "one", "two"])
+    held = saved(held.select("key", "class").distinct())
+    return held.groupBy("key").agg(F.min("class").alias("a")).join(held.withColumnRenamed("class", "b"), "key").filter("a <> b").select("a", "b")
+
+
+def _in_components(named: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(n, one, two, component, least): the component of each class, and the least key in it."""
+    found = components(links).toDF("class", "component")
+    placed = classes.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = placed.groupBy("component").agg(F.min("key").alias("least"))
+    return placed.select("n", "one", "two", "component").join(least, "component")
+
+
+def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90, lower: bool = True, most: int = MOST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(key, n_shingles, component_id) of every row: texts are linked if their sets share `percent` or more of their union,
+    and a component is all that links reach, named by its least key.
+
+    Sets are of distinct runs of `shingle` words, A-Z in lower case; a text of fewer words is one run as a whole. An
+    empty or null text has no shingles, links with nothing and keeps its own key. Equal sets are linked. Keys are integers.
+    Rows with a key in common are one document: what links to any of their texts is connected. A row with a null key is
+    linked by its text alone; its component is null if no row in it has a key. Shingles are compared by 64-bit hashes.
+    """
+    named, classes, links, _ = _join(docs, key, text, shingle, percent, lower, most, chunk_bytes)
+    placed = _in_components(named, classes, links.unionByName(_same_key(named, classes)))
+    out = named.join(placed, ["n", "one", "two"], "left")
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, lower: bool = True, most: int = MOST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The rows of docs without near duplicates: of all that links reach the one with the least key, one without a key last.
+
+    Links are those of `join_sets`, but of rows and not of documents: a row stays or goes by its own text, whatever other
+    rows have its key. Of equal rows, and of rows with one key and set, one stays. A row without shingles goes only where another equals it in key and text.
+    """
+    named, classes, links, n = _join(docs, key, text, shingle, percent, lower, most, chunk_bytes)
+    placed = _in_components(named, classes, links).select("n", "one", "two", "component")
+    order = F.struct(F.col("key").isNull(), "key", "name", "chunk")
+    first = named.join(placed, ["n", "one", "two"]).groupBy("component").agg(F.min(order).alias("first"))
+    stay = first.select("first.chunk", "first.name").unionByName(named.filter("n = 0").select("chunk", "name"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.pmod(F.xxhash64(key, body), F.lit(n)).alias("chunk"), _name(key, body).alias("name"))
+    return rows.join(stay, ["chunk", "name"], "left_semi").dropDuplicates(["chunk", "name"]).select("row.*")
 
 
 def _bytes(column: str):

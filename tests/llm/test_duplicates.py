@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import SCHEMA, bytes_left, corpus, frame, jaccard_components, words_left
 
@@ -117,5 +118,57 @@ def test_edges_of_tables(spark):
     left = sorted(level_windows.remove_repeats(odd).select("doc_id", "n_removed").collect(), key=str)
     assert left == sorted([(1, 40), (1, 40), (None, 0), (2, 0)], key=str)
     joined = sorted(set_join.join_sets(odd).collect(), key=str)
-    assert joined == sorted([(1, 38, 1), (1, 38, 1), (None, 38, None), (2, 0, 2)], key=str)
+    assert joined == sorted([(1, 38, 1), (1, 38, 1), (None, 38, 1), (2, 0, 2)], key=str)
     assert sorted(r["n_removed"] for r in repeat_bytes.remove_repeats(odd, length=20, gram=8).collect()) == [0, *[len(text)] * 3]
+
+
+def _letters(seed):
+    import random
+
+    return random.Random(seed).sample([f"w{i}" for i in range(900)], 80)
+
+
+def _changed(parts, at):
+    return " ".join([*parts[:at], "other", *parts[at + 1 :]])
+
+
+def test_jaccard_under_repeated_and_null_ids(spark):
+    """Rows of one id are one document, reached by any of its texts; rows without an id are linked by theirs."""
+    a, b, c = _letters(1), _letters(2), _letters(3)
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (9, _changed(a, 79)), (12, _changed(b, 79)), (1, _changed(b, 0))]
+    rows += [(None, _changed(a, 0)), (None, " ".join(c)), (None, _changed(c, 79)), (20, "alone " * 3), (20, ""), (None, None)]
+    got = sorted(map(tuple, set_join.join_sets(frame(spark, rows), chunk_bytes=700).collect()), key=str)
+    want = [(5, 78, 1), (5, 78, 1), (9, 78, 1), (12, 78, 1), (1, 78, 1), (None, 78, 1), (None, 78, None), (None, 78, None), (20, 1, 20), (20, 0, 20), (None, 0, None)]
+    assert got == sorted(want, key=str)
+
+    kept = sorted(map(tuple, set_join.first_of_each(frame(spark, rows), shingle=3, percent=90, chunk_bytes=700).select("doc_id", "text").collect()), key=str)
+    assert [r for r in kept if r[0] is not None] == sorted([(5, " ".join(a)), (1, _changed(b, 0)), (20, "alone " * 3), (20, "")], key=str)
+    assert len(kept) == 6 and sum(d is None and t is not None for d, t in kept) == 1
+
+
+def test_jaccard_where_a_third_of_all_rows_are_equal(spark):
+    """However many equal rows without an id, a chunk gets one a task, and no row is lost."""
+    a = _letters(4)
+    rows = [(None, " ".join(a))] * 300 + [(i, f"{i} " + " ".join(_letters(100 + i))) for i in range(60)] + [(77, _changed(a, 79))]
+    got = set_join.join_sets(frame(spark, rows), chunk_bytes=3000).collect()
+    assert len(got) == 361 and sum(r["component_id"] == 77 for r in got) == 301
+    odd = frame(spark, rows).withColumnRenamed("lang", "chunk").withColumnRenamed("source", "name")
+    kept = set_join.first_of_each(odd, shingle=3, percent=90, chunk_bytes=3000)
+    assert kept.columns == odd.columns and sorted(r["doc_id"] for r in kept.collect()) == [*range(60), 77]
+    sent = list(set_join._once(iter([pa.RecordBatch.from_pydict({"chunk": [1, 1, 2], "name": [7, 7, 7]})] * 2), "chunk", "name"))
+    assert [b.num_rows for b in sent] == [2, 0]
+
+
+@pytest.mark.parametrize("room", [1, 4000])
+def test_jaccard_in_small_rooms(spark, monkeypatch, room):
+    monkeypatch.setattr(set_join, "ROOM_BYTES", room)
+    rows = corpus(6, 80)
+    got = set_join.join_sets(frame(spark, rows), shingle=2, percent=60, chunk_bytes=9000).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(rows, 2, 60)
+
+
+def test_jaccard_where_sets_and_texts_meet_by_hash(spark, monkeypatch):
+    monkeypatch.setattr(set_join, "FEW_KEYS", 0)
+    rows = corpus(7, 60)
+    got = set_join.join_sets(frame(spark, rows), shingle=5, percent=80, chunk_bytes=9000).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(rows, 5, 80)
