@@ -21,15 +21,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike (Jaccard of five-word shingles 0.8 or more) the one with the least id stays.
+    """Of rows that are alike (Jaccard of five-word shingles 0.8 or more) the one with the least id stays, one without an id last.
 
-    Rows without an id stay; of rows equal in id and text one stays.
+    Rows are told apart by their texts, so a row without an id, or with another's, stays if nothing before it is alike.
     """
-    groups = set_join.join_sets(docs, shingle=5, percent=80)
-    first = groups.filter("component_id = doc_id").select("doc_id").distinct()
-    without_id = docs.filter("doc_id IS NULL")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.select(*COLUMNS).unionByName(without_id.select(*COLUMNS))
+    return set_join.first_of_each(docs.select(*COLUMNS), shingle=5, percent=80)
 
 
 def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
