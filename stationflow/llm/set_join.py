@@ -545,12 +545,12 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     Sets are of distinct runs of `shingle` words, A-Z in lower case; a text of fewer words is one run as a whole. An
     empty or null text has no shingles, links with nothing and keeps its own key. Equal sets are linked. Keys are integers.
     Rows with a key in common are one document: what links to any of their texts is connected. A row with a null key is
-    linked by its text alone; its component is null if no row in it has a key. Shingles are compared by 64-bit hashes.
+    linked by its text, and so connects others; its own component is null. Shingles are compared by 64-bit hashes.
     """
     named, classes, links, _ = _join(docs, key, text, shingle, percent, lower, most, chunk_bytes)
     placed = _in_components(named, classes, links.unionByName(_same_key(named, classes)))
     out = named.join(placed, ["n", "one", "two"], "left")
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("least", "key")).alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, lower: bool = True, most: int = MOST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
