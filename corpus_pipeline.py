@@ -21,11 +21,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows that are alike (Jaccard of five-word shingles 0.8 or more) the one with the least id stays, one without an id last.
+    """Of rows that are alike (Jaccard of five-word shingles 0.8 or more) the one with the least id stays.
 
-    Rows are told apart by their texts, so a row without an id, or with another's, stays if nothing before it is alike.
+    Rows are told apart by their texts, so a row with another's id stays if nothing before it is alike. Rows without an id stay.
     """
-    return set_join.first_of_each(docs.select(*COLUMNS), shingle=5, percent=80)
+    docs = docs.select(*COLUMNS)
+    kept = set_join.first_of_each(docs.filter("doc_id IS NOT NULL"), shingle=5, percent=80)
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
