@@ -12,6 +12,7 @@ from stationflow.schema import STATION, TIME
 # The windows the results are defined over.
 HOUR = "1 hour"
 SLIDE = "5 minutes"
+TWO_HOURS = "2 hours"
 
 
 def _sums(rental: str, return_: str) -> list[Column]:
@@ -56,14 +57,38 @@ def current_hour(flows: DataFrame, as_of: Column) -> DataFrame:
 def sliding_station(flows: DataFrame) -> DataFrame:
     """Per station, each hour that starts on a 5-minute mark: a row counts in twelve.
 
-    Rows are folded into the panes of their station first, so the twelvefold expansion works on panes.
+    Rows are folded into the panes of their station first. What is shuffled then are panes, each to the two hours in which
+    its windows start; there they are sorted, and each gives the windows that it is the first pane of. So no task holds windows,
+    which are up to twelve times the panes. A stream knows no order of rows: its windows are added up one by one.
     """
     panes = flows.groupBy(F.window(TIME, SLIDE).alias("pane"), STATION).agg(*_sums("rental", "return"))
-    return (
-        panes.groupBy(F.window("pane", HOUR, SLIDE).alias("w"), STATION)
-        .agg(*_sums("hourly_rental", "hourly_return"))
-        .select("w.start", "w.end", STATION, "hourly_rental", "hourly_return")
+    if flows.isStreaming:
+        return (
+            panes.groupBy(F.window("pane", HOUR, SLIDE).alias("w"), STATION)
+            .agg(*_sums("hourly_rental", "hourly_return"))
+            .select("w.start", "w.end", STATION, "hourly_rental", "hourly_return")
+        )
+    # Windows that start in an hour end within it and the next one.
+    near = panes.select(F.window("pane", TWO_HOURS, HOUR)["start"].alias("hour"), STATION, F.col("pane.start").alias("at"), "rental", "return")
+    in_time = f"PARTITION BY hour, {STATION} ORDER BY at"
+    first = near.select(
+        "hour",
+        STATION,
+        "at",
+        F.expr(f"lag(at) OVER ({in_time})").alias("before"),
+        F.expr(f"collect_list(struct(at, rental, return)) OVER ({in_time} RANGE BETWEEN CURRENT ROW AND INTERVAL '55' MINUTE FOLLOWING)").alias("panes"),
     )
+    # From 55 minutes before the pane, or the mark after the pane before it, up to the pane itself; all within the hour.
+    low = F.greatest("hour", F.expr("at - INTERVAL '55' MINUTE"), F.expr("before + INTERVAL '5' MINUTE"))
+    high = F.least("at", F.expr("hour + INTERVAL '55' MINUTE"))
+    starts = first.withColumns({"low": low, "high": high}).filter("low <= high")
+    starts = starts.select(STATION, "panes", F.explode(F.sequence("low", "high", F.expr(f"INTERVAL {SLIDE}"))).alias("start"))
+    ended = starts.withColumn("end", F.expr(f"start + INTERVAL {HOUR}"))
+    inside = ended.select("start", "end", STATION, F.filter("panes", lambda p: p["at"] < F.col("end")).alias("panes"))
+    # As in a sum, a null is passed over, and only nulls give null.
+    add = lambda a, b: F.coalesce(a + b, a, b)
+    total = lambda name: F.aggregate(F.col("panes")[name], F.lit(None).cast(panes.schema[name].dataType), add)
+    return inside.select("start", "end", STATION, total("rental").alias("hourly_rental"), total("return").alias("hourly_return"))
 
 
 def total_by_window(stations: DataFrame) -> DataFrame:

@@ -76,6 +76,14 @@ def test_sliding_station_folds_into_panes_before_expanding(spark):
     assert plan.index("partial_sum", expand) > expand
 
 
+def test_windows_of_a_station_are_neither_shuffled_nor_held(spark):
+    """Twelve windows a pane: only panes, each at two hours, are shuffled and sorted, and nothing is kept by window."""
+    plan = plan_of(QUERIES["sliding_station"](spark, SF))
+    above = plan[: plan.index("Expand")]
+    assert "Aggregate" not in above and above.count("Exchange") == 1
+    assert re.search(r"Exchange hashpartitioning\(hour#\d+, stationId#\d+", above) and "Generate explode(sequence(low" in above
+
+
 def test_baseline_touches_edge_rows_only(spark):
     state, batch = _around_cut(spark, SF)
     plan = final_plan_of(hourly_tumbling(delta_lag(batch, TIES, baseline=state)))

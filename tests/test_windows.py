@@ -81,6 +81,21 @@ def test_a_row_is_in_twelve_sliding_windows(spark):
     assert {(r.end - r.start, r.hourly_rental, r.hourly_return) for r in got} == {(timedelta(hours=1), 3, 1)}
 
 
+def test_sliding_windows_are_those_of_rows_added_up_one_by_one(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    days = ["2024-03-10", "1969-12-31", "2024-11-03"]
+    data = [(["A", "B", None][i % 3], f"{days[i % 7 % 3]} {i * i % 4:02}:{(17 * i) % 60:02}:{(11 * i) % 60:02}", i % 5 or None, i % 4) for i in range(300)]
+    data += [("C", None, 1, 1), ("D", "10:55:00", None, 2), ("D", "11:54:59", None, None), ("D", "11:55:00", 4, None)]
+    for time_type in ("timestamp_ntz", "timestamp"):
+        df = flows(session, *data, time_type=time_type)
+        sums = [F.sum("rental").alias("hourly_rental"), F.sum("return").alias("hourly_return")]
+        plain = df.groupBy(F.window("event_time", "1 hour", "5 minutes").alias("w"), "stationId").agg(*sums).select("w.start", "w.end", "stationId", "hourly_rental", "hourly_return")
+        got = sliding_station(df)
+        assert got.dtypes == plain.dtypes
+        assert rows(got, *plain.columns) == rows(plain, *plain.columns)
+
+
 def test_sliding_total_by_brute_force_and_in_two_levels(spark):
     data = [("AB"[i % 2], f"1{i % 3}:{(7 * i) % 60:02}:{(11 * i) % 60:02}", i % 5, i % 4) for i in range(60)]
     df = flows(spark, *data)
