@@ -58,8 +58,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with digests of the ids and of what they decode to."""
     path = tokenizer("byte_bpe_50k.json")
-    decoded = bpe_table.decode(bpe_table.encode(docs, path), path)
-    return bpe_table.digests(decoded, "ids")
+    return bpe_table.digests(bpe_table.encode(docs, path, decoded=True), "ids")
 
 
 STAGES = [

@@ -142,13 +142,15 @@ _PAGES = "chunk long, page long, words binary, lengths binary"
 _IDS = "chunk long, page long, ids binary, counts binary"
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Ids of every text: (key, ids binary), ids little-endian unsigned 32-bit, one row per row of docs.
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, decoded: bool = False) -> DataFrame:
+    """Ids of every text: (key, ids binary), ids little-endian unsigned 32-bit, one row per row of docs. With `decoded`
+    also the text that they decode to, as `decode` gives it, but by the task that has the ids: else a task keeps two
+    Python workers, each with the vocabulary, and workers stay for what runs next.
 
     A null or empty text has no ids. Rows that repeat are encoded each; docs should be a table that reads alike again. path: a byte-level BPE file
     that driver and executors can read. One number (the bytes of text) goes to the driver.
     """
-    from pyspark.sql.types import BinaryType, StructField, StructType
+    from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(0).alias("role"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -204,15 +206,21 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         begin[order] = np.concatenate(([0], np.cumsum(counts)[:-1])) if len(counts) else counts
         out = [ids[spread(begin[a], count[a])].tobytes() for a in at]
         keys = pa.concat_arrays([run.values for run in left.column("keys")]) if left.num_rows else pa.array([], left.schema.field("keys").type.value_type)
-        return pa.table({key: keys, "ids": pa.array(out, pa.binary())})
+        text = {"text": _texts(vocabulary(path), out)} if decoded else {}
+        return pa.table({key: keys, "ids": pa.array(out, pa.binary()), **text})
 
     # Both uses of `dealt` take all its columns, so that Spark sees one shuffle and reuses it.
     pages = dealt.groupBy("chunk").applyInArrow(list_words, _PAGES)
     encoded = pages.groupBy("page").applyInArrow(encode_words, _IDS)
-    schema = StructType([StructField(key, docs.schema[key].dataType), StructField("ids", BinaryType())])
+    text_field = [StructField("text", StringType())] if decoded else []
+    schema = StructType([StructField(key, docs.schema[key].dataType), StructField("ids", BinaryType()), *text_field])
     return dealt.groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(join_back, schema)
 
 
+def _texts(words: Vocabulary, ids: list[bytes]) -> pa.Array:
+    return pa.array([words.decode(np.frombuffer(i, dtype=np.uint32)).decode("utf-8", "replace") for i in ids], pa.string())
+
+
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """Texts of ids as `encode` gives them: (key, ids, text). Special tokens are written out; bytes that are
     no UTF-8 become U+FFFD."""
@@ -221,8 +229,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            out = [words.decode(np.frombuffer(i, dtype=np.uint32)).decode("utf-8", "replace") for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("ids"), pa.array(out, pa.string())], names=[key, "ids", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("ids"), _texts(words, batch.column("ids").to_pylist())], names=[key, "ids", "text"])
 
     schema = StructType([encoded.schema[key], encoded.schema["ids"], StructField("text", StringType())])
     return encoded.select(key, "ids").mapInArrow(texts, schema)

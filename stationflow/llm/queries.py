@@ -74,7 +74,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
-    return bpe_table.digests(bpe_table.decode(bpe_table.encode(table(spark, sf_dir, "documents"), path), path))
+    return bpe_table.digests(bpe_table.encode(table(spark, sf_dir, "documents"), path, decoded=True))
 
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,16 @@ def test_bpe_equals_the_library(spark, chunk_bytes):
     assert bpe_table.encode(spark.createDataFrame([], SCHEMA), PATH).count() == 0
 
 
+def test_ids_are_decoded_by_the_task_that_has_them(spark):
+    docs = frame(spark, [*corpus(12, 30), (5000, "日本 🙂🙂"), (5001, None), (5002, "a <|endoftext|>b"), (5002, "")])
+    both = bpe_table.encode(docs, PATH, chunk_bytes=2500, decoded=True)
+    rows = lambda df: sorted((r["doc_id"], bytes(r["ids"]), r["text"]) for r in df.collect())
+    assert rows(both) == rows(bpe_table.decode(bpe_table.encode(docs, PATH, chunk_bytes=2500), PATH))
+    # A second Python step in the stage would take a second worker a task.
+    plan = bpe_table.digests(both)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan[: plan.index("FlatMapCoGroupsInArrow")]
+
+
 def edited(rows):
     rows = sorted(rows)
     out = {}
