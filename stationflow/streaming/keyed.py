@@ -5,10 +5,10 @@ A batch touches the state of its stations only. The store needs RocksDB (``ROCKS
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -27,6 +27,7 @@ ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql
 
 #: Names that begin with an underscore don't reach the processor.
 _AT = "at_micros"
+_STEP = Row(STATION, _AT, COUNT, "late", "prev_count")
 
 
 def _micros(rows: DataFrame) -> Column:
@@ -43,11 +44,12 @@ def _time_of(micros: str, zoned: bool) -> Column:
     return F.expr(f"timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, CAST(CAST({micros} AS DECIMAL(20, 0)) / 1000000 AS DECIMAL(18, 6)))")
 
 
-class StationSteps(StatefulProcessor):
+class StationRows(StatefulProcessor):
     """Keeps the last time and count of a station, and gives each newer row the count before it.
 
     Of rows of one instant the one of highest ties, and then of highest count, stands. A row not newer than the state is late, and
     passes without a predecessor. A station that no row names for ``expiry_ms`` of processing time is forgotten.
+    A station has few rows in a batch, so they are plain rows: making frames of them costs many times their work.
     """
 
     def __init__(self, ties: Sequence[str], expiry_ms: int | None):
@@ -57,26 +59,30 @@ class StationSteps(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", "at long, bikes int")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        import pandas as pd
-
-        batch = pd.concat(list(rows))
-        batch = batch.sort_values([_AT, *self.ties, COUNT], na_position="first").drop_duplicates(_AT, keep="last")
-        known = self.last.get() if self.last.exists() else None
-        late = batch[_AT] <= known[0] if known else batch[_AT] != batch[_AT]
-        fresh = batch[~late]
-        out = batch[[STATION, _AT, COUNT]].assign(late=late, prev_count=fresh[COUNT].shift(1).astype("Int32"))
-        if len(fresh):
-            if known:
-                out.loc[fresh.index[0], "prev_count"] = known[1]
-            self.last.update((int(fresh[_AT].iloc[-1]), int(fresh[COUNT].iloc[-1])))
+    def steps(self, rows: Iterable[tuple], timers) -> Iterator[tuple]:
+        """(at, count, late, count before) of rows (at, ties, count), in the order of time."""
+        known = self.last.get()
+        best = {row[0]: row for row in sorted(rows, key=_rank)}
+        at, bikes = known if known else (None, None)
+        newest = at
+        for row in best.values():
+            late = known is not None and row[0] <= at
+            yield row[0], row[-1], late, None if late else bikes
+            if not late:
+                newest, bikes = row[0], row[-1]
+        if newest != at:
+            self.last.update((newest, bikes))
         if self.expiry_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.expiry_ms)
-        yield out
 
-    def handleExpiredTimer(self, key: tuple, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timers) -> Iterator[Row]:
+        columns = [_AT, *self.ties, COUNT]
+        for step in self.steps((tuple(row[c] for c in columns) for row in rows), timers):
+            yield _STEP(key[0], *step)
+
+    def handleExpiredTimer(self, key: tuple, timers, expired) -> Iterator[Row]:
         self.last.clear()
         return iter([])
 
@@ -84,6 +90,23 @@ class StationSteps(StatefulProcessor):
         pass
 
 
+class StationSteps(StationRows):
+    """The same over frames, for ``transformWithStateInPandas``."""
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
+        columns = [_AT, *self.ties, COUNT]
+        steps = list(self.steps((row for frame in rows for row in zip(*(frame[c].tolist() for c in columns))), timers))
+        out = pd.DataFrame([(key[0], *step) for step in steps], columns=list(_STEP))
+        yield out.astype({"prev_count": "Int32"})
+
+
+def _rank(row: tuple) -> list[tuple]:
+    """Orders rows (at, ties, count) with what is missing first."""
+    return [(True, x) if x is not None and x == x else (False, 0) for x in row]
+
+
 def keyed_flows(snapshots: DataFrame, ties: Sequence[str] = (), expiry_ms: int | None = None) -> DataFrame:
     """Flow rows of a stream of snapshots, and its late rows (``late`` is true; they have no flow).
 
@@ -94,7 +117,7 @@ def keyed_flows(snapshots: DataFrame, ties: Sequence[str] = (), expiry_ms: int |
     rows = usable.select(STATION, COUNT, *ties, _micros(usable).alias(_AT))
     schema = f"{STATION} string, {_AT} long, {COUNT} int, late boolean, prev_count int"
     mode = "none" if expiry_ms is None else "processingTime"
-    steps = rows.groupBy(STATION).transformWithStateInPandas(StationSteps(ties, expiry_ms), schema, "append", mode)
+    steps = rows.groupBy(STATION).transformWithState(StationRows(ties, expiry_ms), schema, "append", mode)
     steps = steps.select(STATION, _time_of(_AT, is_zoned(snapshots)).alias(TIME), COUNT, "late", "prev_count")
     return steps.withColumn("diff", F.col(COUNT) - F.col("prev_count")).withColumns(flow_columns(F.col("diff")))
 

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from frames import at, rows, snapshots
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from stationflow.functions import parse_snapshots, set_aside_ahead
@@ -15,7 +16,7 @@ from stationflow.operators import hourly_tumbling, sliding_total, station_flows
 from stationflow.sources import next_offsets, once_per_position, read_envelopes
 from stationflow.streaming import ROCKSDB, seed_hourly_job, start_hourly_job, start_keyed_hourly_job
 from stationflow.streaming.jobs import handle_hourly_batch
-from stationflow.streaming.keyed import StationSteps
+from stationflow.streaming.keyed import StationRows, StationSteps
 
 ONCE = {"availableNow": True}
 HOURLY = ("start", "end", "stationId", "total_rental", "total_return")
@@ -136,6 +137,30 @@ def test_a_station_that_falls_silent_is_forgotten():
     assert out.late.tolist() == [False] and out.prev_count.isna().all()
 
 
+def test_a_station_costs_rows_and_two_calls_of_the_store(monkeypatch):
+    """No frame is made for a station, whatever steps frames would give; the store is asked once and told once, if at all."""
+    calls = []
+    data = [(5, 1, 3), (2, None, 9), (5, None, 8), (2, 0, 4), (7, 1, 1), (7, 1, 6), (1, 4, 2)]
+    columns = ["at_micros", "offset", "parkingBikeTotCnt"]
+    for known, want in [(None, [(1, 2, False, None), (2, 4, False, 2), (5, 3, False, 4), (7, 6, False, 3)]),
+                        ((2, 50), [(1, 2, True, None), (2, 4, True, None), (5, 3, False, 50), (7, 6, False, 3)]), ((9, 1), None)]:
+        handle = Handle()
+        handle.value = known
+        monkeypatch.setattr(Handle, "get", lambda self: calls.append("get") or self.value)
+        monkeypatch.setattr(Handle, "update", lambda self, value: calls.append("update") or setattr(self, "value", value))
+        monkeypatch.setattr(Handle, "exists", None)
+        steps, frames = StationRows(["offset"], None), StationSteps(["offset"], None)
+        steps.init(handle)
+        calls.clear()
+        got = [tuple(r) for r in steps.handleInputRows(("A",), iter([Row(*columns)(*r) for r in data]), None)]
+        assert calls == ["get", "update"][: 2 if want else 1] and handle.value == ((7, 6) if want else known)
+        assert got == [("A", *r) for r in want or [(a, n, True, None) for a, n in [(1, 2), (2, 4), (5, 3), (7, 6)]]]
+        handle.value = known
+        frames.init(handle)
+        (out,) = frames.handleInputRows(("A",), iter([pd.DataFrame(data[:3], columns=columns), pd.DataFrame(data[3:], columns=columns)]), None)
+        assert out.astype(object).where(out.notna(), None).values.tolist() == [list(r) for r in got]
+
+
 def test_a_stream_goes_on_from_a_back_fill(spark, root):
     archive = snapshots(spark, *FEED[0], *FEED[1], (None, "10:00", 1))
     seed_hourly_job(archive, root, ["offset"], repair=True, state_buckets=2)
