@@ -124,9 +124,14 @@ def _handle_hourly(batch: DataFrame, epoch: int, root: str, options: HourlyOptio
             state.save(state.load(), epoch)
         return
 
-    stations = batch.select(STATION).filter(F.col(STATION).isNotNull())
-    known = state.load(before=epoch, of=stations)
-    arrivals = _write_arrivals(batch, known, tables, epoch, options)
+    # Parsed once: which buckets the batch touches, what is malformed and what arrived are told by the same kept rows.
+    counts = Observation("batch")
+    rows = _kept(batch, options, counts)
+    try:
+        known = state.load(before=epoch, of=rows.select(STATION).filter(F.col(STATION).isNotNull()))
+        arrivals = _write_arrivals(rows, known, tables, epoch, options, counts)
+    finally:
+        rows.unpersist()
     fresh = arrivals.filter(F.col("outcome") == "fresh").drop("outcome")
     repaired = _write_repairs(arrivals, known, tables, epoch) if options.repair else None
     if repaired is not None:
@@ -171,7 +176,12 @@ def seed_hourly_job(snapshots: DataFrame, root: str, ties: Sequence[str] = (), s
     if tables.root.exists(SEEDED) or tables.root.exists("checkpoint"):
         raise ValueError(f"{root} has been seeded or started")
     state = state_of(tables, snapshots.schema[TIME].dataType, options)
-    arrivals = _write_arrivals(snapshots, state.load(before=BACKFILL), tables, BACKFILL, options)
+    counts = Observation("batch")
+    rows = _kept(snapshots, options, counts)
+    try:
+        arrivals = _write_arrivals(rows, state.load(before=BACKFILL), tables, BACKFILL, options, counts)
+    finally:
+        rows.unpersist()
     flows = _write_flows(delta_lag(arrivals.drop("outcome"), slice_seconds=slice_seconds), tables, BACKFILL)
     state.save(next_state(None, flows, distinct_times=True), BACKFILL, options.keep_states)
     if options.repair:
@@ -187,34 +197,34 @@ def _days_of(rows: DataFrame) -> list[date]:
     return [r[0] for r in rows.select(F.to_date(TIME)).distinct().collect()]
 
 
-def _write_arrivals(batch: DataFrame, known: DataFrame, tables: JobTables, epoch: int, options: HourlyOptions) -> DataFrame:
+def _kept(batch: DataFrame, options: HourlyOptions, counts: Observation) -> DataFrame:
+    """The rows of a batch, counted and kept for the steps that read them."""
+    if options.ahead is not None and APPENDED in batch.columns:
+        batch = set_aside_ahead(batch, options.ahead)
+    return observe_batch(batch, counts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _write_arrivals(rows: DataFrame, known: DataFrame, tables: JobTables, epoch: int, options: HourlyOptions, counts: Observation) -> DataFrame:
     """Sort the batch into malformed, late and fresh rows, and return the late and the fresh ones.
 
     What follows reads the written rows: the source is not evaluated again, and a lost
     executor costs a re-read, not a recomputation.
     """
-    counts = Observation("batch")
-    if options.ahead is not None and APPENDED in batch.columns:
-        batch = set_aside_ahead(batch, options.ahead)
-    rows = observe_batch(batch, counts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _, malformed = split_malformed(rows)
-        malformed.write.mode("overwrite").parquet(f"{tables.path('malformed')}/epoch={epoch}")
-
-        known_at = known.select(STATION, F.col(TIME).alias("_known_at"))
-        outcome = F.when(F.col(TIME) <= F.col("_known_at"), "late").otherwise("fresh")
-        arrivals = (
-            usable_once(rows, options.ties, TIE if options.repair else None)
-            .join(known_at, STATION, "left")
-            .withColumn("outcome", outcome)
-            .drop("_known_at")
-        )
-        path = f"{tables.path('arrivals')}/epoch={epoch}"
-        arrivals.write.mode("overwrite").partitionBy("outcome").parquet(path)
-        _write_metrics(tables, epoch, counts)
-    finally:
-        rows.unpersist()
-    return batch.sparkSession.read.schema(arrivals.schema).parquet(path)
+    _, malformed = split_malformed(rows)
+    malformed.write.mode("overwrite").parquet(f"{tables.path('malformed')}/epoch={epoch}")
+
+    known_at = known.select(STATION, F.col(TIME).alias("_known_at"))
+    outcome = F.when(F.col(TIME) <= F.col("_known_at"), "late").otherwise("fresh")
+    arrivals = (
+        usable_once(rows, options.ties, TIE if options.repair else None)
+        .join(known_at, STATION, "left")
+        .withColumn("outcome", outcome)
+        .drop("_known_at")
+    )
+    path = f"{tables.path('arrivals')}/epoch={epoch}"
+    arrivals.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    _write_metrics(tables, epoch, counts)
+    return rows.sparkSession.read.schema(arrivals.schema).parquet(path)
 
 
 def kept_rows(tables: JobTables, flows: T.StructType) -> DayParts:

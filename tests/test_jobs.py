@@ -282,3 +282,13 @@ def test_sliding_job_refuses_an_old_output_without_its_checkpoint(spark, root):
     flows = spark.readStream.schema("event_time timestamp, rental int, return int").parquet(root)
     with pytest.raises(ValueError, match="no checkpoint"):
         start_sliding_total_job(flows, f"{root}/job", trigger=ONCE)
+
+
+def test_a_batch_is_read_once_besides_the_look_whether_it_has_rows(spark, root):
+    """What buckets it touches, what is malformed and what arrived are told by the same kept rows."""
+    read = spark.sparkContext.accumulator(0)
+    frame = snapshots(spark, *[(f"S{i % 7}", f"10:{i % 60:02}", i % 9) for i in range(50)], (None, "10:00", 1))
+    log = frame.rdd.coalesce(1).map(lambda r: read.add(1) or r)
+    handle_hourly_batch(spark.createDataFrame(log, frame.schema), 0, root, ["offset"], repair=True, state_buckets=2)
+    assert read.value <= 2 * 51
+    assert spark.read.parquet(f"{root}/arrivals").count() == 50 and spark.read.parquet(f"{root}/metrics").first()["total"] == 51
