@@ -79,7 +79,8 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return licence_text.of_documents(docs, licence_text.scan(docs, licence_text.fit(docs)))
+    matched = licence_text.matches(docs)
+    return licence_text.of_documents(docs, licence_text.scan(docs, licence_text.fit(docs, matched=matched), matched=matched))
 
 
 RULES = [

@@ -262,6 +262,17 @@ def test_licences_of_other_versions_and_variants_are_unknown(spark):
     assert [got[len(others) + i] for i in range(len(same))] == [[f] for f in same.values()]
 
 
+def test_licences_learn_from_every_text(spark):
+    """A phrase that half of 1,200 texts have is learned the better, the more texts have it; no text is too many."""
+    prose = [(i, "plain words of no licence\nmore of them") for i in range(600)]
+    phrase = "we met under the mit building yesterday and spoke of many other things then"
+    model = lambda n: licence_text.fit(frame(spark, [*prose, *[(10_000 + i, phrase) for i in range(n)]]))
+    few, many = (dict(map(tuple, model(n)[0].select("gram", F.col("weights")[0]).collect())) for n in (30, 600))
+    assert many["under the"] > few["under the"]
+    df = frame(spark, [*prose, *[(10_000 + i, phrase) for i in range(600)]])
+    assert licence_text.matches(df).count() == 600
+
+
 def test_licences_of_null_and_repeated_ids(spark):
     """A row's result is that of its own text."""
     gpl, mit = licence_text.NOTICES["GPL-3.0"][0], licence_text.NOTICES["MIT"][0]
