@@ -12,7 +12,8 @@ pairs that share fewer are dropped before any sets are compared.
 Skipping answers: a set is compared with one of its candidates; what it shares with the others follows, within
 bounds, from what that one shares with them, which is computed once for all sets that are like it. Only where
 bounds leave it open are two sets compared. Each set is compared with the least of its candidates first; pairs of sets that are connected
-already are skipped.
+already are skipped. What that leaves stays packed, a row for each set, and goes to rooms by the groups that candidates make up:
+a group's sets are sent to its room once, and there a link found saves all pairs between the two components it connects.
 
 A list with more than `most` entries is not read. A set finds all its links if few enough of its lists are that
 long. If not, the set is looked up by segments as well: shingles are dealt into more segments than linked sets can
@@ -41,10 +42,9 @@ CHUNK_BYTES = 4 << 20
 MOST = 256
 #: So many keys of sets to compare, eight bytes each, are broadcast.
 FEW_KEYS = 500_000
-#: Bytes of sets that others are compared with in one task.
+#: Bytes of sets of either side that are compared in one task, and pairs of them.
 ROOM_BYTES = 8 << 20
-#: So often each set is compared with the least of its unconnected candidates, before it is with all.
-STAR_ROUNDS = 1
+ROOM_PAIRS = 100_000
 _ONCE, _SOME, _MANY = 0, 1, 2
 _BITS = 256
 
@@ -253,18 +253,6 @@ def _star(page: int, a: np.ndarray, b: np.ndarray) -> pa.Table:
     })
 
 
-def spread_others(stars: DataFrame) -> DataFrame:
-    """The other pairs as rows (a, b)."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for body in batch.column("others").to_pylist():
-                pairs = np.frombuffer(body, "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    return stars.filter("others IS NOT NULL").select("others").mapInArrow(rows, "a long, b long")
-
-
 def _labelled(labels: pa.Table, keys: np.ndarray) -> np.ndarray:
     """The component of each key: itself where it has no label."""
     key, component = (labels.column(c).to_numpy() for c in ("key", "component"))
@@ -280,8 +268,8 @@ def _pages_of(keys: np.ndarray, n: int) -> np.ndarray:
 
 
 def unconnected(stars: DataFrame, found: DataFrame, n: int) -> DataFrame:
-    """Of the other pairs, those whose ends are in different components, as STAR again. Components (node, component) go to
-    the pages of their nodes: there pairs learn that of their greater key first, then that of the lesser one."""
+    """Of the other pairs, those whose ends are in different components: a row (b, lesser) for each greater key. Components
+    (node, component) go to the pages of their nodes: there pairs learn that of their greater key first, then that of the lesser one."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,16 +293,71 @@ def unconnected(stars: DataFrame, found: DataFrame, n: int) -> DataFrame:
         rows = rows[_labelled(labels, rows[:, 0]) != rows[:, 2]][:, :2]
         return in_pages(rows, rows[:, 1])
 
-    def star(pairs: pa.Table) -> pa.Table:
+    def by_greater(pairs: pa.Table) -> pa.Table:
         rows = np.concatenate([np.frombuffer(x, "<i8") for x in pairs.column("others").to_pylist()]).reshape(-1, 2)
         rows = rows[np.lexsort((rows[:, 0], rows[:, 1]))]
-        return _star(pairs.column("page")[0].as_py(), rows[:, 0], rows[:, 1])
+        begin = np.flatnonzero(np.concatenate(([True], rows[1:, 1] != rows[:-1, 1])))
+        lesser = pa.ListArray.from_arrays(pa.array([*begin.tolist(), len(rows)], pa.int32()), pa.array(rows[:, 0]))
+        return pa.table({"b": pa.array(rows[begin, 1]), "lesser": lesser})
 
     labels = found.select("node", "component").mapInArrow(place, "page long, key long, component long").groupBy("page")
     moved = "page long, others binary"
     known = stars.filter("others IS NOT NULL").select("page", "others").groupBy("page").cogroup(labels).applyInArrow(learn_greater, moved)
     apart = known.groupBy("page").cogroup(labels).applyInArrow(learn_lesser, moved)
-    return apart.groupBy("page").applyInArrow(star, STAR)
+    return apart.groupBy("page").applyInArrow(by_greater, "b long, lesser array<long>")
+
+
+def in_groups(wanted: DataFrame) -> DataFrame:
+    """wanted (b, lesser) with the group of each b as place: what the first and last of the lesser ones connect is a group."""
+    ends = F.explode(F.array(F.element_at("lesser", 1), F.element_at("lesser", -1)))
+    groups = components(wanted.select(ends.alias("a"), "b"))
+    return wanted.join(groups.select(F.col("node").alias("b"), F.col("component").alias("place")), "b")
+
+
+def members(wanted: DataFrame, place: str) -> DataFrame:
+    """(place, class, pairs): the classes of wanted (b, lesser) in each place, once each, or twice if also as b. With each b the number of its pairs."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            out = []
+            for at, b, lesser in zip(*(batch.column(c).to_pylist() for c in (place, "b", "lesser"))):
+                out.append((at, b, len(lesser)))
+                new = [(at, a) for a in lesser if (at, a) not in seen]
+                out += [(*x, 0) for x in new]
+                seen.add((at, b))
+                seen.update(new)
+            rows = np.array(out, dtype=np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(3)], names=[place, "class", "pairs"])
+
+    return wanted.select(place, "b", "lesser").repartition(place).mapInArrow(listed, f"{place} long, class long, pairs long")
+
+
+def in_rooms(wanted: DataFrame, sizes: DataFrame, n: int) -> DataFrame:
+    """wanted (b, lesser, place) as (room, b, lesser). sizes: (class, size). A place of many sets or pairs is cut into rooms by
+    both sides, as many as the sets of one side fill; small places share n rooms."""
+    loads = members(wanted, "place").join(sizes, "class").groupBy("place").agg(F.sum("size").alias("size"), F.sum("pairs").alias("pairs"))
+    cuts = F.greatest(F.ceil(F.col("size") * 8 / ROOM_BYTES), F.ceil(F.sqrt(F.col("pairs") / ROOM_PAIRS)))
+    dealt = wanted.join(loads.select("place", cuts.cast("long").alias("cuts")), "place")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for b, lesser, place, cuts in zip(*(batch.column(c).to_pylist() for c in ("b", "lesser", "place", "cuts"))):
+                home = int(_pages_of(np.array([place]), n)[0])
+                if cuts == 1:
+                    out.append((home, b, lesser))
+                    continue
+                lesser = np.array(lesser, dtype=np.int64)
+                column = _pages_of(lesser, cuts)
+                line = int(_pages_of(np.array([~b]), cuts)[0])
+                for x in np.unique(column).tolist():
+                    room = int(mixed(np.array([place, line * cuts + x + 1]).view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
+                    out.append((room, b, lesser[column == x].tolist()))
+            rooms, greater, lists = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(rooms, pa.int64()), pa.array(greater, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["room", "b", "lesser"])
+
+    return dealt.select("b", "lesser", "place", "cuts").mapInArrow(cut, "room long, b long, lesser array<long>")
 
 
 def _read_lists(percent: int, most: int, n: int):
@@ -351,11 +394,11 @@ def _read_lists(percent: int, most: int, n: int):
 
 
 class _Links:
-    """Comparisons of a chunk. Answers that follow from others are not computed."""
+    """Comparisons of a room. Answers that follow from others are not computed. parent: of sets the component they are in already."""
 
-    def __init__(self, sets: dict[int, np.ndarray], percent: int):
+    def __init__(self, sets: dict[int, np.ndarray], percent: int, parent: dict[int, int]):
         self.sets, self.percent = sets, percent
-        self.parent: dict[int, int] = {}
+        self.parent = parent
         self.known: dict[tuple[int, int], int] = {}
 
     def root(self, x: int) -> int:
@@ -471,52 +514,50 @@ def _join(docs: DataFrame, key: str, text: str, shingle: int, percent: int, lowe
             yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(bodies, pa.binary())], names=["class", "body"])
 
     def compare(table: pa.Table) -> pa.Table:
-        """Compare the pairs of a room (class and other) by the sets in it (class and body)."""
-        sets, wanted = {}, {}
-        for k, other, body in zip(*(table.column(c).to_pylist() for c in ("class", "other", "body"))):
+        """Compare the pairs of a room (class and lesser) by the sets in it (class, component and body)."""
+        sets, parent, wanted = {}, {}, {}
+        for k, component, body, lesser in zip(*(table.column(c).to_pylist() for c in ("class", "component", "body", "lesser"))):
             if body is None:
-                wanted.setdefault(k, []).append(other)
+                wanted.setdefault(k, []).extend(lesser)
             else:
-                sets[k] = np.frombuffer(body, dtype=np.uint64)
-        links = _Links(sets, percent)
+                sets[k], parent[k] = np.frombuffer(body, dtype=np.uint64), component
+        links = _Links(sets, percent, parent)
         out = [link for k in sorted(wanted) for link in links.answer(k, sorted(wanted[k]))]
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    def linked(some: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that are linked. The greater classes of a chunk are compared with lesser ones in rooms, as
-        many as the sets of the lesser ones fill; a set goes to a room once."""
-        at = classes.select("class", F.col("n").alias("size"), "chunk")
-        placed = saved(some.join(at.select(F.col("class").alias("b"), "chunk"), "b"))
-        asks = saved(placed.select("a", "chunk").distinct().join(at.select(F.col("class").alias("a"), "size"), "a"))
-        rooms = asks.groupBy("chunk").agg(F.ceil(F.sum("size") * 8 / ROOM_BYTES).alias("rooms"))
-        into = lambda df: df.join(rooms, "chunk").withColumn("room", F.pmod(F.xxhash64("a"), "rooms"))
-        placed = into(placed)
-        needs = into(asks).select(F.col("a").alias("class"), "chunk", "room").unionByName(placed.select(F.col("b").alias("class"), "chunk", "room")).distinct()
-        sites = saved(some.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "chunk", "name"), "class"))
+    def linked(wanted: DataFrame, found: DataFrame | None = None) -> DataFrame:
+        """Links (a, b) that connect the pairs of wanted (b, lesser, place) as far as they can be and found (node, component) does not. They are compared in rooms; a
+        set goes to a room once."""
+        wanted = saved(in_rooms(wanted, classes.select("class", F.col("n").alias("size")), n))
+        needs = saved(members(wanted, "room").select("room", "class").distinct())
+        sites = saved(needs.select("class").distinct().join(classes.select("class", "chunk", "name"), "class"))
         # A few are sent to where the texts are, so that no text is shuffled; else texts and names meet by hash.
         few = sites.count() <= FEW_KEYS
         bodies = rows.join(F.broadcast(sites), ["chunk", "name"]) if few else texts.join(sites, ["chunk", "name"])
         bodies = bodies.select("class", "text").mapInArrow(make_sets, "class long, body binary")
-        sent = needs.join(bodies.dropDuplicates(["class"]), "class").select("chunk", "room", "class", F.lit(None).cast("long").alias("other"), "body")
-        wanted = placed.select("chunk", "room", F.col("b").alias("class"), F.col("a").alias("other"), F.lit(None).cast("binary").alias("body"))
-        return saved(sent.unionByName(wanted).groupBy("chunk", "room").applyInArrow(compare, "a long, b long"))
+        sent = needs.join(bodies.dropDuplicates(["class"]), "class")
+        if found is None:
+            sent = sent.withColumn("component", F.col("class"))
+        else:
+            sent = sent.join(found.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        sent = sent.select("room", "class", "component", "body", F.lit(None).cast("array<long>").alias("lesser"))
+        asked = wanted.select("room", F.col("b").alias("class"), F.lit(None).cast("long").alias("component"), F.lit(None).cast("binary").alias("body"), "lesser")
+        return saved(sent.unionByName(asked).groupBy("room").applyInArrow(compare, "a long, b long"))
 
     # Each set is compared with the least of its candidates, then only with those that this leaves unconnected: a group of
-    # copies of each other costs a pair each. After some rounds all that is left is compared.
-    links, found = None, None
-    for _ in range(STAR_ROUNDS):
-        some = linked(stars.filter("a IS NOT NULL").select("a", "b"))
-        links = some if links is None else links.unionByName(some)
-        found = components(links)
-        stars = saved(unconnected(stars, found, n))
-    left = saved(stars.filter("a IS NOT NULL").select("a", "b").unionByName(spread_others(stars)))
+    # copies of each other costs a pair each.
+    links = linked(stars.filter("a IS NOT NULL").select("b", F.array("a").alias("lesser"), F.col("a").alias("place")))
+    found = components(links)
+    left = saved(unconnected(stars, found, n))
     if not left.isEmpty():
-        links = links.unionByName(linked(left))
+        links = links.unionByName(linked(in_groups(left), found))
         found = components(links)
     # Of lists too long to be read, what their least sets have left unconnected.
-    rest = saved(_unconnected_of_lists(read.filter("kind = 1"), found, percent).join(left, ["a", "b"], "left_anti").distinct())
+    rest = _unconnected_of_lists(read.filter("kind = 1"), found, percent).groupBy("b").agg(F.collect_set("a").alias("all"))
+    rest = rest.join(left, "b", "left").select("b", F.array_sort(F.array_except("all", F.coalesce("lesser", F.array().cast("array<long>")))).alias("lesser"))
+    rest = saved(rest.filter("size(lesser) > 0"))
     if not rest.isEmpty():
-        links = links.unionByName(linked(rest))
+        links = links.unionByName(linked(in_groups(rest), found))
     return named, classes, links, n
 
 

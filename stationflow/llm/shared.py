@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,12 @@ def saved(df: DataFrame) -> DataFrame:
     """df, computed once and read from the shared folder from now on, so a lost executor costs nothing."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read from there. Its size is known then. A saved one keeps the estimate of its
+    plan, a product over all joins: over rounds of joins that becomes a number of millions of digits, which the driver multiplies."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

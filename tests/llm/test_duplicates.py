@@ -172,3 +172,37 @@ def test_jaccard_where_sets_and_texts_meet_by_hash(spark, monkeypatch):
     rows = corpus(7, 60)
     got = set_join.join_sets(frame(spark, rows), shingle=5, percent=80, chunk_bytes=9000).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(rows, 5, 80)
+
+
+def test_jaccard_rows_grow_with_sets_and_not_with_pairs(spark, monkeypatch):
+    """Sets of a group that are candidates of each other, many of them not linked: no step has a row for each pair, nor a set for each chunk."""
+    import random
+
+    def steps(size):
+        rng, rows = random.Random(3), []
+        for d in range(size):
+            parts = [f"w{i}" for i in range(120)]
+            for at in rng.sample(range(120), 1 + d % 9):
+                parts[at] = f"n{d}_{at}"
+            rows.append((d, " ".join(parts)))
+        counts = []
+
+        def counted(df, saved=set_join.saved):
+            out = saved(df)
+            if "list" not in out.columns:
+                counts.append(out.count())
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(set_join, "saved", counted)
+            got = set_join.join_sets(frame(spark, rows), shingle=3, percent=80, chunk_bytes=9000).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(rows, 3, 80)
+        return max(counts)
+
+    assert steps(60) <= 3 * 60 and steps(120) <= 3 * 120
+
+
+def test_components_of_a_chain_are_planned_in_bounded_time(spark):
+    """Sizes that the planner works with stay those of the tables, however many rounds there were."""
+    found = components.components(spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long"))
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 64 and found.filter("component <> 0").isEmpty()
