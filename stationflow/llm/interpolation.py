@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import shared_folder
-from .tokens import Texts, Words, mixed, pieces, window_hashes
+from .tokens import _BASE, Texts, Words, mixed, pieces
 
 CHUNK_BYTES = 8 << 20
 #: Bytes of text that are dealt to chunks at once.
@@ -98,10 +98,65 @@ def unpacked(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, Texts]]:
         yield from pieces(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]))
 
 
+def ascending(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in ascending order, and their places, of equal ones in that of their places.
+
+    What is sorted are numbers, which is several times as quick as sorting places: of each key the highest bits, with its place below.
+    Keys that differ only in the bits that found no room are put in order afterwards; of hashes these are few.
+    """
+    width = len(keys).bit_length()
+    drop = np.uint64(max(0, int(keys.max(initial=0)).bit_length() + width - 64))
+    numbers = keys >> drop
+    numbers <<= np.uint64(width)
+    numbers |= np.arange(len(keys), dtype=np.uint64)
+    numbers.sort()
+    order = (numbers & np.uint64((1 << width) - 1)).view(np.int64)
+    numbers >>= np.uint64(width)
+    if not drop:
+        return numbers, order
+    found = keys[order]
+    for high in np.unique(numbers[1:][found[1:] < found[:-1]]):
+        a, b = np.searchsorted(numbers, high), np.searchsorted(numbers, high, side="right")
+        order[a:b] = order[a:b][np.argsort(found[a:b], kind="stable")]
+        found[a:b] = keys[order[a:b]]
+    return found, order
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, which of them each key is, the places of keys in their order, and where in that order each distinct one begins."""
+    found, order = ascending(keys)
+    new = np.ones(len(found), dtype=bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    number = np.cumsum(new)
+    number -= 1
+    inverse = np.empty(len(found), dtype=np.int64)
+    inverse[order] = number
+    begin = np.flatnonzero(new)
+    return found[begin], inverse, order, begin
+
+
+def sums_from(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sums of values from each of `begin`, the first of which is 0, up to the next."""
+    ends = np.append(begin[1:], len(values))[: len(begin)] - 1
+    return np.diff(np.cumsum(values, dtype=np.int64)[ends], prepend=0)
+
+
+def short_hashes(values: np.ndarray, length: int) -> np.ndarray:
+    """As window_hashes, for windows so short that their few values are sooner added up than prefix sums are made."""
+    n = max(0, len(values) - length + 1)
+    out = values[:n].copy()
+    for i in range(1, length):
+        out += values[i : i + n] * np.uint64(pow(_BASE, i, 2**64))
+    return mixed(out)
+
+
 class Grams:
-    """The n-grams that end at each token of a chunk. gram[k] has those of k words; ahead of a text stand START words."""
+    """The n-grams that end at each token of a chunk. gram[k] has those of k words; ahead of a text stand START words.
 
-    def __init__(self, table: pa.Table, order: int, bits: int = 64):
+    orders: the k that are wanted, all if None.
+    """
+
+    def __init__(self, table: pa.Table, order: int, bits: int = 64, orders: list[int] | None = None):
         gram, size = [[np.zeros(0, np.uint64)] for _ in range(order + 1)], [np.zeros(0, np.int64)]
         for _, texts in unpacked(table):
             words = Words(texts, lower=True)
@@ -113,8 +168,8 @@ class Grams:
             for k in range(order - 1):
                 token[first[:-1] + k] = False
             at = np.flatnonzero(token)
-            for k in range(1, order + 1):
-                gram[k].append(window_hashes(padded, k)[at - k + 1] >> np.uint64(64 - bits) if len(at) else np.zeros(0, np.uint64))
+            for k in range(1, order + 1) if orders is None else orders:
+                gram[k].append(short_hashes(padded, k)[at - k + 1] >> np.uint64(64 - bits) if len(at) else np.zeros(0, np.uint64))
             size.append(words.count + 1)
         self.gram = [np.concatenate(g) for g in gram]
         self.size = np.concatenate(size)
@@ -129,10 +184,9 @@ class Grams:
         return out
 
     def distinct(self, k: int) -> Distinct:
-        keys, inverse = np.unique(self.gram[k], return_inverse=True)
-        t = np.bincount(inverse[self.role != HELD_OUT], minlength=len(keys))
-        e = np.bincount(inverse[self.role == LEARNS], minlength=len(keys))
-        return Distinct(keys, inverse, t.astype(np.int64), e.astype(np.int64))
+        keys, inverse, order, begin = grouped(self.gram[k])
+        role = self.role[order]
+        return Distinct(keys, inverse, sums_from(role != HELD_OUT, begin), sums_from(role == LEARNS, begin))
 
 
 class Distinct:
@@ -188,11 +242,9 @@ def _add_up(n: int):
         """Totals of all n-grams of a page, for each chunk that lists some; of single words, what they add up to as well."""
         keys, t, e = ([unpack(x) for x in table.column(c).to_pylist()] for c in ("keys", "t", "e"))
         sizes = [len(k) for k in keys]
-        names, inverse = np.unique(np.concatenate([np.cumsum(k.view(np.uint64), dtype=np.uint64) for k in keys]), return_inverse=True)
-        all_t, all_e = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        np.add.at(all_t, inverse, np.concatenate(t))
-        np.add.at(all_e, inverse, np.concatenate(e))
-        alone = np.bincount(inverse, minlength=len(names)) == 1
+        names, inverse, order, begin = grouped(np.concatenate([np.cumsum(k.view(np.uint64), dtype=np.uint64) for k in keys]))
+        all_t, all_e = (sums_from(np.concatenate(x)[order], begin) for x in (t, e))
+        alone = np.diff(begin, append=len(order)) == 1
         page, level = table.column("page")[0].as_py(), table.column("level")[0].as_py()
         out = []
         for chunk, part in zip(table.column("chunk").to_pylist(), np.split(inverse, np.cumsum(sizes)[:-1])):
@@ -256,14 +308,15 @@ def counted(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
         return pages.groupBy("level", "page").applyInArrow(_add_up(n), _TOTALS)
 
     def list_short(table: pa.Table) -> pa.Table:
-        grams, number = Grams(table, order, bits), table.column("chunk")[0].as_py()
-        return _listed([x for k in range(1, min(order, 2) + 1) for x in grams.distinct(k).pages(number, k, None, n_pages)])
+        short, number = [*range(1, min(order, 2) + 1)], table.column("chunk")[0].as_py()
+        grams = Grams(table, order, bits, short)
+        return _listed([x for k in short for x in grams.distinct(k).pages(number, k, None, n_pages)])
 
     def lister(k: int):
         def list_longer(table: pa.Table, totals: pa.Table) -> pa.Table:
             if not table.num_rows:
                 return _listed([])
-            grams = Grams(table, order, bits)
+            grams = Grams(table, order, bits, [*range(2, k + 1)])
             found = _told(grams, totals, [*range(2, k)], n_pages)
             longer = grams.distinct(k)
             return _listed(longer.pages(table.column("chunk")[0].as_py(), k, _shared(grams, found | {k: longer}, k), n_pages))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -13,6 +14,7 @@ from cases import WORD, corpus, frame
 from pyspark.sql import functions as F
 
 from stationflow.llm import interpolation
+from stationflow.llm.tokens import window_hashes
 
 LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -184,3 +186,48 @@ def test_packed_numbers():
     for numbers in ([], [0], [1, 255, 256], [2**40, 3], [2**63 - 1]):
         for raw in (False, True):
             assert interpolation.unpack(interpolation.pack(np.array(numbers, dtype=np.int64), raw)).tolist() == numbers
+
+
+def test_keys_in_order_are_those_of_a_stable_sort():
+    """Also of keys as wide as a word, whose lowest bits find no room beside the places, and differ in those alone."""
+    rng = np.random.default_rng(3)
+    top = np.uint64(2**64 - 1)
+    cases = [np.zeros(0, np.uint64), np.array([7], np.uint64), np.array([top, 0, top, 5], np.uint64), np.zeros(9, np.uint64)]
+    cases += [rng.integers(0, 2**bits, 5000, dtype=np.uint64) for bits in (3, 40, 51, 52, 63)]
+    cases += [top - rng.integers(0, 50, 5000, dtype=np.uint64), rng.integers(0, 4, 5000, dtype=np.uint64) << np.uint64(62) | rng.integers(0, 3000, 5000, dtype=np.uint64)]
+    for keys in cases:
+        found, order = interpolation.ascending(keys)
+        assert order.tolist() == np.argsort(keys, kind="stable").tolist() and found.tolist() == keys[order].tolist()
+        names, inverse, order, begin = interpolation.grouped(keys)
+        expected, expected_inverse = np.unique(keys, return_inverse=True)
+        assert names.tolist() == expected.tolist() and inverse.tolist() == expected_inverse.tolist()
+        assert keys[order][begin].tolist() == names.tolist()
+        assert interpolation.sums_from(order, begin).tolist() == np.bincount(inverse, weights=np.arange(len(keys)), minlength=len(names)).tolist()
+
+
+def test_a_chunk_hashes_the_orders_it_lists_as_windows_of_words():
+    values = interpolation.mixed(np.arange(50, dtype=np.uint64))
+    for k in (1, 2, 3, 5, 50, 51):
+        assert interpolation.short_hashes(values, k).tolist() == window_hashes(values, k).tolist()
+    batch = pa.RecordBatch.from_pydict({"key": [1, 2], "text": ["a b c d", ""], "role": [1, 0], "chunk": [0, 0]})
+    table = pa.Table.from_batches(interpolation.packed(iter([batch])))
+    some, every = interpolation.Grams(table, 3, orders=[2, 3]), interpolation.Grams(table, 3)
+    assert [len(g) for g in some.gram[1:]] == [0, 6, 6] and [len(g) for g in every.gram[1:]] == [6, 6, 6]
+    assert [g.tolist() for g in some.gram[2:]] == [g.tolist() for g in every.gram[2:]]
+
+
+def test_grams_of_a_chunk_are_told_apart_sooner_than_by_sorting_places():
+    """Most of the query's time was np.unique with its inverse, which sorts places."""
+    grams = interpolation.Grams.__new__(interpolation.Grams)
+    grams.gram = [interpolation.mixed(np.random.default_rng(5).integers(0, 300_000, 1_000_000, dtype=np.uint64)) >> np.uint64(8)]
+    grams.role = np.ones(1_000_000, dtype=np.int8)
+
+    def least_seconds(work):
+        spent = []
+        for _ in range(5):
+            begin = time.process_time()
+            work()
+            spent.append(time.process_time() - begin)
+        return min(spent)
+
+    assert least_seconds(lambda: grams.distinct(0)) < 0.75 * least_seconds(lambda: np.unique(grams.gram[0], return_inverse=True))
