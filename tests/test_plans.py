@@ -84,6 +84,13 @@ def test_windows_of_a_station_are_neither_shuffled_nor_held(spark):
     assert re.search(r"Exchange hashpartitioning\(hour#\d+, stationId#\d+", above) and "Generate explode(sequence(low" in above
 
 
+def test_two_levels_of_totals_hold_no_windows_of_a_station(spark):
+    """Above the expansion to two hours a pane, sums are kept by window alone, a task's by one row each."""
+    plan = plan_of(QUERIES["sliding_total_two_level"](spark, SF))
+    keys = re.findall(r"Aggregate\(keys=\[(.*?)\]", plan[: plan.index("Expand")])
+    assert len(keys) == 2 and all(re.fullmatch(r"start#\d+, end#\d+", k) for k in keys)
+
+
 def test_baseline_touches_edge_rows_only(spark):
     state, batch = _around_cut(spark, SF)
     plan = final_plan_of(hourly_tumbling(delta_lag(batch, TIES, baseline=state)))
