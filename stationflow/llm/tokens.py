@@ -62,6 +62,12 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE_VALUES[data]
 
 
+def byte_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hash of the bytes between offsets."""
+    sums = _sums(_BYTE_VALUES[data])
+    return mixed((sums[offsets[1:]] - sums[offsets[:-1]]) * powers(len(data) + 1)[1][offsets[:-1]])
+
+
 class Texts:
     """A run of rows of a text column: their bytes, put one after the other."""
 

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from cases import SCHEMA, corpus, frame
 from pyspark.sql import functions as F
 
 from stationflow.llm import bpe_table, licence_text, simhash, url_model, weak_toxicity
 from stationflow.llm.queries import RULES, TOKENIZERS
+from stationflow.llm.tokens import Texts
 
 PATH = f"{TOKENIZERS}/byte_bpe_50k.json"
 
@@ -44,6 +48,33 @@ def test_ids_are_decoded_by_the_task_that_has_them(spark):
     assert "MapInArrow" not in plan[: plan.index("FlatMapCoGroupsInArrow")]
 
 
+def test_words_of_a_run_are_those_of_the_pattern():
+    known, find = bpe_table.vocabulary(PATH), regex.compile(bpe_table.SPLIT).findall
+    marks = ["'", "s", "re", "e", "ll", "d", " ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u2028", "a", "É", "日", "一", "🙂", "1", "٣", "²", "-", "\u0301", "\x00"]
+    rng = random.Random(3)
+    for some in (marks, [m for m in marks if m.isascii()]):
+        texts = ["".join(rng.choices(some, k=rng.randrange(12))) for _ in range(20_000)]
+        column = Texts(pa.array(texts))
+        words, first = known.words(column)
+        assert words.to_pylist() == [w.encode() for t in texts for w in find(t)]
+        assert np.diff(first).tolist() == [len(find(t)) for t in texts]
+    texts = ["a<|endoftext|>'s  <|endoftext|>", "<|endof", "text|> <|endoftext|>", ""]
+    words, first = known.words(Texts(pa.array(texts)))
+    assert [w.decode() for w in words.to_pylist()] == ["a", "<|endoftext|>", "'s", "  ", "<|endoftext|>", *find("<|endof"), *find("text|> "), "<|endoftext|>"]
+
+
+def test_splitting_a_run_takes_less_than_matching_the_pattern():
+    texts = [f"It's text {i}, of 20 words or so: they'll be split as one run, and not one by one." for i in range(20_000)]
+    known, column, find = bpe_table.vocabulary(PATH), Texts(pa.array(texts)), regex.compile(bpe_table.SPLIT).findall
+    known.words(column)
+    times = []
+    for step in (lambda: known.words(column), lambda: [find(t) for t in texts]):
+        began = time.process_time()
+        step()
+        times.append(time.process_time() - began)
+    assert times[0] < times[1] / 2
+
+
 def edited(rows):
     rows = sorted(rows)
     out = {}
