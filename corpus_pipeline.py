@@ -1,4 +1,8 @@
-"""The corpus pipeline: what a training corpus goes through, one operator a stage."""
+"""The corpus pipeline: what a training corpus goes through, one operator a stage.
+
+Stages that hand texts to Python ask the session for small batches, which hold until the session says otherwise: a stage
+runs where its result is written, after it has returned.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +13,14 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import bpe_table, curriculum, decision_list, repeat_bytes, set_join
 from stationflow.llm.queries import SCHEDULES, table, tokenizer
-from stationflow.llm.shared import shared_folder
+from stationflow.llm.shared import ask_small_batches, shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the learned list rejects go."""
+    ask_small_batches(spark)
     rules = decision_list.fit(docs, table(spark, sf_dir, "labels"))
     return decision_list.judge(docs, rules).filter("kept").select(*COLUMNS)
 
@@ -25,6 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows are told apart by their texts, so a row with another's id stays if nothing before it is alike. Rows without an id stay.
     """
+    ask_small_batches(spark)
     docs = docs.select(*COLUMNS)
     kept = set_join.first_of_each(docs.filter("doc_id IS NOT NULL"), shingle=5, percent=80)
     return kept.unionByName(docs.filter("doc_id IS NULL"))
@@ -35,6 +41,7 @@ def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     n_chars counts anew. A document of which no word is left goes.
     """
+    ask_small_batches(spark)
     out = repeat_bytes.remove_repeats(docs, length=200, carry=["lang", "source", "n_chars"], as_text=True)
     text = F.when(F.col("n_bytes") > 0, F.col("kept"))
     left = (F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]")
@@ -57,6 +64,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with digests of the ids and of what they decode to."""
+    ask_small_batches(spark)
     path = tokenizer("byte_bpe_50k.json")
     return bpe_table.digests(bpe_table.encode(docs, path, decoded=True), "ids")
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .chunks import PAGE, answered, chunked, paged, read_answers, write_pages
 from .components import components
-from .shared import saved
+from .shared import saved, small_batches
 from .tokens import Words, mixed, pieces, window_hashes
 
 #: Bytes of text of a chunk: what a task makes of it is many times that.
@@ -451,7 +451,8 @@ def _name(key: Column | str, text: Column | str) -> Column:
 
 def _join(docs: DataFrame, key: str, text: str, shingle: int, percent: int, lower: bool, most: int, chunk_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Rows (key, chunk, name, n, one, two), a set's classes (n, one, two, class, key, chunk, name), links (a, b) that
-    connect them, and the number of chunks. A class is led by one row; key is the least of its rows."""
+    connect them, and the number of chunks. A class is led by one row; key is the least of its rows. All steps in Python
+    have run when it returns: it is called where batches are small."""
     rows, n = _named(docs, key, text, chunk_bytes)
 
     def name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -588,7 +589,8 @@ def join_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     Rows with a key in common are one document: what links to any of their texts is connected. A row with a null key is
     linked by its text, and so connects others; its own component is null. Shingles are compared by 64-bit hashes.
     """
-    named, classes, links, _ = _join(docs, key, text, shingle, percent, lower, most, chunk_bytes)
+    with small_batches(docs.sparkSession):
+        named, classes, links, _ = _join(docs, key, text, shingle, percent, lower, most, chunk_bytes)
     placed = _in_components(named, classes, links.unionByName(_same_key(named, classes)))
     out = named.join(placed, ["n", "one", "two"], "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("least", "key")).alias("component_id"))
@@ -600,7 +602,8 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     Links are those of `join_sets`, but of rows and not of documents: a row stays or goes by its own text, whatever other
     rows have its key. Of equal rows, and of rows with one key and set, one stays. A row without shingles goes only where another equals it in key and text.
     """
-    named, classes, links, n = _join(docs, key, text, shingle, percent, lower, most, chunk_bytes)
+    with small_batches(docs.sparkSession):
+        named, classes, links, n = _join(docs, key, text, shingle, percent, lower, most, chunk_bytes)
     placed = _in_components(named, classes, links).select("n", "one", "two", "component")
     order = F.struct(F.col("key").isNull(), "key", "name", "chunk")
     first = named.join(placed, ["n", "one", "two"]).groupBy("component").agg(F.min(order).alias("first"))

@@ -4,10 +4,40 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: How much Spark hands to Python at once, and the bytes of it that steps over whole texts ask for.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 2 << 20
+
+
+def ask_small_batches(spark: SparkSession) -> bool:
+    """Ask for small batches from now on; false if the session has a limit of its own, which stays."""
+    if spark.conf.get(BATCH, None) is not None:
+        return False
+    spark.conf.set(BATCH, str(BATCH_BYTES))
+    return True
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands rows to Python in batches of 2 MB, unless the session says otherwise.
+
+    Spark's own limit is 10,000 rows. Of texts that is tens of MB, which a task holds several times: as it grows, as it
+    is sent, in Python, and as it comes back.
+    """
+    mine = ask_small_batches(spark)
+    try:
+        yield
+    finally:
+        if mine:
+            spark.conf.unset(BATCH)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder. Where the session names none, a local master gets one of its own."""
     context = spark.sparkContext

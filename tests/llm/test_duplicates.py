@@ -6,8 +6,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import SCHEMA, bytes_left, corpus, frame, jaccard_components, words_left
+from pyspark.sql import functions as F
 
 from stationflow.llm import components, level_windows, repeat_bytes, set_join
+from stationflow.llm.shared import BATCH
 from stationflow.llm.tokens import anchors, least, window_hashes
 
 
@@ -202,6 +204,22 @@ def test_jaccard_rows_grow_with_sets_and_not_with_pairs(spark, monkeypatch):
     assert steps(60) <= 3 * 60 and steps(120) <= 3 * 120
 
 
+def test_jaccard_hands_texts_to_python_in_small_batches(spark, monkeypatch):
+    spark.conf.unset(BATCH)
+    sizes, save = [], set_join.saved
+
+    def watched(df):
+        rows = spark.range(0, 2000, 1, 1).selectExpr("repeat('x', 4000) AS text")
+        sizes.append(rows.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long").agg(F.max("n")).first()[0])
+        return save(df)
+
+    monkeypatch.setattr(set_join, "saved", watched)
+    out = set_join.first_of_each(frame(spark, corpus(12, 30)))
+    assert sizes and max(sizes) < 3 << 20
+    assert spark.conf.get(BATCH, None) is None
+    out.count()
+
+
 def test_components_of_a_chain_are_planned_in_bounded_time(spark):
     """Sizes that the planner works with stay those of the tables, however many rounds there were."""
     found = components.components(spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long"))
